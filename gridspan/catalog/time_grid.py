@@ -243,10 +243,10 @@ def t14(spark, d):
 # Order dates with an hour from the key are local stamps through every clock change.
 _LOCAL = """stamps AS (SELECT o_orderkey, o_orderdate + (o_orderkey % 24) * INTERVAL 1 HOUR
   + INTERVAL 30 MINUTE AS local FROM orders),
-  both AS (SELECT *, local AT TIME ZONE 'Europe/Kyiv' AT TIME ZONE 'UTC' AS u FROM stamps),
+  pair AS (SELECT *, local AT TIME ZONE 'Europe/Kyiv' AT TIME ZONE 'UTC' AS u FROM stamps),
   flags AS (SELECT *, (u AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Kyiv') <> local AS skipped,
    ((u - INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Kyiv') = local AS earlier,
-   ((u + INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Kyiv') = local AS later FROM both)"""
+   ((u + INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Kyiv') = local AS later FROM pair)"""
 
 
 def _stamps(spark, d):
