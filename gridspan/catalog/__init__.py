@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import clean, time_grid  # noqa: F401
+from . import clean, features, joins, stats, time_grid  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

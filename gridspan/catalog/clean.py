@@ -40,14 +40,17 @@ _S_LANDED = """SELECT event_type AS entity, date_trunc('day', ts) + (CASE WHEN e
 @query("a1_read_sheets", _S_LANDED, "y")
 def a1(spark, d):
     path = new_path(spark, "sheets")
-    _landed(spark, d).write.option("header", True).csv(path)
+    head = X.table(spark, d, "events").filter("event_id % 1000 = 0").select(
+        F.concat(F.lit("Report "), "event_id").alias("EIC"), *[F.lit(None).alias(c) for c in
+                                                              ("Date", "Hour", "kWh")])
+    _landed(spark, d).unionByName(head).write.option("header", True).csv(path)
     raw = R.read_sheets(spark, path, {"EIC": "entity", "Date": "date", "Hour": "hour", "kWh": "y"},
-                        "EIC string, Date string, Hour int, kWh double")
+                        {"hour": "int", "y": "double"})
     return R.conform_readings(raw)
 
 
 @query("a1_read_parts", """SELECT event_id, event_type AS entity, CASE WHEN event_id % 2 = 0 THEN
-  value END AS y, CASE WHEN event_id % 2 = 1 THEN user_id END AS user_id FROM events""", "y")
+  value END AS y, CASE WHEN event_id % 2 = 1 THEN user_id ELSE -1 END AS user_id FROM events""", "y")
 def a1_parts(spark, d):
     e, path = X.table(spark, d, "events"), new_path(spark, "parts")
     even = e.filter("event_id % 2 = 0").select("event_id", F.col("event_type").alias("entity"),
@@ -55,7 +58,8 @@ def a1_parts(spark, d):
     odd = e.filter("event_id % 2 = 1").select("event_id", F.col("event_type").alias("entity"), "user_id")
     even.write.parquet(f"{path}/a")
     odd.write.parquet(f"{path}/b")
-    return R.read_parts(spark, [f"{path}/a", f"{path}/b"]).select("event_id", "entity", "y", "user_id")
+    return R.read_parts(spark, [f"{path}/a", f"{path}/b"]).select(
+        "event_id", "entity", "y", F.coalesce("user_id", F.lit(-1)).alias("user_id"))
 
 
 @query("a2_drop_total_rows", """SELECT event_type AS entity, value AS y FROM events UNION ALL
@@ -150,13 +154,14 @@ def _alarms(spark, d):
 S_ALARMS = """alarm_rows AS (SELECT CAST(u.user_id AS VARCHAR) AS region_id, 'R' || u.user_id AS
   region_name, date_trunc('second', e.ts) AS start, date_trunc('second', e.ts) + (event_id % 200)
   * INTERVAL 1 MINUTE AS "end", CASE WHEN event_id IS NOT NULL THEN 'AIR' END AS alert_type,
-  event_id % 2 = 0 AS is_continue FROM (SELECT DISTINCT user_id FROM events) u
+  coalesce(event_id % 2 = 0, false) AS is_continue FROM (SELECT DISTINCT user_id FROM events) u
   LEFT JOIN events e ON e.user_id = u.user_id AND event_type = 'error')"""
 
 
 @query("a9_alarm_payload", with_(S_ALARMS, body="SELECT * FROM alarm_rows"))
 def a9(spark, d):
-    return J.alarm_rows(_alarms(spark, d), "payload")
+    return J.alarm_rows(_alarms(spark, d), "payload").withColumn(
+        "is_continue", F.coalesce("is_continue", F.lit(False)))
 
 
 def _dictionary(spark, d):

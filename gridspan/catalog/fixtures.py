@@ -89,7 +89,8 @@ def customer_months(spark, folder) -> DataFrame:
     c = table(spark, folder, "customer").select(F.col("c_custkey").alias("entity"))
     seq = F.sequence(months.select("a").scalar(), months.select("b").scalar(),
                      F.expr("interval 1 month"))
-    return c.select("entity", F.explode(seq).cast("timestamp_ntz").alias("ts"))
+    return c.select("entity", F.explode(seq).alias("m")).select(
+        "entity", F.col("m").cast("timestamp_ntz").alias("ts"))
 
 
 def stations(spark, folder) -> DataFrame:

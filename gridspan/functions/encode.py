@@ -38,22 +38,27 @@ def name_map(value: str | Column, mapping: dict[str, int], unknown: int | None =
                       F.lit(unknown).cast("int"))
 
 
-def categories(df: DataFrame, column: str, limit: int = 200) -> list:
-    """Sorted distinct values for a wide layout; refuses more than ``limit``.
+def categories(df: DataFrame, *columns: str, limit: int = 200) -> dict[str, list[str]]:
+    """Sorted distinct values (as text) of columns meant for a wide layout, in one job.
 
-    At most ``limit + 1`` values reach the driver.  Beyond the limit use :func:`sparse_one_hot`,
-    whose width does not enter the plan.
+    Refuses a column with more than ``limit``; only so many values reach the driver.  Beyond
+    the limit use :func:`sparse_one_hot`, whose width does not enter the plan.
     """
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise TooManyCategories(f"{column} has more than {limit} categories")
-    return sorted(r[0] for r in rows)
-
-
-def one_hot(df: DataFrame, columns: dict[str, Sequence], keep: bool = False) -> DataFrame:
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("p"))
+    rows = (pairs.select("p.c", "p.v").filter("v is not null").distinct()
+            .limit(limit * len(columns) + 1).collect())
+    found = {c: sorted(r["v"] for r in rows if r["c"] == c) for c in columns}
+    large = [c for c, values in found.items() if len(values) > limit]
+    if large or len(rows) > limit * len(columns):
+        raise TooManyCategories(f"more than {limit} categories in {large or list(columns)}")
+    return found
+
+
+def one_hot(df: DataFrame, columns: dict[str, Sequence]) -> DataFrame:
     """Replace each column by one 0/1 column per listed category (``<column>_<value>``)."""
-    rest = [c for c in df.columns if keep or c not in columns]
-    hot = [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+    rest = [c for c in df.columns if c not in columns]
+    hot = [F.coalesce((F.col(c).cast("string") == F.lit(str(v))).cast("int"), F.lit(0)).alias(f"{c}_{v}")
            for c, values in columns.items() for v in values]
     return df.select(*rest, *hot)
 

@@ -85,19 +85,25 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
 
 def load_shapes(df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """24 hourly and 7 weekday means, each divided by its own mean; absent ones are 0."""
-    hours = [F.coalesce(F.avg(F.when(F.hour(spec.ts) == h, F.col(spec.y))), F.lit(0.0)).alias(f"h{h}")
-             for h in range(24)]
-    days = [F.coalesce(F.avg(F.when(F.weekday(spec.ts) == d, F.col(spec.y))), F.lit(0.0)).alias(f"d{d}")
-            for d in range(7)]
-    means = df.groupBy(spec.entity).agg(*hours, *days)
-
-    def level(names):
-        m = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
+    slots = df.groupBy(spec.entity, F.hour(spec.ts).alias("_h"), F.weekday(spec.ts).alias("_d")).agg(
+        F.sum(spec.y).alias("_s"), F.count(spec.y).alias("_c"))
+
+    def mean(slot, value):
+        mine = F.col(slot) == value
+        total = F.sum(F.when(mine, F.col("_s")))
+        return F.coalesce(F.try_divide(total, F.sum(F.when(mine, F.col("_c")))), F.lit(0.0))
+
+    means = slots.groupBy(spec.entity).agg(
+        F.array(*[mean("_h", h) for h in range(24)]).alias("h"),
+        F.array(*[mean("_d", w) for w in range(7)]).alias("d"))
+
+    def level(values):
+        m = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / F.size(values)
         return F.when(m > 0, m).otherwise(F.lit(1.0))
 
-    hs, ds = [f"h{h}" for h in range(24)], [f"d{d}" for d in range(7)]
-    return means.select(spec.entity, *[(F.col(n) / level(hs)).alias(n) for n in hs],
-                        *[(F.col(n) / level(ds)).alias(n) for n in ds])
+    scaled = means.select(spec.entity, "h", "d", level("h").alias("_hl"), level("d").alias("_dl"))
+    return scaled.select(spec.entity, *[(F.col("h")[i] / F.col("_hl")).alias(f"h{i}") for i in range(24)],
+                         *[(F.col("d")[i] / F.col("_dl")).alias(f"d{i}") for i in range(7)])
 
 
 def most_common(df: DataFrame, keys: Sequence[str], column: str, output: str = "mode") -> DataFrame:

@@ -33,12 +33,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         F.count("_v").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", inner, accuracy).alias("_q"))
 
+    # In a small group the margin is less than a rank; the whole group is its bracket then.
+    small = F.col("n") <= 2 * accuracy
+
     def edge(i: int):
-        if marks[i] <= 0:
-            return F.col("_min")
-        if marks[i] >= 1:
-            return F.col("_max")
-        return F.col("_q")[i]
+        end = F.col("_min") if i % 2 == 0 else F.col("_max")
+        if not 0 < marks[i] < 1:
+            return end
+        return F.when(small, end).otherwise(F.col("_q")[i])
 
     brackets = sketch.select(*keys, "n", *[
         F.struct(edge(2 * i).alias("lo"), edge(2 * i + 1).alias("hi")).alias(f"_b{i}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import from_date_and_hour
@@ -13,18 +14,24 @@ from ..spec import PANEL, TOTAL_LABELS, PanelSpec, require_columns
 
 
 def read_sheets(spark: SparkSession, paths: str | Sequence[str], columns: Mapping[str, str],
-                schema: T.StructType, preamble: str | None = None,
+                types: Mapping[str, str], dated: str = "date",
                 encoding: str = "UTF-8") -> DataFrame:
-    """Landed sheets as CSV files with one schema, all files in one scan.
+    """Landed sheets as CSV files, all files in one scan, one explicit layout.
 
-    ``columns`` maps landed to canonical names.  Lines that start with ``preamble`` are the
-    report head and are skipped, as are lines that do not fit the schema's key column.
+    ``columns`` maps landed to canonical names in file order; ``types`` gives the SQL type of
+    the canonical columns that are not text.  Report heads and header lines are recognised by
+    content, not by position, so files stay splittable: a data line has a value under
+    ``dated`` and its typed columns either empty or readable.
     """
-    options = {"header": "true", "mode": "PERMISSIVE", "encoding": encoding}
-    if preamble:
-        options["comment"] = preamble
-    raw = spark.read.schema(schema).options(**options).csv(paths)
-    return project(raw, columns)
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    raw = spark.read.schema(layout).options(header="false", mode="PERMISSIVE",
+                                            encoding=encoding).csv(paths)
+    named = project(raw, columns)
+    fits = F.col(dated).isNotNull()
+    for c, kind in types.items():
+        fits = fits & (F.col(c).isNull() | F.col(c).try_cast(kind).isNotNull())
+    return named.filter(fits).select(*[
+        F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in named.columns])
 
 
 def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -48,7 +55,8 @@ def read_panel(spark: SparkSession, path: str, spec: PanelSpec = PANEL,
                columns: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
     """A gold table; column and row filters of the caller reach the scan.
 
-    With ``partitions`` rows are placed by (entity, day block) and sorted by (entity, index).
+    With ``partitions`` rows are range-placed and sorted by (entity, index); a hot entity is
+    split over several partitions.
     """
     df = spark.read.parquet(path)
     if columns:

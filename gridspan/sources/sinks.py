@@ -27,7 +27,7 @@ def write_gold(df: DataFrame, folder: str, split: str = "data_subset",
     text, wide = f"{folder}/datetime_time_idx_global_cat", f"{folder}/time_idx_ohe"
     df.write.mode("overwrite").partitionBy(split).parquet(text)
     present = [c for c in hot if c in df.columns]
-    spread = one_hot(df, {c: categories(df, c) for c in present})
+    spread = one_hot(df, categories(df, *present)) if present else df
     spread.drop(ts).write.mode("overwrite").partitionBy(split).parquet(wide)
     return {"text": text, "one_hot": wide}
 

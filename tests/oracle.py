@@ -62,6 +62,7 @@ def main(prefixes: list[str]) -> int:
 
     spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8",
                                                    "spark.ui.enabled": "false",
+                                                   "spark.ui.showConsoleProgress": "false",
                                                    "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(), 0
