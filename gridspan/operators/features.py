@@ -242,7 +242,8 @@ def recompose(decomposed: DataFrame, horizon: int, spec: PanelSpec = PANEL, peri
               residual: DataFrame | None = None, bound: float = 5.0) -> DataFrame:
     """Forecast = extrapolated trend + tiled season (+ residual forecast), clipped.
 
-    ``residual`` has (entity, step, resid_pred) with step 1 the first hour after the series.
+    ``residual`` has (entity, step, resid_pred) with step 1 the first hour after the series;
+    further columns (such as a candidate's id) pass through.
     """
     facts = decomposed.groupBy(spec.entity).agg(
         F.max(spec.idx).alias("_b"), F.max(spec.ts).alias("_ts"), F.max(spec.y).alias("_top"),
@@ -252,14 +253,14 @@ def recompose(decomposed: DataFrame, horizon: int, spec: PanelSpec = PANEL, peri
               .select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
               .withColumn("phase", ((F.col("_n") + F.col("step") - 1) % period).cast("int"))
               .join(pattern, [spec.entity, "phase"], "left"))
-    resid = F.lit(0.0)
+    resid, extra = F.lit(0.0), []
     if residual is not None:
-        future = future.join(residual.select(spec.entity, "step", "resid_pred"),
-                             [spec.entity, "step"], "left")
+        future = future.join(residual, [spec.entity, "step"], "left")
+        extra = [c for c in residual.columns if c not in (spec.entity, "step", "resid_pred")]
         resid = F.coalesce("resid_pred", F.lit(0.0))
     raw = resid + F.col("level") + F.col("slope") * F.col("step") + F.col("seasonal")
     upper = F.when(F.col("_top") > 0, F.lit(bound) * F.col("_top"))
     ts = F.col("_ts") + F.make_dt_interval(secs=F.col("step") * spec.step_seconds)
     return future.select(spec.entity, (F.col("_b") + F.col("step")).alias(spec.idx),
-                         ts.alias(spec.ts), "step",
+                         ts.alias(spec.ts), "step", *extra,
                          F.greatest(F.lit(0.0), F.least(raw, upper)).alias("pred"))
