@@ -104,10 +104,10 @@ def fill_by_group_max(df: DataFrame, column: str, spec: PanelSpec = PANEL,
 def covered_entities(df: DataFrame, spec: PanelSpec = PANEL, tail_days: int = 7,
                      min_rows: int = 90 * 24) -> DataFrame:
     """Entities that reach the last week of the frame and have enough observations."""
-    end = df.agg(F.max(spec.ts).alias("_end"))
-    return (df.groupBy(spec.entity).agg(F.max(spec.ts).alias("_last"), F.count(spec.ts).alias("_n"))
-            .filter((F.col("_last") >= end.scalar() - F.make_dt_interval(days=F.lit(tail_days)))
-                    & (F.col("_n") >= min_rows))
+    stats = df.groupBy(spec.entity).agg(F.max(spec.ts).alias("_last"), F.count(spec.ts).alias("_n"))
+    end = stats.agg(F.max("_last").alias("_end"))  # from the same aggregate, not another scan
+    return (stats.filter((F.col("_last") >= end.scalar() - F.make_dt_interval(days=F.lit(tail_days)))
+                         & (F.col("_n") >= min_rows))
             .select(spec.entity))
 
 

@@ -54,13 +54,14 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 # --- gaps -----------------------------------------------------------------------------
 
-def gaps(df: DataFrame, spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) -> DataFrame:
-    """One row per gap: ``after`` and ``before`` are the indices around it.
+def _steps(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The distinct steps of each entity: copies collapse before any ordering."""
+    return df.select(spec.entity, spec.idx).distinct()
 
-    Needs unique (entity, index); run :func:`deduplicate` first.
-    """
-    stepped = previous_index(df.select(spec.entity, spec.idx), [spec.entity], spec.idx,
-                             "after", size)
+
+def gaps(df: DataFrame, spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) -> DataFrame:
+    """One row per gap: ``after`` and ``before`` are the indices around it."""
+    stepped = previous_index(_steps(df, spec), [spec.entity], spec.idx, "after", size)
     return (stepped.filter(F.col(spec.idx) - F.col("after") > 1)
             .select(spec.entity, "after", F.col(spec.idx).alias("before"),
                     (F.col(spec.idx) - F.col("after") - 1).alias("missing")))
@@ -92,8 +93,7 @@ def missing_report(df: DataFrame, spec: PanelSpec = PANEL, size: int = DEFAULT_S
 
 def missing_counts(df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """Missing steps of every entity, 0 included, by one aggregation."""
-    distinct = df.select(spec.entity, spec.idx).distinct()
-    return distinct.groupBy(spec.entity).agg(
+    return _steps(df, spec).groupBy(spec.entity).agg(
         (F.max(spec.idx) - F.min(spec.idx) + 1 - F.count("*")).alias("missing_count"))
 
 
@@ -109,7 +109,7 @@ def blocks(df: DataFrame, spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) ->
     A block starts where the previous step is absent and ends where the next one is, which
     a halo of one step decides; starts and ends of an entity are then paired in order.
     """
-    near = spread(df.select(spec.entity, spec.idx), spec.idx, 1, 1, size)
+    near = spread(_steps(df, spec), spec.idx, 1, 1, size)
     w = slab_window([spec.entity], spec.idx)
     edges = near.select(
         "*", F.coalesce(F.col(spec.idx) - F.lag(spec.idx).over(w) > 1, F.lit(True)).alias("_s"),
@@ -132,7 +132,7 @@ def blocks(df: DataFrame, spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) ->
 
 
 def _tail_bounds(df: DataFrame, spec: PanelSpec, size: int) -> DataFrame:
-    near = spread(df.select(spec.entity, spec.idx), spec.idx, 1, 0, size)
+    near = spread(_steps(df, spec), spec.idx, 1, 0, size)
     w = slab_window([spec.entity], spec.idx)
     starts = near.withColumn("_start", F.coalesce(
         F.col(spec.idx) - F.lag(spec.idx).over(w) > 1, F.lit(True)))
@@ -199,12 +199,13 @@ def grid_of(bounds: DataFrame, first: str, last: str, spec: PanelSpec = PANEL,
 
 def full_grid(df: DataFrame, spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) -> DataFrame:
     """Rows for every step between the first and last stamp of the entity, NULL where absent."""
-    origin = df.agg(F.min(spec.ts).alias("_o")).scalar()
     step = spec.step_seconds
+    ends = df.groupBy(spec.entity).agg(F.min(spec.ts).alias("_ts0"), F.max(spec.ts).alias("_ts1"))
+    origin = ends.agg(F.min("_ts0").alias("_o")).scalar()
     indexed = df.withColumn(spec.idx, hour_index(spec.ts, origin, step))
-    bounds = indexed.groupBy(spec.entity).agg(F.min(spec.idx).alias("_a"), F.max(spec.idx).alias("_b"),
-                                              F.min(spec.ts).alias("_ts0"))
-    bounds = bounds.withColumn("_a0", F.col("_a"))
+    first = hour_index("_ts0", origin, step)
+    bounds = ends.select(spec.entity, "_ts0", first.alias("_a0"), first.alias("_a"),
+                         hour_index("_ts1", origin, step).alias("_b"))
     grid = grid_of(bounds, "_a", "_b", spec, size).select(
         spec.entity, spec.idx,
         add_steps(F.col("_ts0"), F.col(spec.idx) - F.col("_a0"), step).alias(spec.ts))

@@ -115,9 +115,10 @@ def lacking(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def attach_actuals(forecast: DataFrame, actuals: DataFrame, keys: Sequence[str],
                    columns: Sequence[str], how: str = "inner") -> DataFrame:
-    """Actuals and prices on forecasts; the right side is reduced to one row per key."""
+    """Actuals and prices on forecasts; the right side is reduced to one row per key (the
+    largest by ``columns`` when copies differ)."""
     keys = list(keys)
-    right = actuals.groupBy(*keys).agg(*[F.first(c).alias(c) for c in columns])
+    right = actuals.groupBy(*keys).agg(F.max(F.struct(*columns)).alias("_a")).select(*keys, "_a.*")
     return forecast.drop(*columns).join(right, keys, how)
 
 

@@ -148,8 +148,11 @@ def wide(df: DataFrame, entities: Sequence, columns: Sequence[str],
          spec: PanelSpec = PANEL, by: str | None = None) -> DataFrame:
     """One row per step, one column per listed entity and feature; absent cells are 0.
 
-    Fill along time on the long form first.  Only the listed entities become columns.
+    Fill along time on the long form first.  Only the listed entities become columns, at
+    most 2,000 cells a row; stay with the long form beyond.
     """
+    if len(entities) * len(columns) > 2000:
+        raise ValueError(f"{len(entities) * len(columns)} cells a row; keep the long form")
     aggs = [F.coalesce(F.max(F.when(F.col(spec.entity) == F.lit(e), F.col(c))), F.lit(0.0))
             .alias(f"{e}_{c}") for e in entities for c in columns]
     return (df.filter(F.col(spec.entity).isin(*entities)).groupBy(by or spec.idx).agg(*aggs))
