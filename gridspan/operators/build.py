@@ -1,7 +1,7 @@
 """From landed readings to silver and gold tables, and from a history to a forecast frame.
 
 Each step is an operator of this package.  Steps that read their input more than once
-(coverage, gaps, fills) would multiply one long plan, so the build is cut at three stages.
+(coverage, gaps, fills) would multiply one long plan, so the build is cut at four stages.
 """
 
 from __future__ import annotations
@@ -104,10 +104,9 @@ def repair(df: DataFrame, opt: BuildOptions, static: Sequence[str], numeric: Seq
     known = [c for c in static if c in full.columns]
     numbers = [c for c in numeric if c in full.columns]
     if known:
-        attributes = full.groupBy(spec.entity).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(spec.ts)))
-                                                     .alias(f"_{c}") for c in known])
-        full = full.join(attributes, spec.entity).select(*[
-            F.coalesce(c, f"_{c}").alias(c) if c in known else F.col(c) for c in full.columns])
+        values = df.groupBy(spec.entity).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(spec.ts)))
+                                               .alias(c) for c in known])
+        full = full.drop(*known).join(values, spec.entity)
     return G.interpolate(stage(full, "grid"), numbers, spec, size=opt.size)
 
 
@@ -115,7 +114,7 @@ def build_silver(src: Sources, opt: BuildOptions | None = None,
                  stage: Stage = materialise) -> DataFrame:
     """Readings to a regular, enriched, split panel.
 
-    ``stage`` gets the frame and a name (conformed, enriched, grid) and returns the frame to
+    ``stage`` gets the frame and a name (conformed, enriched, trimmed, grid) and returns the frame to
     go on with; pass a writer to keep the stages as tables.
     """
     opt = opt or BuildOptions()
@@ -123,7 +122,7 @@ def build_silver(src: Sources, opt: BuildOptions | None = None,
     df = K.keep_covered(stage(conform(src, opt), "conformed"), spec, opt.tail_days, opt.min_rows)
     df = stage(enrich(df, src, opt), "enriched")
     df = G.index_from(df, spec=spec)
-    df = G.trim_to_tail(df, spec, opt.max_missing, opt.min_days, opt.size)
+    df = stage(G.trim_to_tail(df, spec, opt.max_missing, opt.min_days, opt.size), "trimmed")
     static = [c for c in src.stations.columns if c != spec.entity]
     numeric = [spec.y, "max_power", "max_solar", "max_ev", *src.weather_columns]
     df = repair(df, opt, static, numeric, stage)

@@ -174,14 +174,13 @@ def trim_summary(df: DataFrame, spec: PanelSpec = PANEL, max_missing: int = 3,
 def longest_gaps(df: DataFrame, spec: PanelSpec = PANEL, max_gap: int = 1,
                  size: int = DEFAULT_SLAB) -> DataFrame:
     """Missing steps and the longest run of them; OK, FILL or DROP."""
-    runs = gaps(df, spec, size).groupBy(spec.entity).agg(
-        F.sum("missing").alias("missing_count"), F.max("missing").alias("longest_gap"))
-    every = df.select(spec.entity).distinct()
-    n, longest = F.coalesce("missing_count", F.lit(0)), F.coalesce("longest_gap", F.lit(0))
-    action = F.when(n == 0, "OK").when(longest > max_gap, "DROP").otherwise("FILL")
-    return every.join(runs, spec.entity, "left").select(
-        spec.entity, n.cast("long").alias("missing_count"),
-        longest.cast("long").alias("longest_gap"), action.alias("action"))
+    stepped = previous_index(_steps(df, spec), [spec.entity], spec.idx, "_after", size)
+    hole = F.coalesce(F.col(spec.idx) - F.col("_after") - 1, F.lit(0))
+    runs = stepped.groupBy(spec.entity).agg(F.sum(hole).alias("missing_count"),
+                                            F.max(hole).alias("longest_gap"))
+    action = (F.when(F.col("missing_count") == 0, "OK")
+              .when(F.col("longest_gap") > max_gap, "DROP").otherwise("FILL"))
+    return runs.withColumn("action", action)
 
 
 # --- completion -------------------------------------------------------------------------
