@@ -1,4 +1,8 @@
-"""Local clock time to instants with explicit daylight-saving policies."""
+"""Local clock time to instants with explicit daylight-saving policies.
+
+Wall times are NTZ; sessions show instants in UTC (``build_session``, ``pin_utc``), so that
+casts between NTZ and instants do not move them.
+"""
 
 from __future__ import annotations
 
@@ -14,11 +18,11 @@ def _col(c: str | Column) -> Column:
 
 
 def _utc(local: Column, zone: str) -> Column:
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), local)
+    return F.to_utc_timestamp(local.cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def _local(utc: Column, zone: str) -> Column:
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    return F.from_utc_timestamp(utc.cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def to_local(utc: str | Column, zone: str) -> Column:

@@ -6,6 +6,7 @@ value is unknown.  Row offsets are then step offsets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,24 +24,49 @@ def lag_features(df: DataFrame, spec: PanelSpec = PANEL, lags: Sequence[int] = L
     """Lags, leakage-safe rolling means/deviations and seasonal differences.
 
     Rolling frames end ``horizon`` steps before the row and need a quarter of their rows.
-    All columns share one window ordering, hence one shuffle and one sort.
+    All columns share one window ordering, hence one shuffle and one sort.  A long window is
+    merged from blocks as long as the greatest common divisor of all windows (count, mean
+    and squared deviation of each), so a row costs one short frame instead of every frame.
     """
-    h, y = spec.horizon, F.col(spec.y)
-    reach = max([h, *lags, *[h + w - 1 for w in windows], *[h + d for d in diffs]])
+    h = spec.horizon
+    reach = max([h, *lags, *[h + n for n in windows], *[h + d for d in diffs]])
     w = slab_window([spec.entity], spec.idx)
 
-    def back(k: int) -> Column:
-        return F.lag(spec.y, k).over(w)
-
-    out = [back(k).alias(f"lag_{k}h") for k in lags]
+    def back(c: str, k: int) -> Column:
+        return F.lag(c, k).over(w)
+
+    near = spread(df, spec.idx, reach, 0, size)
+    block = math.gcd(*windows) if windows else 0
+    out = [back(spec.y, k).alias(f"lag_{k}h") for k in lags]
+    out += [(back(spec.y, h) - back(spec.y, h + d)).alias(f"diff_{d}h") for d in diffs]
+    if windows:
+        frame = w.rowsBetween(-(block - 1), 0)
+        n = F.count(spec.y).over(frame)
+        near = near.select("*", n.alias("_n"), F.avg(spec.y).over(frame).alias("_m"),
+                           (F.var_pop(spec.y).over(frame) * n).alias("_q"))
+        starts = range(h, h + max(windows), block)
+        out += [F.coalesce(back(f"_{x}", k), F.lit(0)).alias(f"_{x}{k}") for k in starts for x in "nmq"]
+    near = settle(near.select("*", *out), spec.idx, size)
+
+    means, stds = [], []
     for n in windows:
-        frame = w.rowsBetween(-(h + n - 1), -h)
-        enough = F.count(spec.y).over(frame) >= max(1, n // 4)
-        out.append(F.when(enough, F.avg(y).over(frame)).alias(f"roll_mean_{n}h"))
-        out.append(F.when(enough, F.stddev_samp(y).over(frame)).alias(f"roll_std_{n}h"))
-    out += [(back(h) - back(h + d)).alias(f"diff_{d}h") for d in diffs]
-    near = spread(df, spec.idx, reach, 0, size).select("*", *out)
-    return settle(near, spec.idx, size)
+        parts = [(F.col(f"_n{k}"), F.col(f"_m{k}"), F.col(f"_q{k}")) for k in range(h, h + n, block)]
+        count = _total(c for c, _, _ in parts)
+        means.append(F.when(count >= max(1, n // 4), _total(c * m for c, m, _ in parts) / count)
+                     .alias(f"roll_mean_{n}h"))
+        mean = F.col(f"roll_mean_{n}h")
+        square = _total(q + c * (m - mean) * (m - mean) for c, m, q in parts)
+        stds.append(F.when(mean.isNotNull() & (count > 1), F.sqrt(square / (count - 1)))
+                    .alias(f"roll_std_{n}h"))
+    rolled = near.select("*", *means).select("*", *stds)
+    return rolled.select(*df.columns, *[f"lag_{k}h" for k in lags],
+                         *[f"roll_{s}_{n}h" for n in windows for s in ("mean", "std")],
+                         *[f"diff_{d}h" for d in diffs])
+
+
+def _total(columns) -> Column:
+    first, *rest = columns
+    return sum(rest, first)
 
 
 def lag_columns(df: DataFrame, lags: Sequence[int], spec: PanelSpec = PANEL,
