@@ -136,7 +136,7 @@ def a8(spark, d):
 
 
 def _alarms(spark, d):
-    """Error events as alarms of their user's region; users without errors have none."""
+    """Error events as alarms of their user's region; payloads without errors have none."""
     e = X.table(spark, d, "events")
     text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     begin = F.date_trunc("second", "ts")
@@ -145,7 +145,9 @@ def _alarms(spark, d):
         F.col("user_id").cast("string").alias("regionId"), text(begin).alias("startDate"),
         text(begin + length).alias("endDate"), F.lit("AIR").alias("alertType"),
         (F.col("event_id") % 2 == 0).alias("isContinue")))
-    return e.groupBy("user_id").agg(F.collect_list(one).alias("alarms")).select(F.to_json(F.array(
+    # A payload covers a run of 1,000 event numbers, which bounds its list.
+    run = F.floor(F.col("event_id") / 1000)
+    return e.groupBy("user_id", run.alias("run")).agg(F.collect_list(one).alias("alarms")).select(F.to_json(F.array(
         F.struct(F.col("user_id").cast("string").alias("regionId"),
                  F.concat(F.lit("R"), F.col("user_id")).alias("regionName"),
                  "alarms"))).alias("payload"))
@@ -154,8 +156,8 @@ def _alarms(spark, d):
 S_ALARMS = """alarm_rows AS (SELECT CAST(u.user_id AS VARCHAR) AS region_id, 'R' || u.user_id AS
   region_name, date_trunc('second', e.ts) AS start, date_trunc('second', e.ts) + (event_id % 200)
   * INTERVAL 1 MINUTE AS "end", CASE WHEN event_id IS NOT NULL THEN 'AIR' END AS alert_type,
-  coalesce(event_id % 2 = 0, false) AS is_continue FROM (SELECT DISTINCT user_id FROM events) u
-  LEFT JOIN events e ON e.user_id = u.user_id AND event_type = 'error')"""
+  coalesce(event_id % 2 = 0, false) AS is_continue FROM (SELECT DISTINCT user_id, event_id // 1000 AS run FROM events) u
+  LEFT JOIN events e ON e.user_id = u.user_id AND event_id // 1000 = run AND event_type = 'error')"""
 
 
 @query("a9_alarm_payload", with_(S_ALARMS, body="SELECT * FROM alarm_rows"))

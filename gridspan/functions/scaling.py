@@ -27,10 +27,11 @@ def fit_global(df: DataFrame, columns: Sequence[str], ddof: int = 0,
 
 def apply_global(df: DataFrame, stats: DataFrame, columns: Sequence[str],
                  suffix: str = "_z") -> DataFrame:
-    """Standardise with a one-row statistics frame (read as scalar subqueries)."""
-    exprs = [((F.col(c) - stats.select(f"{c}_mean").scalar())
-              / stats.select(f"{c}_std").scalar()).alias(f"{c}{suffix}") for c in columns]
-    return df.select("*", *exprs)
+    """Standardise with a one-row statistics frame (read as one scalar subquery)."""
+    fitted = df.select("*", stats.select(F.struct("*").alias("_f")).scalar().alias("_f"))
+    return fitted.select(*df.columns, *[
+        ((F.col(c) - F.col(f"_f.{c}_mean")) / F.col(f"_f.{c}_std")).alias(f"{c}{suffix}")
+        for c in columns])
 
 
 def fit_by_entity(df: DataFrame, entity: str, y: str, ddof: int = 0, guard: str = "one",

@@ -63,6 +63,7 @@ class BuildOptions:
     train_end: str = TRAIN_END
     val_end: str = VAL_END
     small_installs: int = 100_000
+    small_entities: int = 1_000_000
     size: int = DEFAULT_SLAB
     spec: PanelSpec = field(default_factory=lambda: PANEL)
 
@@ -87,7 +88,8 @@ def enrich(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
     if src.solar is not None:
         df = J.effective_value(df, src.solar, "since", "power", spec, "max_solar")
     if src.capacity is not None:
-        df = K.fill_by_group_max(J.with_dimension(df, src.capacity, [spec.entity]), "max_power", spec)
+        df = K.fill_by_group_max(J.with_dimension(df, src.capacity, [spec.entity]), "max_power", spec,
+                                 small=opt.small_entities)
     if src.chargers is not None:
         df = J.effective_sum(df, src.chargers, "since", "power", spec, "max_ev", opt.small_installs)
     if src.weather is not None:
@@ -114,7 +116,8 @@ def build_silver(src: Sources, opt: BuildOptions | None = None,
                  stage: Stage = materialise) -> DataFrame:
     """Readings to a regular, enriched, split panel.
 
-    ``stage`` gets the frame and a name (conformed, enriched, trimmed, grid) and returns the frame to
+    ``stage`` gets the frame and a name (conformed,
+    enriched, trimmed, grid, prices) and returns the frame to
     go on with; pass a writer to keep the stages as tables.
     """
     opt = opt or BuildOptions()
@@ -128,7 +131,7 @@ def build_silver(src: Sources, opt: BuildOptions | None = None,
     df = repair(df, opt, static, numeric, stage)
     if src.prices is not None:
         filled = G.complete_time_table(src.prices, spec.with_(idx="_i"), PRICE_COLUMNS, opt.size)
-        df = J.with_prices(df, filled.drop("_i"), spec)
+        df = J.with_prices(df, stage(filled.drop("_i"), "prices"), spec)
     df = df.select("*", *[e.alias(n) for n, e in calendar_fields(spec.ts).items()])
     return G.label_splits(df, opt.train_end, opt.val_end, spec)
 

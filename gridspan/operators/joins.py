@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, great_circle
 from ..plans.lineage import cut
-from ..plans.sizing import at_most
+from ..plans.sizing import at_most, small_side
 from ..plans.slabs import running_sums
 from ..spec import PANEL, PanelSpec
 
@@ -78,9 +78,14 @@ def translate_key(df: DataFrame, bridge: DataFrame, old: str, new: str) -> DataF
         new, *[c for c in df.columns if c not in (old, new)])
 
 
-def with_prices(df: DataFrame, prices: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
-    """Time-only price columns on every entity."""
-    return df.join(prices, spec.ts, "left")
+def with_prices(df: DataFrame, prices: DataFrame, spec: PanelSpec = PANEL,
+                small: int = 1_000_000) -> DataFrame:
+    """Time-only price columns on every entity.
+
+    Prices have one row per hour; up to ``small`` rows they are copied to the executors, so
+    that the panel is not shuffled by time.  0 leaves the choice to Spark.
+    """
+    return df.join(small_side(prices, small) if small else prices, spec.ts, "left")
 
 
 def location_key(lat: str, lon: str, digits: int = 4) -> list[Column]:

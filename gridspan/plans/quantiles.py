@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: dict[str, float], accuracy: int = 2000) -> DataFrame:
     """One row per key with a column per entry of ``probs`` and the group size ``n``."""
-    wanted, names = list(keys), list(probs)
+    keys, names = list(keys), list(probs)
     margin = 4.0 / accuracy
-    data = df.select(*wanted, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    keys = wanted
-    if not keys:
-        keys, data = ["_all"], data.withColumn("_all", F.lit(0))
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
+
+    def attach(left: DataFrame, facts: DataFrame) -> DataFrame:
+        """Per-key facts on the rows; without keys they are one row, read as scalars."""
+        if keys:
+            return left.join(facts, keys)
+        row = facts.select(F.struct(*facts.columns).alias("_row")).scalar()
+        return left.select("*", row.alias("_row")).select("*", "_row.*").drop("_row")
 
     marks = []
     for p in probs.values():
@@ -46,7 +50,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         F.struct(edge(2 * i).alias("lo"), edge(2 * i + 1).alias("hi")).alias(f"_b{i}")
         for i in range(len(names))])
 
-    hit = data.join(brackets, keys)
+    hit = attach(data, brackets)
     below = hit.groupBy(*keys).agg(F.first("n").alias("n"), *[
         F.sum(F.when(F.col("_v") < F.col(f"_b{i}.lo"), 1).otherwise(0)).alias(f"_below{i}")
         for i in range(len(names))])
@@ -57,7 +61,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
     up = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_cum", F.sum("count").over(up))
-    ranked = ranked.join(below, keys)
+    ranked = attach(ranked, below)
     picks = []
     for i, (name, p) in enumerate(probs.items()):
         pos = (F.col("n") - 1) * F.lit(p)
@@ -72,5 +76,4 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                      .otherwise(F.raise_error(F.lit(f"rank of {name} outside its bracket"))
                                 .cast("double"))
                      .alias(name))
-    return (ranked.groupBy(*keys).agg(F.first("n").alias("n"), *picks)
-            .select(*wanted, "n", *names))
+    return ranked.groupBy(*keys).agg(F.first("n").alias("n"), *picks)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.search import gram_rows, solve, unpack
+from ..plans.sizing import small_result
 from ..spec import PANEL, PanelSpec
 from .enrich import _exists
 
@@ -47,7 +48,7 @@ def predict_then_learn(df: DataFrame, features: Sequence[str], spec: PanelSpec =
     sums = daily.select("day", *[F.col("gram")[i].alias(f"_g{i}") for i in range(size)])
     past = sums.select("day", F.array(*[F.sum(f"_g{i}").over(before) for i in range(size)]).alias("gram"))
     coef = _coefficients(past.filter(F.col("gram")[0].isNotNull()), "day", len(features), ridge)
-    joined = df.withColumn("day", day).join(coef, "day", "left")
+    joined = df.withColumn("day", day).join(small_result(coef, 50_000), "day", "left")
     return joined.select(*df.columns, "day", F.coalesce(_dot(features, "coef"), F.lit(0.0)).alias("pred"))
 
 
