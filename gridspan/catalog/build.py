@@ -48,13 +48,14 @@ _OPT = B.BuildOptions(min_rows=48, max_missing=10_000, min_days=0, max_gap=60, t
 
 _S_SILVER = _S_DIM + ", " + X.S_PRICES + """, c0 AS (SELECT event_type AS entity, date_trunc('hour', ts) AS ts,
   max(value) AS y FROM events GROUP BY 1, 2),
-  c1 AS (SELECT entity, ts, CASE WHEN entity = 'click' THEN least(y, 150.0) ELSE y END AS y FROM c0
+  c1 AS (SELECT entity, ts, max(y) OVER (PARTITION BY entity) AS top, CASE WHEN entity = 'click' THEN least(y, 150.0)
+    ELSE y END AS y FROM c0
     WHERE NOT (entity = 'view' AND ts < TIMESTAMP '2024-01-10')),
   c2 AS (SELECT * FROM c1 WHERE entity IN (SELECT entity FROM c1 GROUP BY 1 HAVING max(ts) >= (SELECT max(ts) FROM c1)
     - INTERVAL 7 DAY AND count(*) >= 48)),
   c3 AS (SELECT c.entity, c.ts, c.y, d.latitude, d.longitude, d.station_type, CASE WHEN CAST(c.ts AS DATE) >
     CAST(s.since AS DATE) THEN s.power ELSE 0.0 END AS max_solar, CASE WHEN c.entity <> 'click' THEN 400.0 ELSE
-    max(c.y) OVER (PARTITION BY c.entity) END AS max_power, coalesce((SELECT sum(power) FROM chargers g WHERE g.entity
+    c.top END AS max_power, coalesce((SELECT sum(power) FROM chargers g WHERE g.entity
     = c.entity AND g.since <= c.ts), 0.0) AS max_ev, w.temperature_2m FROM c2 c JOIN dim d ON d.entity = c.entity
     LEFT JOIN solar s ON s.entity = c.entity LEFT JOIN weather w ON w.ts = c.ts AND w.latitude = d.latitude AND
     w.longitude = d.longitude),
@@ -67,7 +68,7 @@ _S_FILLED = _S_SILVER + ", near AS (SELECT *, " + ", ".join(
     f"OVER p AS {c}_pt, first_value({c} IGNORE NULLS) OVER n AS {c}_n, first_value(CASE WHEN {c} IS NOT NULL THEN t "
     f"END IGNORE NULLS) OVER n AS {c}_nt" for c in _NUM) + """ FROM g0 WINDOW p AS (PARTITION BY entity ORDER BY ts
   ROWS UNBOUNDED PRECEDING), n AS (PARTITION BY entity ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-  silver AS (SELECT n.entity, n.ts, """ + ", ".join(
+  silver AS (SELECT n.entity, n.ts, date_diff('hour', (SELECT min(ts) FROM g0), n.ts) AS time_idx, """ + ", ".join(
     f"coalesce(n.{c}, {c}_p + ({c}_n - {c}_p) * (t - {c}_pt) / nullif({c}_nt - {c}_pt, 0), {c}_p) AS {c}"
     for c in _NUM) + """, d.latitude, d.longitude, d.station_type, p.dam_price, p.buy_bm_price, CASE WHEN n.ts <
   TIMESTAMP '2024-01-20' THEN 'train' WHEN n.ts < TIMESTAMP '2024-01-25' THEN 'val' ELSE 'test' END AS data_subset
@@ -78,7 +79,7 @@ _S_FILLED = _S_SILVER + ", near AS (SELECT *, " + ", ".join(
        "y max_solar max_power max_ev temperature_2m latitude longitude dam_price buy_bm_price")
 def silver(spark, d):
     df = B.build_silver(_sources(spark, d), _OPT)
-    return df.select("entity", "ts", *_NUM, "latitude", "longitude", "station_type", "dam_price", "buy_bm_price",
+    return df.select("entity", "ts", "time_idx", *_NUM, "latitude", "longitude", "station_type", "dam_price", "buy_bm_price",
                      "data_subset")
 
 

@@ -69,19 +69,20 @@ class BuildOptions:
 
 
 def conform(src: Sources, opt: BuildOptions) -> DataFrame:
-    """Unique (entity, hour) readings in UTC with rules applied; copies keep the largest value."""
+    """Unique (entity, hour) readings in UTC; copies keep the largest value."""
     spec, df = opt.spec, opt.spec.require(src.readings)
     if opt.zone:
         df = df.withColumn(spec.ts, to_utc(spec.ts, opt.zone, opt.ambiguous))
-    df = df.filter(F.col(spec.ts).isNotNull()).groupBy(
+    return df.filter(F.col(spec.ts).isNotNull()).groupBy(
         spec.entity, F.date_trunc("hour", spec.ts).alias(spec.ts)).agg(F.max(spec.y).alias(spec.y))
-    return K.apply_rules(df, src.rules, spec) if src.rules is not None else df
 
 
-def enrich(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
-    """Station attributes, capacities, weather."""
-    spec = opt.spec
-    stations = src.stations
+def describe(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
+    """Station attributes, solar and connected capacity, then the rules.
+
+    A missing capacity is the largest reading before the rules cut any.
+    """
+    spec, stations = opt.spec, src.stations
     if src.patch is not None:
         stations = K.patch_missing(stations, src.patch, spec.entity, ["latitude", "longitude"])
     df = J.with_dimension(df, stations, [spec.entity])
@@ -90,16 +91,23 @@ def enrich(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
     if src.capacity is not None:
         df = K.fill_by_group_max(J.with_dimension(df, src.capacity, [spec.entity]), "max_power", spec,
                                  small=opt.small_entities)
-    if src.chargers is not None:
-        df = J.effective_sum(df, src.chargers, "since", "power", spec, "max_ev", opt.small_installs)
+    return K.apply_rules(df, src.rules, spec) if src.rules is not None else df
+
+
+def surround(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
+    """Weather and charger capacity."""
+    spec = opt.spec
     if src.weather is not None:
         df = J.fill_weather(df, src.weather, src.weather_columns, spec)
+    if src.chargers is not None:
+        df = J.effective_sum(df, src.chargers, "since", "power", spec, "max_ev", opt.small_installs)
     return df
 
 
 def repair(df: DataFrame, opt: BuildOptions, static: Sequence[str], numeric: Sequence[str],
            stage: Stage = materialise) -> DataFrame:
-    """Drop entities with long gaps, complete the grid, fill statics, interpolate numbers."""
+    """Drop entities with long gaps, complete the grid, fill statics, interpolate numbers; the
+    index counts from the first stamp left."""
     spec = opt.spec
     bad = G.longest_gaps(df, spec, opt.max_gap, opt.size).filter("action = 'DROP'").select(spec.entity)
     full = G.full_grid(df.join(bad, spec.entity, "left_anti"), spec, opt.size)
@@ -109,7 +117,8 @@ def repair(df: DataFrame, opt: BuildOptions, static: Sequence[str], numeric: Seq
         values = df.groupBy(spec.entity).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(spec.ts)))
                                                .alias(c) for c in known])
         full = full.drop(*known).join(values, spec.entity)
-    return G.interpolate(stage(full, "grid"), numbers, spec, size=opt.size)
+    full = stage(full, "grid")
+    return G.interpolate(G.index_from(full, spec=spec), numbers, spec, size=opt.size)
 
 
 def build_silver(src: Sources, opt: BuildOptions | None = None,
@@ -122,8 +131,9 @@ def build_silver(src: Sources, opt: BuildOptions | None = None,
     """
     opt = opt or BuildOptions()
     spec = opt.spec
-    df = K.keep_covered(stage(conform(src, opt), "conformed"), spec, opt.tail_days, opt.min_rows)
-    df = stage(enrich(df, src, opt), "enriched")
+    df = describe(stage(conform(src, opt), "conformed"), src, opt)
+    df = K.keep_covered(df, spec, opt.tail_days, opt.min_rows)
+    df = stage(surround(df, src, opt), "enriched")
     df = G.index_from(df, spec=spec)
     df = stage(G.trim_to_tail(df, spec, opt.max_missing, opt.min_days, opt.size), "trimmed")
     static = [c for c in src.stations.columns if c != spec.entity]
@@ -142,7 +152,7 @@ def inference_frame(src: Sources, start: str, end: str, opt: BuildOptions | None
     opt = opt or BuildOptions()
     spec = opt.spec
     grid = G.extend(conform(src, opt), start, end, spec)
-    df = G.index_from(enrich(grid, src, opt), spec=spec)
+    df = G.index_from(surround(describe(grid, src, opt), src, opt), spec=spec)
     if src.prices is not None:
         df = J.with_prices(df, src.prices, spec)
     return df.select("*", *[e.alias(n) for n, e in calendar_fields(spec.ts).items()])

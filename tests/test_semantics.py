@@ -249,7 +249,7 @@ def test_build_in_local_time_has_no_gap(spark):
     df = ts(spark.createDataFrame([("a", str(t), 1.0) for t in local], "entity string, ts string, y double"), "ts")
     st = spark.createDataFrame([("a", 50.0, 30.0)], "entity string, latitude double, longitude double")
     opt = B.BuildOptions(zone="Europe/Kyiv", min_rows=1, min_days=1)
-    got = B.build_silver(B.Sources(df, st), opt, lambda f, n: f)
+    got = B.build_silver(B.Sources(df, st), opt).cache()
     assert got.count() == 71 and G.missing_counts(got).first().missing_count == 0
     assert got.filter("latitude is null or y is null").count() == 0
 

@@ -173,3 +173,21 @@ def test_grid_and_interpolation_are_idempotent(spark):
     twice = G.interpolate(G.full_grid(once, PANEL, 33), ["y"], size=33)
     assert rows(once.select("entity", "time_idx", F.round("y", 9))) == rows(
         twice.select("entity", "time_idx", F.round("y", 9)))
+
+
+def test_a_hot_key_is_spread_over_slabs(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id") % 50)).alias("entity"),
+        F.floor(F.col("id") / 3).alias("time_idx"))
+    near = spread(df, "time_idx", 336, 0, 1000)
+    most = near.groupBy("entity", SLAB).count().agg(F.max("count")).first()[0]
+    assert most <= 1336
+    plan = L.lag_columns(df.withColumn("y", F.lit(1.0)), [336], size=1000)._jdf.queryExecution().toString()
+    assert "hashpartitioning(entity" in plan and "_slab" in plan.split("hashpartitioning(entity")[1][:40]
+
+
+def test_rank_filters_are_cut_before_the_shuffle(spark):
+    from gridspan.operators import clean as K
+    df = frame(spark, panel(3))
+    plan = K.last_rows(df, 24, order="time_idx")._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
