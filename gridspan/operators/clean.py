@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.sizing import small_result
-from ..spec import PANEL, PanelSpec, require_columns
+from ..spec import (COORDINATES, DROP_BEFORE, PANEL, PRICE_OVERRIDES, VALUE_CAPS, PanelSpec,
+                    require_columns)
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FLOATS = (T.FloatType, T.DoubleType)
 
 
 def project(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -52,6 +56,24 @@ def rules_frame(spark, drop_before: Mapping[str, str], caps: Mapping[str, float]
             .withColumn("since", F.col("since").cast("timestamp_ntz")))
 
 
+def published_rules(spark, entity: str = "entity") -> DataFrame:
+    """The rule table of the published data set."""
+    return rules_frame(spark, DROP_BEFORE, VALUE_CAPS, PRICE_OVERRIDES, entity)
+
+
+def published_coordinates(spark, entity: str = "entity") -> DataFrame:
+    """Coordinates of the entities the published dictionary leaves out."""
+    rows = [(k, lat, lon) for k, (lat, lon) in COORDINATES.items()]
+    return spark.createDataFrame(rows, f"{entity} string, latitude double, longitude double")
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN becomes NULL in every float column: aggregates and comparisons skip NULL only."""
+    return df.select(*[
+        F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast(f.dataType)).alias(f.name)
+        if isinstance(f.dataType, _FLOATS) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def apply_rules(df: DataFrame, rules: DataFrame, spec: PanelSpec = PANEL,
                 override_column: str | None = None) -> DataFrame:
     """Per-entity rules: drop rows before ``since``, cap ``y``, replace a constant column."""
@@ -189,10 +211,6 @@ def first_rows(df: DataFrame, n: int, spec: PanelSpec = PANEL, order: str | None
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_FLOATS = (T.FloatType, T.DoubleType)
-
-
 def narrowing_profile(df: DataFrame) -> DataFrame:
     """Range, decimals (up to 3, 4 = more) and chosen storage of every numeric column."""
     numeric = [f for f in df.schema.fields if isinstance(f.dataType, _INTEGERS + _FLOATS)]

@@ -210,9 +210,8 @@ def nearest(dim: DataFrame, key: str, lat: str, lon: str, k: int = 8) -> DataFra
             break
         radius = F.lit(EARTH_KM * 0.999999) * F.asin(
             F.lit(_sine(size)) * F.cos(F.radians("lat")))
-        ok = (top.filter(F.col("distance") <= radius).groupBy("lat", "lon").count()
-              .filter(F.col("count") == k + 1).select("lat", "lon"))
-        settled = cut(top.join(ok, ["lat", "lon"], "left_semi")
+        inside = F.count_if(F.col("distance") <= radius).over(Window.partitionBy("lat", "lon"))
+        settled = cut(top.withColumn("_inside", inside).filter(F.col("_inside") == k + 1)
                       .select("lat", "lon", "id", "distance"))
         found.append(settled)
         pending = cut(pending.join(settled, ["lat", "lon"], "left_anti"))

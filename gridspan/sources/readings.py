@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import from_date_and_hour
-from ..operators.clean import drop_labels, project
+from ..operators.clean import drop_labels, nan_to_null, project
 from ..spec import PANEL, TOTAL_LABELS, PanelSpec, require_columns
 
 
@@ -46,9 +46,9 @@ def conform_readings(raw: DataFrame, entity: str = "entity", date: str = "date",
     require_columns(raw, [entity, date, hour, value])
     kept = drop_labels(raw, entity, labels)
     rest = [c for c in raw.columns if c not in (entity, date, hour, value)]
-    return kept.select(kept[entity].alias(spec.entity),
-                       from_date_and_hour(date, hour).alias(spec.ts),
-                       kept[value].alias(spec.y), *rest)
+    return nan_to_null(kept.select(kept[entity].alias(spec.entity),
+                                   from_date_and_hour(date, hour).alias(spec.ts),
+                                   kept[value].alias(spec.y), *rest))
 
 
 def read_panel(spark: SparkSession, path: str, spec: PanelSpec = PANEL,

@@ -56,6 +56,32 @@ DROP_BEFORE = {
 }
 # Upper bound of a reading for the entity.
 VALUE_CAPS = {"62Z0101426517156": 210.0}
+# Constant distribution price of the entity.
+PRICE_OVERRIDES = {"62Z8937841078757": 2.31163}
+# Coordinates (latitude, longitude) of entities whose dictionary entry lacks them.
+COORDINATES = {
+    "62Z0602349894257": (48.763904006776954, 28.077456990197557),
+    "62Z6035944504754": (49.153510259625534, 23.049801982501872),
+    "62Z8888861892130": (48.309249416757545, 25.11895645420284),
+    "62Z1209368438999": (49.78531388363913, 24.927028292321978),
+    "62Z1771663109656": (49.453445499775405, 23.020911411362146),
+    "62Z2532379651825": (49.29362429838761, 23.41030049170128),
+    "62Z3261331410025": (49.56421176098104, 23.304357225434188),
+    "62Z3627036877597": (48.51882104530565, 28.760435421364264),
+    "62Z5422632680702": (50.22822399875523, 24.83726310970472),
+    "62Z0763594350330": (49.369735771908296, 23.47527668624802),
+    "62Z7029546479880": (49.77948499692157, 24.013408048459073),
+    "62Z7072263538637": (49.86242688799433, 24.062926768794956),
+    "62Z7766151236986": (50.46762760936502, 24.26123769025777),
+    "62Z5064314448909": (48.149046045899055, 23.322957181272095),
+    "62Z9342951787758": (49.28552561066835, 23.534192240667057),
+    "62Z8521105012164": (48.36054435942602, 29.536275478873062),
+    "62Z1142387881356": (49.76402754584019, 31.39902598856454),
+    "62Z6624735969589": (48.94419405940688, 24.149295411716132),
+    "62Z5956494916290": (49.95178196130912, 25.31699531547816),
+    "62Z0717322121288": (48.207039717684104, 23.522199099176),
+    "62Z568600499251K": (49.74638889010666, 31.486251700927244),
+}
 
 
 @dataclass(frozen=True)

@@ -258,3 +258,16 @@ def test_pick_orders(spark):
     c = spark.createDataFrame([("c", i, float(i), float(10 - i)) for i in range(8)],
                               "cluster string, order_id int, aic double, val_money_pct double")
     assert V.pick_orders(c, "cluster", 5).first().order_id == 4
+
+
+def test_published_tables(spark):
+    rules = K.published_rules(spark)
+    assert rules.count() == 11 and rules.filter("since is not null").count() == 10
+    coords = K.published_coordinates(spark)
+    assert coords.count() == 21
+    assert coords.filter("latitude between 48 and 51 and longitude between 22 and 32").count() == 21
+
+
+def test_nan_is_unknown(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("b", 1.0), ("c", None)], "k string, v double")
+    assert [r.v for r in K.nan_to_null(df).orderBy("k").collect()] == [None, 1.0, None]
