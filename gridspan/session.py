@@ -10,6 +10,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of frames no longer in use are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Rank filters (last rows of an entity) are cut before the shuffle up to this rank.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _done(spark: SparkSession, path: str, schema: StructType, before: int) -> DataFrame:
-    """Rows written by earlier batches."""
-    full = StructType(schema.fields).add("batch", "long")
+def _done(spark: SparkSession, path: str, keys: StructType, before: int) -> DataFrame:
+    """Keys written by earlier batches (only the key columns are read)."""
+    schema = StructType(list(keys.fields)).add("batch", "long")
     if not _exists(spark, path):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path).filter(F.col("batch") < before)
+        return spark.createDataFrame([], keys)
+    found = spark.read.schema(schema).parquet(path).filter(F.col("batch") < before)
+    return found.select(*keys.names).distinct()
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -26,7 +27,8 @@ def enrich_available(stream: DataFrame, keys: Sequence[str], enrich: Callable[[D
                      output: str, checkpoint: str, stop: Callable[[], bool] = lambda: False) -> None:
     """Enrich the rows whose key no earlier batch has, batch by batch.
 
-    Each batch owns the directory ``batch=<id>`` and overwrites it, so a replayed batch leaves
+    ``enrich`` sees only the rows left and keeps the key columns; use keys as fine as the rows
+    (entity and time for a panel) where later rows of an entity must not be skipped.  Each batch owns the directory ``batch=<id>`` and overwrites it, so a replayed batch leaves
     one copy.  ``stop`` ends the run between batches; the next run goes on from there.
     """
     keys = list(keys)
@@ -35,9 +37,9 @@ def enrich_available(stream: DataFrame, keys: Sequence[str], enrich: Callable[[D
         spark = batch.sparkSession
         if stop():
             raise StopRequested(f"stopped before batch {number}")
-        rich = enrich(batch)
-        earlier = _done(spark, output, rich.schema, number).select(*keys).distinct()
-        rich.join(earlier, keys, "left_anti").write.mode("overwrite").parquet(f"{output}/batch={number}")
+        earlier = _done(spark, output, batch.select(*keys).schema, number)
+        left = batch.join(earlier, keys, "left_anti")
+        enrich(left).write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     query = (stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
