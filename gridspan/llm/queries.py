@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules
+from . import exact_dedup, packing, quality_rules, token_counts
 from .common import documents
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """A public vocabulary file; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -35,7 +42,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
 _RULES = r"""
 WITH base AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
-words AS (SELECT r, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM base),
+words AS (SELECT r, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM base),
 spot AS (SELECT r, len(w) AS n, w, unnest(range(1, len(w) - 6)) AS p FROM words WHERE len(w) >= 8),
 win AS (SELECT r, p, n, count(*) OVER (PARTITION BY r, array_to_string(w[p:p + 7], ' ')) AS c FROM spot),
 hit AS (SELECT DISTINCT r, p + k AS q FROM win, range(0, 8) AS s(k) WHERE c > 1),
@@ -69,3 +76,13 @@ FROM f LEFT JOIN bad USING (source)"""
 @_query("op7_quality_rules", _RULES)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, folder))
+
+
+@_query("op3_best_fit_packing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, folder), tokenizer_file("word_bpe_49k.json"))
+
+
+@_query("op4_token_counts")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, folder), tokenizer_file("byte_bpe_50k.json"))
