@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +50,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything in ASCII that is neither a letter nor a digit.
+_IS_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BYTE = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _BASE)
 _LOWER_BYTE = _BYTE.copy()
 _LOWER_BYTE[65:91] = _BYTE[97:123]
@@ -65,7 +68,7 @@ def _power_table(n: int) -> np.ndarray:
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of the batch with at most ``limit`` bytes of text each; a longer text is alone."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
     ends, start, n = np.cumsum(sizes), 0, len(sizes)
     while start < n:
         before = ends[start - 1] if start else 0
@@ -76,7 +79,7 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8_000_000) -> I
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The texts' bytes end to end, and each text's start in them; null is empty."""
-    texts = pa.compute.fill_null(texts, "").cast(pa.large_string())
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = texts.buffers()
@@ -86,12 +89,15 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of some texts: 64-bit hashes in order, and where they stand."""
+    """The words of some texts: 64-bit hashes in order, and where they stand.
 
-    def __init__(self, texts: pa.Array, lower: bool = True, prefix: int = 0):
+    Words end at white space; with ``marks`` at every other ASCII mark as well.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = True, prefix: int = 0, marks: bool = False):
         raw, at = utf8(texts)
         self.bytes, self.at, self.n_docs = raw, at, len(at) - 1
-        space = _IS_SPACE[raw]
+        space = (_IS_MARK if marks else _IS_SPACE)[raw]
         word = ~space
         before = np.concatenate([[True], space[:-1]]) if len(raw) else space.copy()
         edges = at[:-1][at[:-1] < len(raw)]
@@ -139,3 +145,22 @@ class Words:
                               for d in few], np.uint64)
             docs, values = np.concatenate([docs, few]), np.concatenate([values, mixed(short)])
         return docs, values
+
+
+def keep_rows(docs: DataFrame, text: str, verdict, *extra: Column) -> DataFrame:
+    """The rows of ``docs``, whole, for which ``verdict()(texts, *extra)`` is true.
+
+    ``verdict()`` is called once per task and gives a function of Arrow arrays.  Nothing is shuffled.
+    """
+    n, at = len(docs.columns), docs.columns.index(text)
+    names = [f"keep_rows_{i}" for i in range(n + len(extra))]
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *extra).toDF(*names)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = verdict()
+        for batch in batches:
+            for part in text_slices(batch, names[at], 4_000_000):
+                mask = judge(part.column(at), *part.columns[n:])
+                yield pa.RecordBatch.from_arrays(part.columns[:n], names=names[:n]).filter(pa.array(mask))
+
+    return rows.mapInArrow(judged, rows.select(*names[:n]).schema).toDF(*docs.columns)

@@ -45,8 +45,18 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
-        self.words = WordCache(lambda ws: [np.array(i, "<u4").tobytes()
+        self.stems = WordCache(lambda ws: [np.array(i, "<u4").tobytes()
                                            for i in encode_all(self.tokenizer, ws)])
+        self.words = WordCache(self._by_stem)
+
+    def _by_stem(self, words: list[str]) -> list[bytes]:
+        """Plain letters and the stops behind them are merged apart, and case is dropped."""
+        parts = []
+        for w in words:
+            stem = w.rstrip(".,")
+            parts.append((stem.lower(), w[len(stem):]) if stem.isascii() and stem.isalpha() else (w, ""))
+        known = self.stems.learn({p for pair in parts for p in pair})
+        return [known[a] + known[b] for a, b in parts]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

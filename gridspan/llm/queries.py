@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, quality_rules, token_counts
+from . import exact_dedup, language_id, packing, quality_classifier, quality_rules, token_counts, toxicity
 from .common import documents
 
 QUERIES: dict = {}
@@ -86,3 +86,22 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op4_token_counts")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), tokenizer_file("byte_bpe_50k.json"))
+
+
+@_query("op6_language_id")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language_id(documents(spark, folder))
+
+
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+@_query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, folder), labels(spark, folder))
+
+
+@_query("op10_quality_classifier")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.classify(documents(spark, folder), labels(spark, folder))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,10 +83,10 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", key: str =
             for part in text_slices(batch, "text"):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 n = pa.array(counter.counts(texts), pa.int64())
-                size = pa.compute.cast(pa.compute.binary_length(
-                    pa.compute.fill_null(part.column("text"), "")), pa.int64())
+                size = pc.cast(pc.binary_length(
+                    pc.fill_null(part.column("text"), "")), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), size, n, pa.compute.greater(n, limit)],
+                    [part.column("doc_id"), size, n, pc.greater(n, limit)],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
