@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, quality_classifier, quality_rules, token_counts, toxicity
+from . import exact_dedup, katz, language_id, ngram_join, packing, quality_classifier, quality_rules, token_counts, toxicity
 from .common import documents
 
 QUERIES: dict = {}
@@ -105,3 +105,13 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_quality_classifier")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, folder), labels(spark, folder))
+
+
+@_query("op2_ngram_jaccard_join")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, folder))
+
+
+@_query("op8_katz_scores")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.katz_scores(documents(spark, folder))
