@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, katz, language_id, ngram_join, packing, quality_classifier, quality_rules, token_counts, toxicity
+from . import (exact_dedup, katz, language_id, ngram_join, packing, piece_lattice, quality_classifier,
+               quality_rules, token_counts, toxicity)
 from .common import documents
 
 QUERIES: dict = {}
@@ -115,3 +116,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op8_katz_scores")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return katz.katz_scores(documents(spark, folder))
+
+
+@_query("op5_piece_lattice")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_lattice.encode_pieces(documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
