@@ -29,18 +29,24 @@ _workers: dict[tuple[str, int], Lattice] = {}
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
-def chain(parts: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, bytes]]:
-    """The ``n`` best of all choices of one item per part, best first; each part is best first."""
-    total, ids = sum(p[0][0] for p in parts), [p[0][1] for p in parts]
+def chain(parts: list[list[tuple[float, bytes]]], n: int, best_ids: bool = False) -> list[tuple[float, bytes]]:
+    """The ``n`` best of all choices of one item per part, best first; each part is best first.
+
+    With ``best_ids`` only the first has its ids, the others have scores only.
+    """
+    total, ids = sum([p[0][0] for p in parts]), [p[0][1] for p in parts]
     # A choice that departs from the best item of some part costs at least that part's
     # first gap, so only the n - 1 parts with the least gaps can occur among the n best.
-    near = heapq.nsmallest(n - 1, ((p[0][0] - p[1][0], i) for i, p in enumerate(parts) if len(p) > 1))
+    near = heapq.nsmallest(n - 1, [(p[0][0] - p[1][0], i) for i, p in enumerate(parts) if len(p) > 1])
     found: list[tuple[float, tuple]] = [(0.0, ())]
     for _, i in near:
         options = [(parts[i][0][0] - s, (i, r)) for r, (s, _) in enumerate(parts[i][:n])]
-        found = heapq.nsmallest(n, ((a + g, c if at[1] == 0 else (*c, at)) for a, c in found for g, at in options))
+        found = sorted([(a + g, c if at[1] == 0 else (*c, at)) for a, c in found for g, at in options])[:n]
     out = []
     for gap, changes in found:
+        if changes and best_ids:
+            out.append((total - gap, b""))
+            continue
         mine = ids if not changes else list(ids)
         for i, r in changes:
             mine[i] = parts[i][r][1]
@@ -59,7 +65,7 @@ class Lattice:
         self.bytes = {int(model.id_to_piece(i)[1:-1], 16): i for i in range(size) if model.is_byte(i)}
         own = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.piece = {model.id_to_piece(i): (float(model.get_score(i)), np.array([i], "<u4").tobytes()) for i in own}
-        self.longest = max(map(len, self.piece))
+        self.starts = {p[:k] for p in self.piece for k in range(1, len(p) + 1)}
         self.inside = {p[k:k + 2] for p in self.piece for k in range(len(p) - 1)}
         self.spell = min(s for s, _ in self.piece.values() if s > -1e8) - SPELL_PENALTY
         self.text = [b""] * size
@@ -70,30 +76,32 @@ class Lattice:
         self.parts = WordCache(lambda ps: [self.search(p) for p in ps])
         self.words = WordCache(self._words)
 
-    def edges_to(self, part: str, end: int):
-        """(start, score, ids) of the pieces of ``part`` that end at ``end``."""
-        known = False
-        for start in range(max(0, end - self.longest), end):
-            hit = self.piece.get(part[start:end])
-            if hit:
-                known |= start == end - 1
-                yield start, *hit
-        if not known:
-            ids = np.array([self.bytes[b] for b in part[end - 1].encode("utf-8", "surrogatepass")], "<u4")
-            yield end - 1, self.spell, ids.tobytes()
+    def edges(self, part: str) -> list[list[tuple[int, float, bytes]]]:
+        """For each end, (start, score, ids) of the pieces that end there."""
+        size, piece, starts = len(part), self.piece.get, self.starts
+        ends: list[list] = [[] for _ in range(size + 1)]
+        for start in range(size):
+            for end in range(start + 1, size + 1):
+                text = part[start:end]
+                if text not in starts:
+                    break
+                hit = piece(text)
+                if hit:
+                    ends[end].append((start, *hit))
+            if part[start] not in self.piece:
+                ids = np.array([self.bytes[b] for b in part[start].encode("utf-8", "surrogatepass")], "<u4")
+                ends[start + 1].append((start, self.spell, ids.tobytes()))
+        return ends
 
     def search(self, part: str) -> list[tuple[float, bytes]]:
         """The N best segmentations of ``part``: score and ids, best first."""
-        size = len(part)
-        edges: list[list] = [[]]
-        ahead = [0.0]
+        size, edges = len(part), self.edges(part)
+        ahead = [0.0] * (size + 1)
         for end in range(1, size + 1):
-            mine = list(self.edges_to(part, end))
-            edges.append(mine)
-            ahead.append(max(ahead[s] + w for s, w, _ in mine))
-        found, serial = [], 0
+            ahead[end] = max([ahead[s] + w for s, w, _ in edges[end]])
+        found, serial, n, push = [], 0, self.n, heapq.heappush
         heap = [(-ahead[size], 0, size, 0.0, ())]
-        while heap and len(found) < self.n:
+        while heap and len(found) < n:
             _, _, at, behind, path = heapq.heappop(heap)
             if at == 0:
                 ids = []
@@ -104,7 +112,8 @@ class Lattice:
                 continue
             for start, w, ids in edges[at]:
                 serial += 1
-                heapq.heappush(heap, (-(ahead[start] + w + behind), serial, start, behind + w, (ids, path)))
+                w += behind
+                push(heap, (-(ahead[start] + w), serial, start, w, (ids, path)))
         return found
 
     def cut(self, word: str) -> list[str]:
@@ -122,11 +131,14 @@ class Lattice:
         known = self.parts.learn({p for parts in cut for p in parts})
         return [known[parts[0]] if len(parts) == 1 else chain([known[p] for p in parts], self.n) for parts in cut]
 
-    def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
-        """The N best of each text; the empty text has one segmentation, without pieces."""
+    def encode(self, texts: list[str], best_ids: bool = False) -> list[list[tuple[float, bytes]]]:
+        """The N best of each text; the empty text has one segmentation, without pieces.
+
+        With ``best_ids`` all have scores and only the best has ids.
+        """
         split = [_CHUNK.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
         known = self.words.learn({w for ws in split for w in ws})
-        return [chain([known[w] for w in ws], self.n) if ws else [(0.0, b"")] for ws in split]
+        return [chain([known[w] for w in ws], self.n, best_ids) if ws else [(0.0, b"")] for ws in split]
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids; the blank in front goes, bytes that are no UTF-8 are replaced."""
@@ -159,7 +171,7 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 3, text: str = "text", k
         for batch in batches:
             for part in text_slices(batch, "text"):
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                found = pieces.encode(texts)
+                found = pieces.encode(texts, best_ids=True)
                 ids = [f[0][1] for f in found]
                 columns = [part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
                            pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array([f[0][0] for f in found]),
