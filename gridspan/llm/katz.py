@@ -139,7 +139,7 @@ def _requests(rows: DataFrame, model, buckets: int) -> DataFrame:
                 before[np.concatenate([[0], last[:-1] + 1])] = _BEGIN
                 doc = np.repeat(np.arange(docs), total)
                 known = symbol != _OTHER
-                frequent = np.bincount(words.doc[known], np.log10(m.count[symbol[known]] + 1), docs)
+                frequent = np.bincount(words.doc[known], np.log10(m.count[symbol[known]] + 1), docs).astype(float)
                 frequent += np.log10(m.count[_END] + 1)
                 header = _bytes(total, np.bincount(words.doc[known], minlength=docs) + (m.count[_END] > 0), frequent)
                 out = [(name % buckets, 0, header)]
