@@ -31,7 +31,11 @@ BLOCK_SETS = 2048
 BLOCK_TOKENS = 2_000_000
 #: A side is broadcast up to this many rows of one hash.
 BROADCAST_ROWS = 2_000_000
+#: Tokens called common are at most this many, in at least ``_COMMON_SETS`` sets.
+COMMON = 1_000_000
+_COMMON_SETS = 10
 _RATIO = 1.45
+_MORE = 1.3
 _SEEN = 1_000_000
 
 
@@ -62,17 +66,20 @@ class Parts:
             low = high + 1
         self.lows = np.array(lows)
         differ = (den - num) * 2 * np.array(highs) // (den + num)
-        #: Two more than can differ: then two parts are equal, and one of them has tokens
-        #: unless the set has two empty parts.
-        self.parts = np.where(differ > 0, differ + 2, 0)
+        #: Linked sets have ``spare + 1`` equal parts at least.
+        self.parts = np.where(differ > 0, np.ceil(_MORE * differ).astype(np.int64) + 2, 0)
+        self.spare = np.maximum(self.parts - differ - 1, 0)
         self.num, self.den = num, den
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.lows, sizes, "right") - 1
 
-    def signatures(self, start: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def signatures(self, start: np.ndarray, token: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(document, signature) rows: a pair at the threshold meets in the class of its larger set."""
         sizes = np.diff(start)
+        where = np.searchsorted(common, token)
+        rare = np.append(common, np.uint64(0))[where] != token if len(common) else np.ones(len(token), bool)
+        rare |= where == len(common)
         own = self.of(np.maximum(sizes, 1))
         last = self.of(np.maximum(sizes * self.den // self.num, 1))
         docs, values = [], []
@@ -91,16 +98,16 @@ class Parts:
             owner = np.repeat(np.arange(len(sizes)), parts)
             place = np.arange(base[-1]) - base[owner]
             salt = mixed((level[owner].astype(np.uint64) << np.uint64(32)) | place.astype(np.uint64))
-            full = met > 0
-            docs.append(owner[full])
-            values.append(mixed(total[full] + salt[full]))
-            empty = np.flatnonzero(~full)
-            several = np.flatnonzero(np.bincount(owner[empty], minlength=len(sizes)) > 1)
-            for k in several:
-                mine = salt[empty[owner[empty] == k]]
-                i, j = np.triu_indices(len(mine), 1)
-                docs.append(np.full(len(i), k))
-                values.append(mixed(mine[i] * np.uint64(3) + mine[j]))
+            strong = np.bincount(at, rare[use], base[-1]) > 0
+            spare = self.spare[np.minimum(level, len(self.parts) - 1)]
+            weak = np.bincount(owner[~strong], minlength=len(sizes)) > spare
+            used = (met > 0) & (strong | weak[owner])
+            docs.append(owner[used])
+            values.append(mixed(total[used] + salt[used]))
+            # All equal parts of two sets can be empty only if each has that many empty parts.
+            hollow = np.flatnonzero((np.bincount(owner[met == 0], minlength=len(sizes)) > spare) & (parts > 0))
+            docs.append(hollow)
+            values.append(mixed(level[hollow].astype(np.uint64) + np.uint64(1 << 50)))
         if not docs:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(docs), np.concatenate(values).view(np.int64)
@@ -144,6 +151,38 @@ def _per_set(rows: DataFrame, n: int, schema: str, make) -> DataFrame:
     return rows.select("text").mapInArrow(made, schema)
 
 
+def common_tokens(rows: DataFrame, n: int) -> np.ndarray:
+    """Tokens that some task met in two sets and that are in many sets over all tasks, the most frequent first
+    up to ``COMMON``.  Which tokens these are bears on speed only."""
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seen = [], 0, set()
+
+        def counted():
+            names, met = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(names[met > 1].view(np.int64)), pa.array(met[met > 1])], names=["token", "n"])
+
+        for batch in batches:
+            for part in text_slices(batch, "text", 4_000_000):
+                start, token, h = text_sets(part.column("text"), n)
+                fresh = np.zeros(len(h), bool)
+                for i, value in enumerate(h.tolist()):
+                    fresh[i] = value not in seen
+                    seen.add(value)
+                if len(seen) > _SEEN:
+                    seen.clear()
+                held.append(token[np.repeat(fresh, np.diff(start))])
+                size += len(held[-1])
+                if size > 4_000_000:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    found = (rows.select("text").mapInArrow(often, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") >= _COMMON_SETS).orderBy(F.desc("n"), "token").limit(COMMON))
+    return np.sort(found.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+
+
 class Forest:
     """Union-find over small integers."""
 
@@ -238,10 +277,10 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     distinct = stage(sets.filter("n_shingles > 0").groupBy("set").agg(
         F.min("id").alias("least"), F.max("n_shingles").alias("n")), "distinct-sets")
     largest = distinct.agg(F.max("n")).first()[0] or 1
-    parts = Parts(num, den, largest)
+    parts, common = Parts(num, den, largest), docs.sparkSession.sparkContext.broadcast(common_tokens(rows, n))
 
     def signatures(start, token, h):
-        doc, value = parts.signatures(start, token)
+        doc, value = parts.signatures(start, token, common.value)
         return pa.RecordBatch.from_arrays([pa.array(value), pa.array(h[doc])], names=["sig", "set"])
 
     signed = _per_set(rows, n, "sig long, set long", signatures)
