@@ -159,7 +159,7 @@ def keep_rows(docs: DataFrame, text: str, verdict, *extra: Column) -> DataFrame:
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = verdict()
         for batch in batches:
-            for part in text_slices(batch, names[at], 4_000_000):
+            for part in text_slices(batch, names[at], 2_000_000):
                 mask = judge(part.column(at), *part.columns[n:])
                 yield pa.RecordBatch.from_arrays(part.columns[:n], names=names[:n]).filter(pa.array(mask))
 

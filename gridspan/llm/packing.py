@@ -26,6 +26,7 @@ from .common import stage, text_slices
 from .token_pieces import WordCache, encode_all, load
 
 EOS = 1
+STEMS = 150_000
 _workers: dict[str, Encoder] = {}
 
 
@@ -46,7 +47,7 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.stems = WordCache(lambda ws: [np.array(i, "<u4").tobytes()
-                                           for i in encode_all(self.tokenizer, ws)])
+                                           for i in encode_all(self.tokenizer, ws)], STEMS)
         self.words = WordCache(self._by_stem)
 
     def _by_stem(self, words: list[str]) -> list[bytes]:

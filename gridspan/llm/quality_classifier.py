@@ -65,7 +65,7 @@ def measured(docs: DataFrame, host: Column, path: Column, text: str, key: str) -
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 4_000_000):
+            for part in text_slices(batch, "text", 2_000_000):
                 x = text_measures(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     part.columns[:3] + [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), MEASURES)

@@ -21,6 +21,7 @@ from .common import Words, in_fold, keep_rows, mixed, stage, text_slices
 
 BITS = 20
 PREFIX = 4
+SLICE_BYTES = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES):
                 doc, place = terms(part.column("text"))
                 cut = np.searchsorted(doc, np.arange(len(part) + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -180,7 +181,7 @@ def score(docs: DataFrame, machine: Machine, *keep, text: str = "text") -> DataF
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Machine(places, bias, weight, vectors)
         for batch in batches:
-            for part in text_slices(batch, "fm_text", 4_000_000):
+            for part in text_slices(batch, "fm_text", SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names] + [pa.array(model.scores(part.column("fm_text")))],
                     names=names + ["score"])
