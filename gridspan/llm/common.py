@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,27 @@ def in_fold(key: Column, parts: int, fold: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % parts == fold, F.lit(False))
 
 
+_kept: dict[Hashable, object] = {}
+
+
+def release() -> None:
+    """Drop what this Python worker keeps for other operators and give free memory back to the system."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def kept(name: Hashable, make: Callable[[], object]):
+    """``make()``, kept by this Python worker for later tasks under ``name``; what it kept under another name goes."""
+    if name not in _kept:
+        release()
+        _kept[name] = make()
+    return _kept[name]
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values."""
     h = h ^ (h >> np.uint64(30))
@@ -157,9 +180,10 @@ def keep_rows(docs: DataFrame, text: str, verdict, *extra: Column) -> DataFrame:
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *extra).toDF(*names)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         judge = verdict()
         for batch in batches:
-            for part in text_slices(batch, names[at], 2_000_000):
+            for part in text_slices(batch, names[at], 1_000_000):
                 mask = judge(part.column(at), *part.columns[n:])
                 yield pa.RecordBatch.from_arrays(part.columns[:n], names=names[:n]).filter(pa.array(mask))
 

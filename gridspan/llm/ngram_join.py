@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mixed, stage, text_slices
+from .common import Words, mixed, release, stage, text_slices
 from .components import components
 
 GROUP = 64
@@ -118,8 +118,9 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for part in text_slices(batch, "text", 4_000_000):
+            for part in text_slices(batch, "text", 2_000_000):
                 start, _, h = text_sets(part.column("text"), n)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(start)), pa.array(h)],
                                                  names=["id", "n_shingles", "set"])
@@ -130,9 +131,10 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
 def _per_set(rows: DataFrame, n: int, schema: str, make) -> DataFrame:
     """Rows that ``make(start, token, hash)`` gives for sets that the task has not met lately."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: set[int] = set()
         for batch in batches:
-            for part in text_slices(batch, "text", 4_000_000):
+            for part in text_slices(batch, "text", 2_000_000):
                 start, token, h = text_sets(part.column("text"), n)
                 fresh = []
                 for i, value in enumerate(h.tolist()):
@@ -155,6 +157,7 @@ def common_tokens(rows: DataFrame, n: int) -> np.ndarray:
     """Tokens that some task met in two sets and that are in many sets over all tasks, the most frequent first
     up to ``COMMON``.  Which tokens these are bears on speed only."""
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held, size, seen = [], 0, set()
 
         def counted():
@@ -162,7 +165,7 @@ def common_tokens(rows: DataFrame, n: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(names[met > 1].view(np.int64)), pa.array(met[met > 1])], names=["token", "n"])
 
         for batch in batches:
-            for part in text_slices(batch, "text", 4_000_000):
+            for part in text_slices(batch, "text", 2_000_000):
                 start, token, h = text_sets(part.column("text"), n)
                 fresh = np.zeros(len(h), bool)
                 for i, value in enumerate(h.tolist()):

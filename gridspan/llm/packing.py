@@ -22,12 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_slices
+from .common import kept, stage, text_slices
 from .token_pieces import WordCache, encode_all, load
 
 EOS = 1
 STEMS = 150_000
-_workers: dict[str, Encoder] = {}
 
 
 @dataclass(frozen=True)
@@ -77,9 +76,7 @@ class Encoder:
 
 
 def _encoder(path: str) -> Encoder:
-    if path not in _workers:
-        _workers[path] = Encoder(path)
-    return _workers[path]
+    return kept(("ids", path), lambda: Encoder(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, tokens: int, text: str = "text", key: str = "doc_id",
@@ -92,7 +89,7 @@ def pieces(docs: DataFrame, tokenizer: str, tokens: int, text: str = "text", key
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", 2_000_000):
                 rows, piece, start, length, crc, ids = [], [], [], [], [], []
                 for row, raw in enumerate(encoder.ids([t or "" for t in part.column("text").to_pylist()])):
                     raw += end

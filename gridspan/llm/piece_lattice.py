@@ -19,13 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import kept, text_slices
 from .token_pieces import WordCache
 
 BLANK = "▁"
 #: Fixed value: what a spelled character costs beyond the worst piece.
 SPELL_PENALTY = 10.0
-_workers: dict[tuple[str, int], Lattice] = {}
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
@@ -147,9 +146,7 @@ class Lattice:
 
 
 def lattice(path: str, n: int) -> Lattice:
-    if (path, n) not in _workers:
-        _workers[path, n] = Lattice(path, n)
-    return _workers[path, n]
+    return kept(("lattice", path, n), lambda: Lattice(path, n))
 
 
 def encode_pieces(docs: DataFrame, model: str, n: int = 3, text: str = "text", key: str = "doc_id",

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, in_fold, keep_rows, stage, text_slices
+from .common import Words, in_fold, keep_rows, release, stage, text_slices
 
 MEASURES = 12
 STEPS = 8
@@ -64,8 +64,9 @@ def measured(docs: DataFrame, host: Column, path: Column, text: str, key: str) -
     kind = rows.schema["id"].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for part in text_slices(batch, "text", 2_000_000):
+            for part in text_slices(batch, "text", 1_000_000):
                 x = text_measures(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     part.columns[:3] + [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), MEASURES)

@@ -9,12 +9,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import kept, text_slices
 from .token_pieces import WordCache, encode_all, is_plain, load, safe_parts
 
 #: Texts beyond this many characters are encoded in parts.
 PART_CHARS = 65_536
-_workers: dict[str, Counter] = {}
 
 
 class Counter:
@@ -61,9 +60,7 @@ class Counter:
 
 
 def _counter(path: str) -> Counter:
-    if path not in _workers:
-        _workers[path] = Counter(path)
-    return _workers[path]
+    return kept(("counts", path), lambda: Counter(path))
 
 
 def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",

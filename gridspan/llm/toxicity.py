@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, in_fold, keep_rows, mixed, stage, text_slices
+from .common import Words, in_fold, keep_rows, mixed, release, stage, text_slices
 
 BITS = 20
 PREFIX = 4
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -145,6 +145,7 @@ def fit_machine(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(sample, "id")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in text_slices(batch, "text", SLICE_BYTES):
                 doc, place = terms(part.column("text"))
@@ -179,6 +180,7 @@ def score(docs: DataFrame, machine: Machine, *keep, text: str = "text") -> DataF
     places, bias, weight, vectors = machine.places, machine.bias, machine.weight, machine.vectors
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         model = Machine(places, bias, weight, vectors)
         for batch in batches:
             for part in text_slices(batch, "fm_text", SLICE_BYTES):
