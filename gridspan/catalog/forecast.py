@@ -164,14 +164,14 @@ EXOG = ("dam_price", "Hour", "day_of_week")
 
 def _split(spark, d):
     p = cut(_priced(spark, d))
-    return p.filter("time_idx < 600"), p.filter("time_idx >= 600 and time_idx < 648"), p
+    return p.filter("time_idx < 600"), p.filter("time_idx >= 600"), p
 
 
 @query("h3_decompose_forecast")
 def h3(spark, d):
     train, val, _ = _split(spark, d)
     chosen = train.select("entity").distinct().withColumn("order_id", F.lit(2))
-    return A.forecast_with_orders(train, val.drop("y"), chosen, 48, EXOG, size=SLAB)
+    return A.forecast_with_orders(train, val.drop("y"), chosen, A.reach(train, val), EXOG, size=SLAB)
 
 
 @query("h4_load_shape_clusters")
@@ -195,7 +195,7 @@ def h6(spark, d):
 @query("h6_common_order")
 def h6_common(spark, d):
     train, _, _ = _split(spark, d)
-    return A.common_order(train, 4, exog=EXOG, size=SLAB)
+    return A.common_order(train, exog=EXOG, size=SLAB)
 
 
 @query("h7_fit_and_score_fleet")
@@ -203,7 +203,7 @@ def h7(spark, d):
     """Every entity fitted and scored, all its products summed by Spark."""
     train, val, _ = _split(spark, d)
     chosen = train.select("entity").distinct().withColumn("order_id", F.lit(0))
-    f = A.forecast_with_orders(train, val.drop("y"), chosen, 48, EXOG, size=SLAB)
+    f = A.forecast_with_orders(train, val.drop("y"), chosen, A.reach(train, val), EXOG, size=SLAB)
     return V.score(f.drop("ts").join(val, ["entity", "time_idx"]), ["entity"])
 
 

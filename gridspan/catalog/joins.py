@@ -51,15 +51,14 @@ def c3(spark, d):
 
 
 @query("c3_effective_sum_small_side", with_(X.S_HOURLY, """inst AS (SELECT event_type AS entity,
-  date_trunc('day', ts) AS start, count(*) AS power FROM events WHERE user_id % 10 = 0 GROUP BY 1, 2)""",
+  date_trunc('day', ts) AS start, count(*) AS power FROM events GROUP BY 1, 2)""",
                                             body="""SELECT h.entity, h.ts, h.y, CAST(coalesce((SELECT
   sum(power) FROM inst i WHERE i.entity = h.entity AND i.start <= h.ts), 0) AS DOUBLE) AS max_ev
   FROM hourly h"""), "y max_ev")
 def c3_small(spark, d):
-    e = X.readings(spark, d).filter("user_id % 10 = 0")
-    inst = e.groupBy("entity", F.date_trunc("day", "ts").alias("start")).agg(
+    inst = X.readings(spark, d).groupBy("entity", F.date_trunc("day", "ts").alias("start")).agg(
         F.count("*").cast("double").alias("power"))
-    return J.effective_sum(X.hourly(spark, d), inst, "start", "power", small=100_000)
+    return J.effective_sum(X.hourly(spark, d), inst, "start", "power")
 
 
 @query("c4_translate_key", """SELECT n_name AS eic_code, s_suppkey, s_acctbal FROM supplier JOIN nation
@@ -166,12 +165,13 @@ def c12(spark, d):
     return J.neighbour_mean(X.supplier_daily(spark, d), J.neighbour_graph(_nearest(spark, d)), ["y"])
 
 
-@query("c13_alarm_hours", with_(Q.S_ALARMS, """hours AS (SELECT region_id, start, "end", unnest(
-  generate_series(date_trunc('hour', start), date_trunc('hour', "end"), INTERVAL 1 HOUR)) AS ts
-  FROM alarm_rows WHERE "end" > start), parts AS (SELECT region_id, ts, epoch(least("end", ts + INTERVAL
-  1 HOUR)) - epoch(greatest(start, ts)) AS s FROM hours)""", body="""SELECT region_id, ts,
-  count(*) AS alarms, least(60.0, sum(s) / 60) AS minutes FROM parts WHERE s > 0 GROUP BY 1, 2"""),
-       "minutes")
+@query("c13_alarm_hours", with_(Q.S_ALARMS, """spans AS (SELECT region_id, start, "end" - INTERVAL 1 SECOND AS
+  final FROM alarm_rows WHERE "end" > start), seconds AS (SELECT DISTINCT region_id, unnest(generate_series(
+  start, final, INTERVAL 1 SECOND)) AS s FROM spans), under AS (SELECT region_id, date_trunc('hour', s) AS ts,
+  count(*) / 60.0 AS minutes FROM seconds GROUP BY 1, 2), met AS (SELECT region_id, unnest(generate_series(
+  date_trunc('hour', start), date_trunc('hour', final), INTERVAL 1 HOUR)) AS ts FROM spans)""",
+                                body="""SELECT m.region_id, m.ts, count(*) AS alarms, any_value(minutes) AS minutes
+  FROM met m JOIN under u ON u.region_id = m.region_id AND u.ts = m.ts GROUP BY 1, 2"""), "minutes")
 def c13(spark, d):
     return J.alarm_hours(payloads.alarm_rows(Q._alarms(spark, d), "payload"))
 

@@ -38,17 +38,20 @@ def name_map(value: str | Column, mapping: dict[str, int], unknown: int | None =
                       F.lit(unknown).cast("int"))
 
 
-def categories(df: DataFrame, *columns: str, limit: int = 200) -> dict[str, list[str]]:
+def categories(df: DataFrame, *columns: str, limit: int | None = None) -> dict[str, list[str]]:
     """Sorted distinct values (as text) of columns meant for a wide layout, in one job.
 
-    Refuses a column with more than ``limit``; only so many values reach the driver.  Beyond
-    the limit use :func:`sparse_one_hot`, whose width does not enter the plan.
+    They become columns of a plan, so they reach the driver; a caller who does not know the width
+    may give a ``limit``, and a column with more values is refused.  For wide columns use
+    :func:`sparse_one_hot`, whose width does not enter the plan.
     """
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("p"))
-    rows = (pairs.select("p.c", "p.v").filter("v is not null").distinct()
-            .limit(limit * len(columns) + 1).collect())
+    pairs = pairs.select("p.c", "p.v").filter("v is not null").distinct()
+    rows = (pairs if limit is None else pairs.limit(limit * len(columns) + 1)).collect()
     found = {c: sorted(r["v"] for r in rows if r["c"] == c) for c in columns}
+    if limit is None:
+        return found
     large = [c for c, values in found.items() if len(values) > limit]
     if large or len(rows) > limit * len(columns):
         raise TooManyCategories(f"more than {limit} categories in {large or list(columns)}")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_fields
-from ..functions.timezone import to_utc
+from ..functions.timezone import to_local, to_utc
 from ..plans.lineage import cut
 from ..plans.slabs import DEFAULT_SLAB
 from ..spec import PANEL, PRICE_COLUMNS, TRAIN_END, VAL_END, PanelSpec
@@ -62,7 +62,6 @@ class BuildOptions:
     max_gap: int = 1
     train_end: str = TRAIN_END
     val_end: str = VAL_END
-    small_installs: int = 100_000
     small_entities: int = 1_000_000
     size: int = DEFAULT_SLAB
     spec: PanelSpec = field(default_factory=lambda: PANEL)
@@ -87,11 +86,23 @@ def describe(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
         stations = K.patch_missing(stations, src.patch, spec.entity, ["latitude", "longitude"])
     df = J.with_dimension(df, stations, [spec.entity])
     if src.solar is not None:
-        df = J.effective_value(df, src.solar, "since", "power", spec, "max_solar")
+        df = _on_local_clock(df, opt, lambda local: J.effective_value(
+            local, src.solar, "since", "power", spec, "max_solar"))
     if src.capacity is not None:
         df = K.fill_by_group_max(J.with_dimension(df, src.capacity, [spec.entity]), "max_power", spec,
                                  small=opt.small_entities)
-    return K.apply_rules(df, src.rules, spec) if src.rules is not None else df
+    if src.rules is not None:
+        df = _on_local_clock(df, opt, lambda local: K.apply_rules(local, src.rules, spec))
+    return df
+
+
+def _on_local_clock(df: DataFrame, opt: BuildOptions, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on stamps of the build's zone, in which dated facts and rules are given; UTC before and after."""
+    if not opt.zone:
+        return work(df)
+    ts = opt.spec.ts
+    local = df.withColumnRenamed(ts, "_utc").withColumn(ts, to_local("_utc", opt.zone))
+    return work(local).drop(ts).withColumnRenamed("_utc", ts)
 
 
 def surround(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
@@ -100,7 +111,8 @@ def surround(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
     if src.weather is not None:
         df = J.fill_weather(df, src.weather, src.weather_columns, spec)
     if src.chargers is not None:
-        df = J.effective_sum(df, src.chargers, "since", "power", spec, "max_ev", opt.small_installs)
+        df = _on_local_clock(df, opt, lambda local: J.effective_sum(
+            local, src.chargers, "since", "power", spec, "max_ev"))
     return df
 
 

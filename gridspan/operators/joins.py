@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, great_circle
 from ..plans.lineage import cut
-from ..plans.sizing import at_most, small_side
 from ..plans.slabs import running_sums
 from ..spec import PANEL, PanelSpec
 
@@ -43,23 +42,14 @@ def _seconds(c: str) -> Column:
 
 def effective_sum(df: DataFrame, installs: DataFrame, since: str, value: str,
                   spec: PanelSpec = PANEL, output: str = "max_ev",
-                  small: int = 0, slab_days: int = 84) -> DataFrame:
+                  slab_days: int = 84) -> DataFrame:
     """Sum of the values installed at or before each stamp (many installs per entity).
 
     Panel rows and installs are ordered on one time line per entity and a running sum is
     taken in slabs, so the work is linear in both sides and no (row, install) pairs arise.
-    When ``installs`` has at most ``small`` rows it is copied to the executors as sorted
-    arrays instead and the panel is not shuffled.
     """
     starts = (installs.filter(F.col(since).isNotNull() & F.col(value).isNotNull())
               .groupBy(spec.entity, _seconds(since).alias("_at")).agg(F.sum(value).alias("_add")))
-    if small and at_most(installs, small):
-        steps = starts.groupBy(spec.entity).agg(
-            F.collect_list(F.struct("_at", "_add")).alias("_steps"))
-        started = F.filter("_steps", lambda s: s["_at"] <= _seconds(spec.ts))
-        total = F.aggregate(started, F.lit(0.0), lambda acc, s: acc + s["_add"])
-        return df.join(F.broadcast(steps), spec.entity, "left").select(
-            *df.columns, F.coalesce(total, F.lit(0.0)).alias(output))
     # Even positions are installs, odd ones rows: an install at a stamp counts for it.
     rows = df.select("*", (_seconds(spec.ts) * 2 + 1).alias("_pos"),
                      F.lit(0.0).alias("_add"), F.lit(True).alias("_row"))
@@ -78,14 +68,9 @@ def translate_key(df: DataFrame, bridge: DataFrame, old: str, new: str) -> DataF
         new, *[c for c in df.columns if c not in (old, new)])
 
 
-def with_prices(df: DataFrame, prices: DataFrame, spec: PanelSpec = PANEL,
-                small: int = 1_000_000) -> DataFrame:
-    """Time-only price columns on every entity.
-
-    Prices have one row per hour; up to ``small`` rows they are copied to the executors, so
-    that the panel is not shuffled by time.  0 leaves the choice to Spark.
-    """
-    return df.join(small_side(prices, small) if small else prices, spec.ts, "left")
+def with_prices(df: DataFrame, prices: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
+    """Time-only price columns on every entity."""
+    return df.join(prices, spec.ts, "left")
 
 
 def location_key(lat: str, lon: str, digits: int = 4) -> list[Column]:
@@ -100,12 +85,15 @@ def fill_weather(df: DataFrame, weather: DataFrame, columns: Sequence[str],
                  order: str | None = None) -> DataFrame:
     """Join hourly weather by rounded location and time; only missing values are filled.
 
-    Duplicate weather rows keep the last one by ``order``.
+    Of duplicate weather rows the last one by ``order`` is taken whole; without an order, and
+    on a tie, the one with the largest values, compared column by column.
     """
     source = weather.select("*", *location_key(lat, lon))
     keys = [spec.ts, "_lat", "_lon"]
-    ranked = F.col(order) if order else F.lit(0)
-    latest = source.groupBy(*keys).agg(*[F.max_by(c, ranked).alias(f"{c}__new") for c in columns])
+    ranked = [F.col(order).alias("_order")] if order else []
+    new = F.struct(*ranked, *[F.col(c).alias(f"{c}__new") for c in columns])
+    latest = source.groupBy(*keys).agg(F.max(new).alias("_new")).select(
+        *keys, *[f"_new.{c}__new" for c in columns])
     joined = df.select("*", *location_key(lat, lon)).join(latest, keys, "left")
     kept = [c for c in df.columns if c not in columns]
     filled = [F.coalesce(c, f"{c}__new").alias(c) if c in df.columns
@@ -133,18 +121,36 @@ def semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
 
 # --- alarms -----------------------------------------------------------------------------
 
+_HOUR = 3_600_000_000  # microseconds
+
+
 def alarm_hours(alarms: DataFrame, region: str = "region_id", start: str = "start",
-                end: str = "end") -> DataFrame:
-    """Alarm intervals to region-hours: number of alarms and minutes under alarm (<= 60)."""
-    hours = F.explode(F.sequence(F.date_trunc("hour", start), F.date_trunc("hour", end),
-                                 F.expr("interval 1 hour"))).alias("ts")
-    parts = alarms.filter(F.col(end) > F.col(start)).select(region, start, end, hours)
-    stop = F.least(F.col(end), F.col("ts") + F.expr("interval 1 hour"))
-    seconds = (stop.cast("timestamp").cast("long")
-               - F.greatest(F.col(start), F.col("ts")).cast("timestamp").cast("long"))
-    return (parts.withColumn("_s", seconds).filter("_s > 0").groupBy(region, "ts")
-            .agg(F.count("*").alias("alarms"),
-                 F.least(F.sum("_s") / 60, F.lit(60.0)).alias("minutes")))
+                end: str = "end", until: Column | None = None) -> DataFrame:
+    """Alarm intervals to region-hours: number of alarms, and minutes under any alarm.
+
+    Alarms that overlap are not counted twice in ``minutes``.  An alarm without an end lasts to
+    ``until``, by default the latest stamp of the table.  Alarms are cut by day, then by hour; the
+    parts of one region and hour are merged in order of their starts.
+    """
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    known = alarms.filter(F.col(start).isNotNull())
+    if until is None:
+        until = known.agg(F.max(F.greatest(start, end)).alias("_until")).scalar()
+    spans = known.select(region, micros(F.col(start)).alias("_a"),
+                         micros(F.coalesce(F.col(end), until)).alias("_b")).filter("_b > _a")
+    hour = lambda c: f"(({c}) - pmod({c}, {_HOUR})) div {_HOUR}"
+    spans = spans.withColumn("_first", F.expr(hour("_a"))).withColumn("_last", F.expr(hour("_b - 1")))
+    days = spans.withColumn("_day", F.explode(F.expr(
+        "sequence((_first - pmod(_first, 24)) div 24, (_last - pmod(_last, 24)) div 24)")))
+    parts = days.withColumn("_h", F.explode(F.expr(
+        "sequence(greatest(_first, _day * 24), least(_last, _day * 24 + 23))")))
+    begun = parts.groupBy(region, "_h", F.greatest("_a", F.col("_h") * _HOUR).alias("_from")).agg(
+        F.max(F.least("_b", (F.col("_h") + 1) * _HOUR)).alias("_to"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(region, "_h").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.greatest("_from", F.max("_to").over(earlier))
+    return (begun.withColumn("_s", F.greatest(F.col("_to") - covered, F.lit(0)))
+            .groupBy(region, F.timestamp_micros(F.col("_h") * _HOUR).alias("ts"))
+            .agg(F.sum("_n").alias("alarms"), (F.sum("_s") / 60e6).alias("minutes")))
 
 
 def requirement_spans(df: DataFrame, region: str, ids: DataFrame,

@@ -193,13 +193,25 @@ def recent(df: DataFrame, steps: int, spec: PanelSpec = PANEL) -> DataFrame:
     return df.join(last, spec.entity).filter(F.col(spec.idx) > F.col("_b") - steps).drop("_b")
 
 
+def reach(past: DataFrame, future: DataFrame, spec: PanelSpec = PANEL) -> int:
+    """The largest number of steps from the end of an entity's past to the end of its future, 1 at least."""
+    ends = past.groupBy(spec.entity).agg(F.max(spec.idx).alias("_b")).join(
+        future.groupBy(spec.entity).agg(F.max(spec.idx).alias("_e")), spec.entity)
+    return max(ends.agg(F.max(F.col("_e") - F.col("_b"))).first()[0] or 1, 1)
+
+
 def candidate_search(train: DataFrame, val: DataFrame, orders: Sequence[tuple[int, int]] | None = None,
-                     horizon: int = 48, exog: Sequence[str] = EXOG, spec: PanelSpec = PANEL,
-                     evaluation: EvalSpec = EVAL, tail: int = 24 * 90,
+                     horizon: int | None = None, exog: Sequence[str] = EXOG, spec: PanelSpec = PANEL,
+                     evaluation: EvalSpec = EVAL, tail: int | None = None,
                      size: int = DEFAULT_SLAB) -> DataFrame:
-    """(entity, order) with AIC on the training tail and cost percent on validation."""
+    """(entity, order) with AIC on the training rows and cost percent on validation.
+
+    All steps of ``val`` are scored and all of ``train`` is read, unless ``horizon`` or ``tail``
+    says fewer.
+    """
     orders = orders or orders_grid()
-    dec = cut(decompose(recent(train, tail, spec), spec, size=size))
+    dec = cut(decompose(recent(train, tail, spec) if tail else train, spec, size=size))
+    horizon = horizon or reach(train, val, spec)
     fitted = cut(fit_orders(dec, orders, exog, spec, size=size))
     paths = residual_paths(dec, fitted, val, horizon, exog, spec, max(p for p, _ in orders))
     pred = recompose(dec, horizon, spec, residual=paths).filter(F.col("order_id").isNotNull())
@@ -242,12 +254,14 @@ def _with_fallback(members: DataFrame, best: DataFrame, key: str) -> DataFrame:
                          "aic", "val_money_pct", F.col("aic").isNull().alias("fallback"))
 
 
-def common_order(train: DataFrame, first_n: int, orders: Sequence[tuple[int, int]] | None = None,
-                 exog: Sequence[str] = EXOG, spec: PanelSpec = PANEL, tail: int = 24 * 90,
+def common_order(train: DataFrame, first_n: int | None = None, orders: Sequence[tuple[int, int]] | None = None,
+                 exog: Sequence[str] = EXOG, spec: PanelSpec = PANEL, tail: int | None = None,
                  size: int = DEFAULT_SLAB) -> DataFrame:
-    """AIC only, on the first entities in order: how often each order is the best."""
-    some = train.select(spec.entity).distinct().orderBy(spec.entity).limit(first_n)
-    dec = decompose(recent(train.join(some, spec.entity, "left_semi"), tail, spec), spec, size=size)
+    """AIC only: for how many entities (all, or the first ones in order) each order is the best."""
+    if first_n:
+        some = train.select(spec.entity).distinct().orderBy(spec.entity).limit(first_n)
+        train = train.join(some, spec.entity, "left_semi")
+    dec = decompose(recent(train, tail, spec) if tail else train, spec, size=size)
     fitted = fit_orders(dec, orders or orders_grid(), exog, spec, size=size)
     w = Window.partitionBy(spec.entity).orderBy("aic", "order_id")
     best = fitted.withColumn("_r", F.row_number().over(w)).filter("_r = 1")

@@ -59,12 +59,12 @@ def test_solar_is_active_after_the_install_day(spark):  # Q1
     assert [r.max_solar for r in got] == [0.0, 7.0, 7.0]
 
 
-@pytest.mark.parametrize("small", [0, 100])
-def test_charger_counts_from_its_start(spark, small):  # Q2, Q3
+@pytest.mark.parametrize("slab_days", [1, 84])
+def test_charger_counts_from_its_start(spark, slab_days):  # Q2, Q3
     df = hours(spark, [(0, 1.0), (1, 1.0), (2, 1.0), (2, 1.0)])
     inst = ts(spark.createDataFrame([("a", str(T0 + H1), 5.0), ("a", str(T0 + 2 * H1), 2.0), ("a", None, 9.0),
                                      ("b", str(T0), 4.0)], "entity string, since string, power double"), "since")
-    got = J.effective_sum(df, inst, "since", "power", small=small, slab_days=1).collect()
+    got = J.effective_sum(df, inst, "since", "power", slab_days=slab_days).collect()
     assert sorted(r.max_ev for r in got) == [0.0, 5.0, 7.0, 7.0]  # a repeated row is not doubled
 
 
@@ -177,6 +177,30 @@ def test_too_many_categories_are_refused(spark):
         N.categories(spark.range(20).withColumn("c", F.col("id").cast("string")), "c", limit=10)
 
 
+def test_alarm_minutes_are_those_under_any_alarm(spark):
+    df = ts(spark.createDataFrame([
+        ("r", "2024-01-01 10:00", "2024-01-01 10:20"), ("r", "2024-01-01 10:10", "2024-01-01 10:20"),
+        ("r", "2024-01-01 10:50", "2024-01-01 11:05"), ("s", "2024-01-01 23:30", "2024-01-02 00:15"),
+        ("t", "2024-01-01 23:45", None), ("u", None, None)], "region_id string, start string, end string"),
+        "start", "end")
+    got = {(r.region_id, r.ts.day, r.ts.hour): (r.alarms, r.minutes) for r in J.alarm_hours(df).collect()}
+    assert got == {("r", 1, 10): (3, 30.0), ("r", 1, 11): (1, 5.0), ("s", 1, 23): (1, 30.0), ("s", 2, 0): (1, 15.0),
+                   ("t", 1, 23): (1, 15.0), ("t", 2, 0): (1, 15.0)}
+
+
+def test_weather_copies_are_taken_whole(spark):
+    df = hours(spark, [(0, 1.0)]).select("*", F.lit(50.0).alias("latitude"), F.lit(30.0).alias("longitude"))
+    w = ts(spark.createDataFrame([(str(T0), 1, 9.0, 1.0), (str(T0), 2, None, 5.0)], "ts string, o int, t double, r double"),
+           "ts").select("*", F.lit(50.0).alias("latitude"), F.lit(30.0).alias("longitude"))
+    got = J.fill_weather(df, w, ["t", "r"], order="o").first()
+    assert (got.t, got.r) == (None, 5.0)
+
+
+def test_all_categories_without_a_limit(spark):
+    many = spark.range(500).withColumn("c", F.col("id").cast("string"))
+    assert len(N.categories(many, "c")["c"]) == 500
+
+
 def test_recursive_equals_direct_within_one_chunk(spark):
     df = G.index_from(hours(spark, [(i, float(i % 24)) for i in range(400)]))
     past, future = df.filter("time_idx < 360"), df.filter("time_idx >= 360").drop("y")
@@ -254,6 +278,20 @@ def test_build_in_local_time_has_no_gap(spark):
     assert got.filter("latitude is null or y is null").count() == 0
 
 
+def test_dated_facts_follow_the_local_day(spark):
+    local = hours(spark, [(i, 1.0) for i in range(72)], start=dt.datetime(2024, 6, 1))
+    st = spark.createDataFrame([("a", 50.0, 30.0)], "entity string, latitude double, longitude double")
+    inst = ts(spark.createDataFrame([("a", "2024-06-01 00:00:00", 7.0)], "entity string, since string, power double"),
+              "since")
+    rules = K.rules_frame(spark, {"a": "2024-06-02"}, {})
+    opt = B.BuildOptions(zone="Europe/Kyiv", min_rows=1, min_days=0)
+    src = B.Sources(local, st, solar=inst, chargers=inst, rules=rules)
+    got = B.surround(B.describe(B.conform(src, opt), src, opt), src, opt).orderBy("ts").collect()
+    # The local day of 2 June starts at 21:00 UTC of the day before.
+    assert str(got[0].ts) == "2024-06-01 21:00:00" and len(got) == 48
+    assert {r.max_solar for r in got} == {7.0} and {r.max_ev for r in got} == {7.0}
+
+
 def test_pick_orders(spark):
     c = spark.createDataFrame([("c", i, float(i), float(10 - i)) for i in range(8)],
                               "cluster string, order_id int, aic double, val_money_pct double")
