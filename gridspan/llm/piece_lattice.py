@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from bisect import insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,7 +65,8 @@ class Lattice:
         self.bytes = {int(model.id_to_piece(i)[1:-1], 16): i for i in range(size) if model.is_byte(i)}
         own = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.piece = {model.id_to_piece(i): (float(model.get_score(i)), np.array([i], "<u4").tobytes()) for i in own}
-        self.starts = {p[:k] for p in self.piece for k in range(1, len(p) + 1)}
+        #: Score and ids of a piece; empty for what only begins one.
+        self.known = {p[:k]: () for p in self.piece for k in range(1, len(p))} | self.piece
         self.inside = {p[k:k + 2] for p in self.piece for k in range(len(p) - 1)}
         self.spell = min(s for s, _ in self.piece.values() if s > -1e8) - SPELL_PENALTY
         self.text = [b""] * size
@@ -75,55 +77,72 @@ class Lattice:
         self.parts = WordCache(lambda ps: [self.search(p) for p in ps])
         self.words = WordCache(self._words)
 
-    def edges(self, part: str) -> list[list[tuple[int, float, bytes]]]:
-        """For each end, (start, score, ids) of the pieces that end there."""
-        size, piece, starts = len(part), self.piece.get, self.starts
+    def edges(self, part: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float], list]:
+        """For each end, (start, score, ids) of the pieces that end there, its Viterbi score and its best edge."""
+        size, known = len(part), self.known.get
         ends: list[list] = [[] for _ in range(size + 1)]
+        ahead, best = [0.0] + [float("-inf")] * size, [None] * (size + 1)
         for start in range(size):
+            so_far = ahead[start]
             for end in range(start + 1, size + 1):
-                text = part[start:end]
-                if text not in starts:
+                hit = known(part[start:end])
+                if hit is None and end > start + 1:
                     break
-                hit = piece(text)
-                if hit:
-                    ends[end].append((start, *hit))
-            if part[start] not in self.piece:
-                ids = np.array([self.bytes[b] for b in part[start].encode("utf-8", "surrogatepass")], "<u4")
-                ends[start + 1].append((start, self.spell, ids.tobytes()))
-        return ends
+                if not hit:
+                    if end > start + 1:
+                        continue
+                    hit = (self.spell, np.array([self.bytes[b] for b in part[start].encode("utf-8", "surrogatepass")],
+                                                "<u4").tobytes())
+                edge = (start, *hit)
+                ends[end].append(edge)
+                if so_far + edge[1] > ahead[end]:
+                    ahead[end], best[end] = so_far + edge[1], edge
+        return ends, ahead, best
 
     def search(self, part: str) -> list[tuple[float, bytes]]:
-        """The N best segmentations of ``part``: score and ids, best first."""
-        size, edges = len(part), self.edges(part)
-        ahead = [0.0] * (size + 1)
-        for end in range(1, size + 1):
-            ahead[end] = max([ahead[s] + w for s, w, _ in edges[end]])
-        found, serial, n, push = [], 0, self.n, heapq.heappush
-        heap = [(-ahead[size], 0, size, 0.0, ())]
+        """The N best segmentations of ``part``: score and ids, best first.
+
+        What is popped is followed along its best edges to the front, which no other entry can beat; the other
+        edges are pushed.  Every entry stands for a segmentation of its own with the score of its key, so an
+        edge whose key is no better than those of N others cannot be among the N best.
+        """
+        size, n, push = len(part), self.n, heapq.heappush
+        ends, ahead, best = self.edges(part)
+        found, serial = [], 0
+        heap, top = [(-ahead[size], 0, size, 0.0, ())], [-ahead[size]]
         while heap and len(found) < n:
             _, _, at, behind, path = heapq.heappop(heap)
-            if at == 0:
-                ids = []
-                while path:
-                    ids.append(path[0])
-                    path = path[1]
-                found.append((behind, b"".join(ids)))
-                continue
-            for start, w, ids in edges[at]:
-                serial += 1
-                w += behind
-                push(heap, (-(ahead[start] + w), serial, start, w, (ids, path)))
+            while at:
+                follow = best[at]
+                if n > 1:
+                    for edge in ends[at]:
+                        if edge is follow:
+                            continue
+                        start, w, ids = edge
+                        w += behind
+                        cost = -(ahead[start] + w)
+                        if len(top) == n:
+                            if cost >= top[-1]:
+                                continue
+                            top.pop()
+                        insort(top, cost)
+                        serial += 1
+                        push(heap, (cost, serial, start, w, (ids, path)))
+                at, w, ids = follow
+                behind += w
+                path = (ids, path)
+            ids = []
+            while path:
+                ids.append(path[0])
+                path = path[1]
+            found.append((behind, b"".join(ids)))
         return found
 
     def cut(self, word: str) -> list[str]:
         """Parts between neighbours that no piece holds together."""
-        parts, start = [], 0
-        for k in range(1, len(word)):
-            if word[k - 1:k + 1] not in self.inside:
-                parts.append(word[start:k])
-                start = k
-        parts.append(word[start:])
-        return parts
+        inside = self.inside
+        at = [k for k in range(1, len(word)) if word[k - 1:k + 1] not in inside]
+        return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])] if at else [word]
 
     def _words(self, words: list[str]) -> list[list[tuple[float, bytes]]]:
         cut = [self.cut(w) for w in words]
