@@ -26,6 +26,9 @@ from .token_pieces import WordCache
 BLANK = "▁"
 #: Fixed value: what a spelled character costs beyond the worst piece.
 SPELL_PENALTY = 10.0
+#: Words, and parts of words, in each of the two ages of a worker's caches.
+CACHED = 150_000
+SLICE_BYTES = 1_000_000
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
@@ -74,8 +77,8 @@ class Lattice:
             self.text[i] = bytes([b])
         for i in own:
             self.text[i] = model.id_to_piece(i).replace(BLANK, " ").encode()
-        self.parts = WordCache(lambda ps: [self.search(p) for p in ps])
-        self.words = WordCache(self._words)
+        self.parts = WordCache(lambda ps: [self.search(p) for p in ps], CACHED)
+        self.words = WordCache(self._words, CACHED)
 
     def edges(self, part: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float], list]:
         """For each end, (start, score, ids) of the pieces that end there, its Viterbi score and its best edge."""
@@ -185,7 +188,7 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 3, text: str = "text", k
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = lattice(model, n)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 found = pieces.encode(texts, best_ids=True)
                 ids = [f[0][1] for f in found]
