@@ -42,3 +42,12 @@ def test_query_on_odd_rows(spark, docs):
     back = {r["doc_id"]: r["text"] for r in piece_lattice.decode_pieces(got, MODEL).collect()}
     assert back == {r[0]: r[1] or "" for r in ODD}
     assert piece_lattice.encode_pieces(docs(), MODEL).count() == 0
+
+
+def test_search_equals_enumeration_for_every_n():
+    for n in (1, 2, 3, 6):
+        lattice = piece_lattice.Lattice(MODEL, n)
+        for part in ("▁", "▁the", "▁ingshin", "aaaaaaa", "▁Über", "x一\U0001f9ffy", "▁mentment"):
+            found = lattice.search(part)
+            assert np.allclose([s for s, _ in found], sorted(_all(lattice, part), reverse=True)[:n])
+            assert len({ids for _, ids in found}) == len(found)
