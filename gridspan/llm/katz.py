@@ -1,18 +1,19 @@
-"""Language-model scoring with a Katz backoff model.
-
-The model has two levels.  Its symbols are the words that make up at least ``share`` of the training tokens (so
-at most ``1 / share`` of them, which is what is broadcast), the end of a text, and one symbol for
-all other words.  A symbol's probability after the symbol before it is the Good-Turing discounted
-relative count where the pair was met in training, and the backoff weight of the first times
-the lower level's probability where it was not; the weights make the sum over all symbols one.  One count is
-kept back after each symbol, so there is always mass to back off with.  A word under the common
-symbol has its add-one share of the training tokens there; words never met share one place.
-
-Every count covers all training tokens.  Each slice of texts sends its distinct pairs, with their training
-counts and the documents they stand in, to the partition of the pair table that owns the first
-symbol (owners of very frequent symbols are split by the second).  A partition merges the counts and
-answers each slice with sums per document; discounts and backoff weights follow from sums
-over all partitions and are applied when the answers of a slice meet.  Texts are not shuffled.
+"""Language-model scoring with a Katz backoff model of any order from two.
+
+Every training word is a symbol, named by its 64-bit hash, and so are the end of a text and, as one, all words
+that were never met.  A symbol's probability after a history is the Good-Turing discounted relative count
+where the two were met together in training, and elsewhere the backoff weight of the history times the
+probability after the history without its first symbol, down to add-one shares of the training tokens; the
+weights make the sum over all symbols one.  One count is kept back after each history, so there is always
+mass to back off with.  With ``share`` the words below it are one symbol inside the histories and have their
+add-one share of its tokens there.
+
+Every count covers all training tokens.  Each slice of texts sends its distinct runs of ``order`` symbols, with the
+documents they stand in, to the owner of the last symbol (owners of frequent symbols are split by the symbol
+before it, and only the counts of those are broadcast, fewer than there are owners), so an owner knows the
+counts of all orders of a run.  It answers with sums per document, and with the terms of each history, which are
+added up by history.  Held-out tokens ask that table for the counts and weights of their histories in a join,
+where frequent histories are broadcast.  Texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -29,13 +30,15 @@ from pyspark.sql import functions as F
 
 from .common import Words, in_fold, mixed, stage, text_slices
 
-SHARE = 2e-6
+#: Share of the training tokens below which words share one symbol; 0 keeps all words.
+SHARE = 0.0
 #: Counts above this are not discounted.
 TOP = 5
 SLICE_BYTES = 12_000_000
-BUCKET_TOKENS = 3_000_000
-_END, _OTHER, _BEGIN = 0, 1, 2
-_FIRST = 3
+BUCKET_TOKENS = 1_500_000
+#: Stand among the hashes of words.  Before the beginning there is nothing.
+_NOTHING, _BEGIN, _END, _OTHER = (np.uint64(i) for i in range(4))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _bytes(*arrays: np.ndarray) -> bytes:
@@ -50,30 +53,42 @@ def _arrays(blob: bytes) -> tuple:
 def _small(x: np.ndarray) -> np.ndarray:
     """The same integers in the least type that holds them."""
     top = int(x.max()) if len(x) else 0
-    return x.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32)
+    return x.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32 if top < 1 << 32 else np.int64)
+
+
+def _joined(g: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Names of runs of ``k`` symbols from those of k - 1 and the symbol before these."""
+    return mixed(g * _STEP + mixed(x + np.uint64(k)))
+
+
+def _place(names: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each of ``h`` is among the sorted names, and where."""
+    at = np.searchsorted(names, h)
+    at[at == len(names)] = 0
+    return names[at] == h, at
 
 
 class Symbols:
-    """Frequent words by hash, with counts, and what is known of the rest."""
+    """Totals of the training texts, the counts of frequent symbols, and the kept words if not all are."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: int, texts: int, types: int):
-        order = np.argsort(words)
-        self.words = words[order]
-        inside = int(counts.sum())
+    def __init__(self, heavy: dict[int, int], kept: np.ndarray | None, kept_types: int, kept_tokens: int,
+                 tokens: int, texts: int, types: int, buckets: int):
         #: Training tokens, ends included; distinct training tokens, the end included.
-        self.tokens, self.types = tokens + texts, types + (texts > 0)
-        self.other_tokens, self.other_types = tokens - inside, types - len(words)
-        self.count = np.concatenate([[texts, self.other_tokens, texts], counts[order]]).astype(float)
-        lower = self.count + 1
-        lower[_BEGIN] = 0
-        self.lower = lower / lower.sum()
+        self.tokens, self.types, self.texts, self.buckets = tokens + texts, types + (texts > 0), texts, buckets
+        self.other_tokens, self.other_types = tokens - kept_tokens, types - kept_types
+        self.kept = kept
+        count = {**heavy, int(_END): texts, int(_OTHER): self.other_tokens}
+        self.heavy = np.array(sorted(count), np.uint64)
+        self.count = np.array([count[int(h)] for h in self.heavy], np.int64)
+        #: What the add-one counts of all symbols add up to.
+        self.total = self.tokens + kept_types + 2.0
 
     def of(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.full(len(h), _OTHER, np.int64)
-        at = np.searchsorted(self.words, h)
-        at[at == len(self.words)] = 0
-        return np.where(self.words[at] == h, at + _FIRST, _OTHER)
+        if self.kept is None:
+            return h
+        if not len(self.kept):
+            return np.full(len(h), _OTHER)
+        return np.where(_place(self.kept, h)[0], h, _OTHER)
 
 
 def _count_words(rows: DataFrame) -> DataFrame:
@@ -102,24 +117,39 @@ def _count_words(rows: DataFrame) -> DataFrame:
 
     return rows.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-
 def symbols(train: DataFrame, share: float = SHARE) -> Symbols:
-    """``train`` has the training texts as ``text``.  The driver receives at most ``1 / share`` words."""
+    """``train`` has the training texts as ``text``.
+
+    The driver receives fewer words than there are owners, and with a ``share`` at most ``1 / share`` more.
+    """
     words = stage(_count_words(train), "word-counts")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    texts = train.count()
-    often = words.filter(F.col("n") >= max(1.0, share * total["n"])).toPandas()
-    return Symbols(often["word"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64),
-                   int(total["n"]), texts, int(total["v"]))
-
-
-def _requests(rows: DataFrame, model, buckets: int) -> DataFrame:
-    """Blobs of each slice for the owners: bucket, slice, kind (0 header, 1 pairs, 2 other words), blob."""
+    texts, tokens = train.count(), int(total["n"])
+    buckets = max(8, (tokens + texts) // BUCKET_TOKENS)
+    names = lambda df: df.toPandas()["word"].to_numpy(np.int64).view(np.uint64)
+    kept, kept_types, kept_tokens = None, int(total["v"]), tokens
+    if share * tokens > 1:
+        often = words.filter(F.col("n") >= share * tokens)
+        kept = np.sort(names(often))
+        kept_types, kept_tokens = len(kept), int(often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        words = often
+    heavy = {r["word"] % (1 << 64): r["n"] for r in words.filter(F.col("n") * buckets >= max(1, tokens)).collect()}
+    return Symbols(heavy, kept, kept_types, kept_tokens, tokens, texts, int(total["v"]), buckets)
+
+
+#: Kinds of blobs: of a slice, the runs of training texts, folded words, terms of histories, runs of held-out texts,
+#: what these ask of the histories.
+_HEAD, _TRAIN, _FOLDED, _TERMS, _HELD, _ASKED = range(6)
+
+
+def _requests(rows: DataFrame, model, order: int) -> DataFrame:
+    """Blobs of each slice for the owners: bucket, slice, kind, blob."""
     kind = rows.schema["id"].dataType
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Symbols = model.value
-        heavy = 1 + (m.count * buckets // max(1, m.tokens)).astype(np.int64)
+        buckets = m.buckets
+        salts = 1 + 2 * m.count * buckets // max(1, m.tokens)
         task, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in text_slices(batch, "text", SLICE_BYTES):
@@ -128,97 +158,160 @@ def _requests(rows: DataFrame, model, buckets: int) -> DataFrame:
                 train = np.asarray(part.column("train"), bool)
                 words = Words(part.column("text"))
                 symbol, docs = m.of(words.hash), len(part)
-                # The symbols of each text and its end, in order, and the symbol before each.
+                # The symbols of each text and its end, in order, and those before each.
                 total = words.per_doc + 1
                 last = np.cumsum(total) - 1
-                here = np.empty(last[-1] + 1, np.int64)
+                here = np.empty(last[-1] + 1, np.uint64)
                 inner = np.ones(len(here), bool)
                 inner[last] = False
                 here[inner], here[last] = symbol, _END
-                before = np.concatenate([[_BEGIN], here[:-1]])
-                before[np.concatenate([[0], last[:-1] + 1])] = _BEGIN
                 doc = np.repeat(np.arange(docs), total)
-                known = symbol != _OTHER
-                frequent = np.bincount(words.doc[known], np.log10(m.count[symbol[known]] + 1), docs).astype(float)
-                frequent += np.log10(m.count[_END] + 1)
-                header = _bytes(total, np.bincount(words.doc[known], minlength=docs) + (m.count[_END] > 0), frequent)
-                out = [(name % buckets, 0, header)]
-                salt = (mixed(here.astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % heavy[before]
-                owner = (mixed((before.astype(np.uint64) << np.uint64(20)) + salt.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-                out += owner_blobs(owner, ((before << 32) | here).astype(np.uint64), doc, train, buckets, 1)
-                rare = ~known
-                h = words.hash[rare]
-                out += owner_blobs((h % np.uint64(buckets)).astype(np.int64), h, words.doc[rare], train, buckets, 2)
+                place = np.arange(len(here)) - np.repeat(last + 1 - total, total)
+                run = [here]
+                for back in range(1, order):
+                    x = np.full(len(here), _NOTHING)
+                    x[back:] = here[:-back]
+                    x[place == back - 1] = _BEGIN
+                    x[place < back - 1] = _NOTHING
+                    run.append(x)
+                heavy, at = _place(m.heavy, here)
+                local = heavy & (here != _OTHER)
+                sure = np.bincount(doc[local], np.log10(m.count[at[local]] + 1.0), docs).astype(float)
+                out = [(name % buckets, _HEAD, _bytes(total, np.bincount(doc[local], m.count[at[local]] > 0, docs), sure))]
+                salt = (mixed(run[1]) >> np.uint64(33)) % np.where(heavy, salts[at], 1).astype(np.uint64)
+                owner = (mixed(here * _STEP + salt) % np.uint64(buckets)).astype(np.int64)
+                for what, mine in ((_TRAIN, train[doc]), (_HELD, ~train[doc])):
+                    out += owner_blobs(owner[mine], [x[mine] for x in run], doc[mine], train, buckets, what)
+                if m.kept is not None:
+                    rare = symbol == _OTHER
+                    h = words.hash[rare]
+                    out += owner_blobs((h % np.uint64(buckets)).astype(np.int64), [h], words.doc[rare], train, buckets, _FOLDED)
                 ids = part.column("id")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([name] * len(out), pa.int64()),
                      pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.binary()),
-                     pa.array([ids.to_pylist() if o[1] == 0 else None for o in out], pa.list_(ids.type)),
-                     pa.array([train.tolist() if o[1] == 0 else None for o in out], pa.list_(pa.bool_()))],
+                     pa.array([ids.to_pylist() if o[1] == _HEAD else None for o in out], pa.list_(ids.type)),
+                     pa.array([train.tolist() if o[1] == _HEAD else None for o in out], pa.list_(pa.bool_()))],
                     names=["bucket", "slice", "kind", "blob", "ids", "train"])
 
     return rows.mapInArrow(make, f"bucket int, slice long, kind int, blob binary, ids array<{kind.simpleString()}>, train array<boolean>")
 
 
-def owner_blobs(owner, key, doc, train, buckets, kind):
-    """One blob per owner: distinct keys, training counts, then per (key, document) document and count."""
-    order = np.lexsort((doc, key, owner))
-    owner, key, doc = owner[order], key[order], doc[order]
-    if not len(key):
+def owner_blobs(owner, run, doc, train, buckets, kind):
+    """One blob per owner: distinct runs, training counts, then per (run, document) document and count."""
+    order = np.lexsort((doc, *reversed(run), owner))
+    owner, run, doc = owner[order], [x[order] for x in run], doc[order]
+    if not len(doc):
         return []
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = owner[1:] != owner[:-1]
+    for x in run:
+        fresh[1:] |= x[1:] != x[:-1]
+    new = fresh.copy()
+    new[1:] |= doc[1:] != doc[:-1]
     at = np.flatnonzero(new)
-    owner, key, doc, n = owner[at], key[at], doc[at], np.diff(np.append(at, len(key)))
+    owner, run, doc, fresh, n = owner[at], [x[at] for x in run], doc[at], fresh[at], np.diff(np.append(at, len(doc)))
     out, cut = [], np.searchsorted(owner, np.arange(buckets + 1))
     for b in range(buckets):
         lo, hi = cut[b], cut[b + 1]
         if lo == hi:
             continue
-        k, d, c = key[lo:hi], doc[lo:hi], n[lo:hi]
-        first = np.concatenate([[True], k[1:] != k[:-1]])
-        start = np.flatnonzero(first)
+        d, c = doc[lo:hi], n[lo:hi]
+        start = np.flatnonzero(fresh[lo:hi])
         met = np.add.reduceat(np.where(train[d], c, 0), start)
-        out.append((b, kind, _bytes(k[start], _small(met), _small(np.diff(np.append(start, len(k)))), _small(d), _small(c))))
+        out.append((b, kind, _bytes([x[lo:hi][start] for x in run], _small(met), _small(np.diff(np.append(start, len(d)))),
+                                    _small(d), _small(c))))
     return out
 
 
-def _answers(requests: DataFrame, model, partitions: int) -> DataFrame:
-    """Per owner and slice: sums per document.  Kind 3 rows carry an owner's sums per first symbol."""
-    def merge(blobs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        keys, inverse = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
-        return keys, np.bincount(inverse, np.concatenate([b[1] for b in blobs]), len(keys)).astype(np.int64)
+class Runs:
+    """The distinct runs that an owner was sent: counts of their orders and names of their histories."""
+
+    def __init__(self, m: Symbols, run: list[np.ndarray], met: np.ndarray):
+        self.last, self.order = run[0], len(run)
+        self.length = sum((x != _NOTHING).astype(np.int64) for x in run)
+        heavy, at = _place(m.heavy, run[0])
+        self.owned = ~heavy
+        #: By order: count of the last symbols of each run; name of the history; one place for each run that was met.
+        self.n, self.history, self.first = [None], [None, None], [None, None]
+        g = run[0]
+        for k in range(1, self.order + 1):
+            if k > 1:
+                g = _joined(g, run[k - 1], k)
+                self.history.append(mixed(run[1] + _STEP) if k == 2 else _joined(self.history[-1], run[k - 1], k))
+            _, index, inverse = np.unique(g, return_index=True, return_inverse=True)
+            n = np.bincount(inverse, met).astype(np.int64)[inverse]
+            n = np.where(heavy, m.count[at], n) if k == 1 else np.where(self.length >= k, n, 0)
+            self.n.append(n)
+            if k > 1:
+                self.first.append(index[n[index] > 0])
+
+    def terms(self, k: int) -> tuple[np.ndarray, ...]:
+        """History, count, count without the first symbol, and history without its first symbol, of each run of k."""
+        at = self.first[k]
+        at = at[np.argsort(self.history[k][at])]
+        up = self.history[k - 1][at] if k > 2 else np.zeros(0, np.uint64)
+        return self.history[k][at], self.n[k][at], self.n[k - 1][at], up
+
+
+def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFrame:
+    """Per owner and slice: sums per document, and what is asked of histories.  Rows of terms carry an owner's histories."""
+    def low_counts(r, k, local, c, n):
+        return np.stack([np.bincount(local[(k == o) & (r == q)], c[(k == o) & (r == q)], n)
+                         for o in range(2, order + 1) for q in range(1, TOP + 1)])
+
+    def runs(m: Symbols, bucket: int, mine: list[tuple]):
+        cat = lambda i: np.concatenate([b[i] for _, _, b in mine])
+        run = [np.concatenate([b[0][j] for _, _, b in mine]) for j in range(order)]
+        all_, start = Runs(m, run, cat(1)), 0
+        for k in range(2, order + 1):
+            h, n, under, up = all_.terms(k)
+            yield bucket, -k, _TERMS, _bytes(h, _small(n), _small(under), up), None, None
+        for s, kind, (first, _, per, d, c) in mine:
+            at = np.repeat(np.arange(start, start + len(per)), per)
+            start += len(per)
+            d, c = d.astype(np.int64), c.astype(np.int64)
+            docs, local = np.unique(d, return_inverse=True)
+            total = lambda x: np.bincount(local, x * c, len(docs))
+            length, one = all_.length[at], all_.n[1][at]
+            # The longest order that was met; 1 where none was.
+            k, r = np.ones(len(at), np.int64), np.zeros(len(at), np.int64)
+            for o in range(2, order + 1):
+                seen = all_.n[o][at] > 0
+                k[seen], r[seen] = o, all_.n[o][at][seen]
+            value = np.where(k > 1, np.log10(np.maximum(r, 1)), np.log10(one + 1.0) - np.log10(m.total))
+            if kind == _TRAIN:
+                # As the history of what comes next, which was met.
+                own = np.choose(np.minimum(order - 1, length) - 1, [all_.n[o][at] for o in range(1, order)])
+                value = value - np.where(all_.last[at] == _END, 0.0, np.log10(own + 1.0))
+            else:
+                asked = []
+                for o in range(2, order + 1):
+                    for weight, where in ((False, k == o), (True, (k < o) & (length >= o))):
+                        asked.append((d[where], all_.history[o][at][where], np.full(int(where.sum()), weight), c[where]))
+                asked = [np.concatenate(x) for x in zip(*asked)]
+                yield bucket, s, _ASKED, _bytes(_small(asked[0]), asked[1], asked[2], _small(asked[3])), None, None
+            owned = all_.owned[at]
+            yield bucket, s, kind, _bytes(
+                _small(docs), total(value), total(np.where(owned, np.log10(one + 1.0), 0.0)),
+                _small(total(owned & (one > 0)).astype(np.int64)), _small(low_counts(r, k, local, c, len(docs)).astype(np.int64))), None, None
+
+    def folded(m: Symbols, bucket: int, mine: list[tuple]):
+        keys, inverse = np.unique(np.concatenate([b[0][0] for _, _, b in mine]), return_inverse=True)
+        counts = np.bincount(inverse, np.concatenate([b[1] for _, _, b in mine]), len(keys)).astype(np.int64)
+        for s, _, ((k,), _, per, d, c) in mine:
+            r = counts[np.repeat(np.searchsorted(keys, k), per)]
+            d, c = d.astype(np.int64), c.astype(np.int64)
+            docs, local = np.unique(d, return_inverse=True)
+            n = len(docs)
+            yield bucket, s, _FOLDED, _bytes(_small(docs), np.bincount(local, np.log10(r + 1.0) * c, n),
+                                             np.bincount(local, c, n), np.bincount(local, c * (r > 0), n)), None, None
 
     def finish(m: Symbols, bucket: int, rows: list[tuple]):
-        for kind in (1, 2):
-            mine = [(s, _arrays(blob)) for s, k, blob in rows if k == kind]
-            if not mine:
-                continue
-            keys, counts = merge([b for _, b in mine])
-            if kind == 1:
-                before, here = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                seen = counts > 0
-                b, c = before[seen], counts[seen]
-                names, at = np.unique(b, return_inverse=True)
-                sums = [np.bincount(at, np.where(c == r, 1.0, 0.0), len(names)) for r in range(1, TOP + 2)]
-                sums += [np.bincount(at, np.where(c > TOP, c, 0).astype(float), len(names)),
-                         np.bincount(at, m.lower[here[seen]], len(names))]
-                yield bucket, -1, 3, _bytes(names, np.stack(sums)), None, None
-            for s, (k, _, per, d, c) in mine:
-                at = np.repeat(np.searchsorted(keys, k), per)
-                r, d, c = counts[at], d.astype(np.int64), c.astype(np.int64)
-                docs, local = np.unique(d, return_inverse=True)
-                n = len(docs)
-                if kind == 1:
-                    met = r > 0
-                    value = np.where(met, np.log10(np.maximum(r, 1)) - np.log10(m.count[before[at]] + 1), np.log10(m.lower[here[at]]))
-                    low = [_small(np.bincount(local[r == q], c[r == q], n).astype(np.int64)) for q in range(1, TOP + 1)]
-                    yield bucket, s, 1, _bytes(_small(docs), np.bincount(local, value * c, n), *low, _small(d[~met]),
-                                               _small(before[at][~met]), _small(c[~met])), None, None
-                else:
-                    base = np.bincount(local, np.log10(r + 1.0) * c, n)
-                    yield bucket, s, 2, _bytes(_small(docs), base, _small(np.bincount(local, c, n).astype(np.int64)),
-                                               _small(np.bincount(local, c * (r > 0), n).astype(np.int64))), None, None
+        for what, kinds in ((runs, (_TRAIN, _HELD)), (folded, (_FOLDED,))):
+            mine = [(s, k, _arrays(blob)) for s, k, blob in rows if k in kinds]
+            if mine:
+                yield from what(m, bucket, mine)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, now, rows = model.value, None, []
@@ -237,8 +330,8 @@ def _answers(requests: DataFrame, model, partitions: int) -> DataFrame:
                 if r["bucket"] != now:
                     yield from out(finish(m, now, rows))
                     now, rows = r["bucket"], []
-                if r["kind"] == 0:
-                    yield from out([(now, r["slice"], 0, r["blob"], r["ids"], r["train"])])
+                if r["kind"] == _HEAD:
+                    yield from out([(now, r["slice"], _HEAD, r["blob"], r["ids"], r["train"])])
                 else:
                     rows.append((r["slice"], r["kind"], r["blob"]))
         if rows:
@@ -259,72 +352,126 @@ def discounts(n: np.ndarray) -> np.ndarray:
         d = ((r + 1) * n[1:] / (r * n[:-1]) - common) / (1 - common)
     return np.where(np.isfinite(d) & (d > 0) & (d < 1), d, (r - 0.5) / r)
 
+def _discounts(answers: DataFrame, order: int) -> np.ndarray:
+    """Discounts of counts 1 to TOP by order; rows 0 and 1 are not used."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, blob in zip(batch.column("slice").to_pylist(), batch.column("blob").to_pylist()):
+                n = _arrays(blob)[1]
+                many = np.bincount(np.minimum(n, TOP + 2).astype(np.int64), minlength=TOP + 3)[1:TOP + 2]
+                yield pa.RecordBatch.from_arrays([pa.array([-k] * (TOP + 1)), pa.array(range(1, TOP + 2)), pa.array(many)],
+                                                 names=["k", "r", "n"])
+
+    met = np.zeros((order + 1, TOP + 1))
+    found = answers.filter(f"kind = {_TERMS}").select("slice", "blob").mapInArrow(add, "k long, r long, n long")
+    for r in found.groupBy("k", "r").agg(F.sum("n").alias("n")).collect():
+        met[r["k"], r["r"] - 1] = r["n"]
+    return np.stack([discounts(x) for x in met])
 
-def backoff_weights(stats: np.ndarray, count: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """The weight of each first symbol from its sums (see ``_answers``)."""
-    r = np.arange(1, TOP + 1)
-    mass = ((d * r)[:, None] * stats[:TOP]).sum(0) + stats[TOP + 1]
-    left = 1 - mass / (count + 1)
-    return left / np.maximum(1 - stats[TOP + 2], 1e-12)
+
+def _look_up(rows: DataFrame, table: DataFrame, limit: int) -> DataFrame:
+    """``rows`` with the columns of their history ``h``, without those of unknown ones; histories met ``limit`` times are broadcast."""
+    often = F.broadcast(table.filter(F.col("c") >= limit))
+    return rows.join(often, "h").unionByName(
+        rows.join(often.select("h"), "h", "left_anti").join(table.filter(F.col("c") < limit), "h"))
+
+
+def _histories(answers: DataFrame, m: Symbols, d: np.ndarray, limit: int) -> DataFrame:
+    """h, c, log_c, log_weight of every history met in training."""
+    total = m.total
+
+    def discounted(k, n):
+        return np.where(n <= TOP, n * d[k][np.minimum(n, TOP) - 1], n).astype(float)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, blob in zip(batch.column("slice").to_pylist(), batch.column("blob").to_pylist()):
+                h, n, under, up = _arrays(blob)
+                if not len(h):
+                    continue
+                k, n, under = -k, n.astype(np.int64), under.astype(np.int64)
+                at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                below = (under + 1) / total if k == 2 else discounted(k - 1, under)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[at].view(np.int64)), pa.array(up[at].view(np.int64) if k > 2 else [None] * len(at), pa.int64()),
+                     *[pa.array(np.add.reduceat(x, at)) for x in (n, discounted(k, n), below)]],
+                    names=["h", "up", "c", "mass", "below"])
+
+    sums = stage(answers.filter(f"kind = {_TERMS}").select("slice", "blob")
+                 .mapInArrow(add, "h long, up long, c long, mass double, below double").groupBy("h")
+                 .agg(F.first("up").alias("up"), *[F.sum(x).alias(x) for x in ("c", "mass", "below")]), "katz-terms")
+    names = sums.select(F.col("h"), F.col("c"))
+    long = _look_up(sums.filter("up is not null").select(F.col("up").alias("h"), F.col("h").alias("name"), F.col("c").alias("n"),
+                                                         "mass", "below"), names, limit)
+    both = long.select(F.col("name").alias("h"), F.col("n").alias("c"), "mass", (F.col("below") / (F.col("c") + 1)).alias("below")
+                       ).unionByName(sums.filter("up is null").select("h", "c", "mass", "below"))
+    weight = (1 - F.col("mass") / (F.col("c") + 1)) / F.greatest(1 - F.col("below"), F.lit(1e-12))
+    return stage(both.select("h", "c", F.log10(F.col("c") + 1).alias("log_c"),
+                             F.log10(F.greatest(weight, F.lit(1e-300))).alias("log_weight")), "katz-weights")
+
+
+def _asked(answers: DataFrame) -> DataFrame:
+    """slice, doc, h, weight (whether it is the weight or the count that is asked for) and times."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, blob in zip(batch.column("slice").to_pylist(), batch.column("blob").to_pylist()):
+                doc, h, weight, c = _arrays(blob)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(doc), s)), pa.array(doc.astype(np.int32)), pa.array(h.view(np.int64)),
+                     pa.array(weight), pa.array(c.astype(np.int32))], names=["slice", "doc", "h", "weight", "times"])
+
+    return answers.filter(f"kind = {_ASKED}").select("slice", "blob").mapInArrow(
+        rows, "slice long, doc int, h long, weight boolean, times int")
 
 
 def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts: int = 7, fold: int = 2,
-                share: float = SHARE) -> DataFrame:
+                share: float = SHARE, order: int = 2) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows outside the fold (a null id is outside); a null text is empty and has the end
-    token only.  ``base_score`` is the add-one unigram score, ``score`` the model's log10 probability.
+    token only.  ``order`` is the number of symbols in the longest runs that are counted.  ``base_score`` is the
+    add-one unigram score, ``score`` the model's log10 probability.
     Repeated rows count and are scored row by row; other columns are not read; an empty table
     gives an empty result.
     """
+    if order < 2:
+        raise ValueError("order must be at least 2")
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), (~in_fold(F.col(key), parts, fold)).alias("train"))
     m = symbols(rows.filter("train"), share)
     shared = spark.sparkContext.broadcast(m)
-    buckets = max(8, int(m.tokens // BUCKET_TOKENS))
-    partitions = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    answers = stage(_answers(_requests(rows, shared, buckets), shared, partitions), "katz-answers")
-    stats = np.zeros((TOP + 3, len(m.count)))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(shared.value.count)
-        total = np.zeros((TOP + 3, size))
-        for batch in batches:
-            for blob in batch.column("blob").to_pylist():
-                names, sums = _arrays(blob)
-                total[:, names] += sums
-        at = np.flatnonzero(total.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(x) for x in total[:, at]]],
-                                         names=["symbol", *[f"s{i}" for i in range(TOP + 3)]])
-
-    columns = ", ".join(f"s{i} double" for i in range(TOP + 3))
-    sums = (answers.filter("kind = 3").select("blob").mapInArrow(add, f"symbol long, {columns}").groupBy("symbol")
-            .agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(TOP + 3)]).toPandas())
-    if len(sums):
-        stats[:, sums["symbol"].to_numpy()] = sums.drop(columns="symbol").to_numpy().T
-    d = discounts(stats[:TOP + 1].sum(1))
-    told = spark.sparkContext.broadcast(np.log10(np.maximum(backoff_weights(stats, m.count, d), 1e-300)))
-    log_d, n_train, types = np.log10(d), m.tokens, m.types
+    partitions = max(m.buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    answers = stage(_answers(_requests(rows, shared, order), shared, order, partitions), "katz-answers")
+    d = _discounts(answers, order)
+    limit = max(1, m.tokens // m.buckets)
+    found = _look_up(_asked(answers), _histories(answers, m, d, limit), limit)
+    value = F.col("times") * F.when(F.col("weight"), F.col("log_weight")).otherwise(-F.col("log_c"))
+    backed = found.groupBy("slice", "doc").agg(F.sum(value).alias("value"))
+    log_d, n_train, types, texts = np.log10(d[2:]).ravel(), m.tokens, m.types, m.texts
     other = np.log10(m.other_tokens + m.other_types + 1.0)
 
-    def gather(part: pd.DataFrame) -> pd.DataFrame:
-        head = part[part["kind"] == 0].iloc[0]
+    def gather(part: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
+        head = part[part["kind"] == _HEAD].iloc[0]
         total, known, base = (np.array(x, float) for x in _arrays(head["blob"]))
-        score = np.zeros(len(total))
-        for blob in part.loc[part["kind"] == 1, "blob"]:
-            docs_, value, *low, d_, b_, c_ = _arrays(blob)
-            score[docs_] += value + sum(x * float(y) for x, y in zip(low, log_d))
-            score += np.bincount(d_, told.value[b_] * c_, len(total)) if len(d_) else 0.0
-        for blob in part.loc[part["kind"] == 2, "blob"]:
-            docs_, value, n_, k_ = _arrays(blob)
-            base[docs_] += value
-            score[docs_] += value - n_ * other
+        train = np.array(head["train"], bool)
+        score = np.where(train, -np.log10(texts + 1.0), 0.0)
+        score[more["doc"].to_numpy(np.int64)] += more["value"].to_numpy(float)
+        for blob in part.loc[part["kind"].isin([_TRAIN, _HELD]), "blob"]:
+            docs_, value_, base_, known_, low = _arrays(blob)
+            score[docs_] += value_ + log_d @ low
+            base[docs_] += base_
+            known[docs_] += known_
+        for blob in part.loc[part["kind"] == _FOLDED, "blob"]:
+            docs_, value_, n_, k_ = _arrays(blob)
+            base[docs_] += value_
+            score[docs_] += value_ - n_ * other
             known[docs_] += k_
-        return pd.DataFrame({"doc_id": list(head["ids"]), "held_out": ~np.array(head["train"], bool),
+        return pd.DataFrame({"doc_id": list(head["ids"]), "held_out": ~train,
                              "n_tokens": total.astype(np.int64), "n_known": known.astype(np.int64),
                              "train_tokens": n_train, "base_score": base - total * np.log10(n_train + types + 1.0),
                              "score": score})
 
     kind = docs.schema[key].dataType.simpleString()
-    return answers.filter("kind < 3").drop("bucket").groupBy("slice").applyInPandas(
+    return answers.filter(F.col("kind").isin(_HEAD, _TRAIN, _FOLDED, _HELD)).drop("bucket").groupBy("slice").cogroup(
+        backed.groupBy("slice")).applyInPandas(
         gather, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -115,7 +115,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("op8_katz_scores")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    return katz.katz_scores(documents(spark, folder))
+    return katz.katz_scores(documents(spark, folder), order=3)
 
 
 @_query("op5_piece_lattice")
