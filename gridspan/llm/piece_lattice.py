@@ -32,11 +32,8 @@ SLICE_BYTES = 1_000_000
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
-def chain(parts: list[list[tuple[float, bytes]]], n: int, best_ids: bool = False) -> list[tuple[float, bytes]]:
-    """The ``n`` best of all choices of one item per part, best first; each part is best first.
-
-    With ``best_ids`` only the first has its ids, the others have scores only.
-    """
+def chain(parts: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, bytes]]:
+    """The ``n`` best of all choices of one item per part, best first; each part is best first."""
     total, ids = sum([p[0][0] for p in parts]), [p[0][1] for p in parts]
     # A choice that departs from the best item of some part costs at least that part's
     # first gap, so only the n - 1 parts with the least gaps can occur among the n best.
@@ -47,9 +44,6 @@ def chain(parts: list[list[tuple[float, bytes]]], n: int, best_ids: bool = False
         found = sorted([(a + g, c if at[1] == 0 else (*c, at)) for a, c in found for g, at in options])[:n]
     out = []
     for gap, changes in found:
-        if changes and best_ids:
-            out.append((total - gap, b""))
-            continue
         mine = ids if not changes else list(ids)
         for i, r in changes:
             mine[i] = parts[i][r][1]
@@ -152,14 +146,11 @@ class Lattice:
         known = self.parts.learn({p for parts in cut for p in parts})
         return [known[parts[0]] if len(parts) == 1 else chain([known[p] for p in parts], self.n) for parts in cut]
 
-    def encode(self, texts: list[str], best_ids: bool = False) -> list[list[tuple[float, bytes]]]:
-        """The N best of each text; the empty text has one segmentation, without pieces.
-
-        With ``best_ids`` all have scores and only the best has ids.
-        """
+    def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
+        """The N best of each text; the empty text has one segmentation, without pieces."""
         split = [_CHUNK.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
         known = self.words.learn({w for ws in split for w in ws})
-        return [chain([known[w] for w in ws], self.n, best_ids) if ws else [(0.0, b"")] for ws in split]
+        return [chain([known[w] for w in ws], self.n) if ws else [(0.0, b"")] for ws in split]
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids; the blank in front goes, bytes that are no UTF-8 are replaced."""
@@ -173,36 +164,43 @@ def lattice(path: str, n: int) -> Lattice:
 
 def encode_pieces(docs: DataFrame, model: str, n: int = 3, text: str = "text", key: str = "doc_id",
                   with_ids: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_pieces, ids_crc32, score, nbest_scores, round_trip (and ids).
+    """One row per document: doc_id, n_pieces, ids_crc32, score, nbest_scores, nbest_n_pieces, nbest_ids_crc32,
+    round_trip (and ids, nbest_ids).
 
-    The ids are those of the best segmentation by the sum of piece scores; ``nbest_scores`` are the scores of the
-    ``n`` best, fewer where there are not so many; ``round_trip`` says whether the decoded ids are the
+    The ids are those of the best segmentation by the sum of piece scores; the ``nbest`` columns have those of the
+    ``n`` best, best first, fewer where there are not so many; ``round_trip`` says whether the decoded ids are the
     text (a text that holds U+2581 itself comes back with blanks).  A null or empty text has no
     pieces, score 0 and comes back as the empty text.  Between equal scores the choice is fixed.  Repeated
     rows and null ids are encoded row by row; other columns are not read; an empty table gives
     an empty result.  Texts of any length are encoded whole.
     """
     kind = docs.schema[key].dataType.simpleString()
-    names = ["doc_id", "n_pieces", "ids_crc32", "score", "nbest_scores", "round_trip"] + ["ids"] * with_ids
+    names = ["doc_id", "n_pieces", "ids_crc32", "score", "nbest_scores", "nbest_n_pieces", "nbest_ids_crc32",
+             "round_trip"] + ["ids", "nbest_ids"] * with_ids
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = lattice(model, n)
         for batch in batches:
             for part in text_slices(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                found = pieces.encode(texts, best_ids=True)
+                found = pieces.encode(texts)
                 ids = [f[0][1] for f in found]
                 columns = [part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
                            pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array([f[0][0] for f in found]),
                            pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64())),
+                           pa.array([[len(i) // 4 for _, i in f] for f in found], pa.list_(pa.int64())),
+                           pa.array([[zlib.crc32(i) for _, i in f] for f in found], pa.list_(pa.int64())),
                            pa.array([pieces.decode(i) == t for i, t in zip(ids, texts)], pa.bool_())]
                 if with_ids:
                     columns.append(pa.array([np.frombuffer(i, "<i4") for i in ids], pa.list_(pa.int32())))
+                    columns.append(pa.array([[np.frombuffer(i, "<i4") for _, i in f] for f in found],
+                                            pa.list_(pa.list_(pa.int32()))))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         encoded, f"doc_id {kind}, n_pieces long, ids_crc32 long, score double, nbest_scores array<double>, "
-                 f"round_trip boolean" + ", ids array<int>" * with_ids)
+                 f"nbest_n_pieces array<long>, nbest_ids_crc32 array<long>, round_trip boolean"
+                 + ", ids array<int>, nbest_ids array<array<int>>" * with_ids)
 
 
 def decode_pieces(rows: DataFrame, model: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
