@@ -28,14 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, in_fold, mixed, stage, text_slices
+from .common import Words, in_fold, mixed, release, stage, text_slices
 
 #: Share of the training tokens below which words share one symbol; 0 keeps all words.
 SHARE = 0.0
 #: Counts above this are not discounted.
 TOP = 5
-SLICE_BYTES = 12_000_000
-BUCKET_TOKENS = 1_500_000
+SLICE_BYTES = 4_000_000
+BUCKET_TOKENS = 500_000
 #: Stand among the hashes of words.  Before the beginning there is nothing.
 _NOTHING, _BEGIN, _END, _OTHER = (np.uint64(i) for i in range(4))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -153,6 +153,7 @@ def _requests(rows: DataFrame, model, order: int) -> DataFrame:
         task, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in text_slices(batch, "text", SLICE_BYTES):
+                release()
                 name = (task << 24) | serial
                 serial += 1
                 train = np.asarray(part.column("train"), bool)
@@ -330,6 +331,7 @@ def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFra
                 if r["bucket"] != now:
                     yield from out(finish(m, now, rows))
                     now, rows = r["bucket"], []
+                    release()
                 if r["kind"] == _HEAD:
                     yield from out([(now, r["slice"], _HEAD, r["blob"], r["ids"], r["train"])])
                 else:
