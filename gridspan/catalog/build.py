@@ -23,7 +23,8 @@ _S_DIM = """dim AS (SELECT event_type AS entity, CAST(44 + min(user_id) % 7 AS D
     temperature_2m FROM events e JOIN dim d ON d.entity = e.event_type WHERE user_id % 3 = 0 GROUP BY 1, 2, 3)"""
 
 
-def _sources(spark, d) -> B.Sources:
+def _sources(spark, d, whole: bool = True) -> B.Sources:
+    """The tables of the build; without ``whole`` the installs and weather rows that the twin of silver_build has."""
     e = X.readings(spark, d)
     dim = e.groupBy("entity").agg(
         (44 + F.min("user_id") % 7).cast("double").alias("latitude"),
@@ -32,9 +33,9 @@ def _sources(spark, d) -> B.Sources:
     solar = e.filter("entity <> 'view'").groupBy("entity").agg(
         (F.date_trunc("day", F.min("ts")) + F.expr("interval 9 days")).alias("since"),
         F.max("y").alias("power"))
-    chargers = e.filter("event_id % 50 = 0").select("entity", F.date_trunc("hour", "ts").alias("since"),
-                                                    F.col("y").alias("power"))
-    weather = e.filter("user_id % 3 = 0").join(dim, "entity").groupBy(
+    chargers = (e if whole else e.filter("event_id % 50 = 0")).select(
+        "entity", F.date_trunc("hour", "ts").alias("since"), F.col("y").alias("power"))
+    weather = (e if whole else e.filter("user_id % 3 = 0")).join(dim, "entity").groupBy(
         F.date_trunc("hour", "ts").alias("ts"), "latitude", "longitude").agg(
         F.max_by("y", "event_id").alias("temperature_2m"))
     capacity = dim.filter("entity <> 'click'").select("entity", F.lit(400.0).alias("max_power"))
@@ -78,7 +79,7 @@ _S_FILLED = _S_SILVER + ", near AS (SELECT *, " + ", ".join(
 @query("silver_build", with_(_S_FILLED, body="SELECT * FROM silver"),
        "y max_solar max_power max_ev temperature_2m latitude longitude dam_price buy_bm_price")
 def silver(spark, d):
-    df = B.build_silver(_sources(spark, d), _OPT)
+    df = B.build_silver(_sources(spark, d, whole=False), _OPT)
     return df.select("entity", "ts", "time_idx", *_NUM, "latitude", "longitude", "station_type", "dam_price", "buy_bm_price",
                      "data_subset")
 
