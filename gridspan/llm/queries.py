@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, katz, language_id, ngram_join, packing, piece_lattice, quality_classifier,
-               quality_rules, token_counts, toxicity)
+from . import (exact_dedup, hilbert_clusters, katz, language_id, ngram_join, packing, piece_lattice, prefix_trie,
+               projection_dedup, quality_classifier, quality_rules, token_counts, toxicity)
 from .common import documents
 
 QUERIES: dict = {}
@@ -121,3 +121,85 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op5_piece_lattice")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return piece_lattice.encode_pieces(documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
+
+
+def _lloyd(rounds: int = 10) -> str:
+    """The rounds of op11 one after the other, each an assignment and the floored means of its clusters."""
+    parts = [r"""e AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda v: floor(1024 * v::DOUBLE)::BIGINT) AS x
+      FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: isfinite(v::DOUBLE))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS j, x AS c FROM (
+      SELECT x, sha256('3:' || vec_id) AS h FROM e ORDER BY h, x LIMIT 8))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, x, d[1] AS distance, d[2] AS j FROM (
+      SELECT vec_id, x, min([list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, j])
+             AS d FROM e, c{r} GROUP BY vec_id, x))""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT c{r}.j, coalesce(m.c, c{r}.c) AS c FROM c{r} LEFT JOIN (
+      SELECT j, list(s ORDER BY i) AS c FROM (SELECT j, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS s
+      FROM a{r}, range(1, 65) AS t(i) GROUP BY j, i) GROUP BY j) AS m USING (j))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, j::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY j))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (j)"""
+
+
+def embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet")
+
+
+@_query("op11_centroid_clusters", _lloyd())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert_clusters.centroid_clusters(embeddings(spark, folder))
+
+
+_TRIE = r"""
+WITH t AS (SELECT conv_id AS c, sha256(length(r) || ':' || r || ':' || x) AS g, length(x) AS n,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                     sha256(length(r) || ':' || r || ':' || x)) AS k
+           FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+                 WHERE conv_id IS NOT NULL)),
+sizes AS (SELECT g, any_value(n) AS n FROM t GROUP BY g),
+own AS (SELECT c, list(g ORDER BY k) AS gs FROM t GROUP BY c),
+-- crc32 of the id's digits, a bit at a time: numbers of at least 0 are bytes, the eight -1 after each are its bits
+crc AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+            string_split(c::VARCHAR, ''), lambda d: [ord(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, (a & 1) * 3988292384) END),
+            4294967295) % 6 AS h FROM own),
+built AS (SELECT crc.c, list_concat(coalesce(list_slice(head.gs, 1, h), []), list_slice(crc.gs, h + 1, len(crc.gs))) AS p
+          FROM crc LEFT JOIN own AS head ON head.c = crc.c - crc.c % 100),
+step AS (SELECT c, len(p) AS l, d, list_slice(p, 1, d) AS q FROM (SELECT c, p, unnest(range(0, len(p) + 1)) AS d FROM built)),
+node AS (SELECT array_to_string(q, ',') AS q, any_value(d) AS d, array_to_string(list_slice(any_value(q), 1, any_value(d) - 1), ',') AS up,
+                any_value(q)[-1] AS g, min(c) AS c, count(*) AS n,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (l = d), '')) AS ends
+         FROM step GROUP BY step.q),
+kids AS (SELECT up AS q, count(*) AS k FROM node WHERE d > 0 GROUP BY up),
+full_ AS (SELECT node.*, coalesce(k, 0) AS k, (node.n - 1) * coalesce(sizes.n, 0) AS save
+          FROM node LEFT JOIN kids USING (q) LEFT JOIN sizes USING (g)),
+sub AS (SELECT a.q, count(*) FILTER (b.k = 0) AS leaves, sum(b.save) AS saved
+        FROM full_ a JOIN full_ b ON b.d >= a.d AND starts_with(b.q, a.q) GROUP BY a.q)
+SELECT f.c AS conv_id, f.d AS depth, up.c AS parent_conv_id, f.n AS n_convs, f.k AS n_children, leaves AS n_leaves,
+       saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM full_ f JOIN sub USING (q) LEFT JOIN node up ON f.d > 0 AND up.q = f.up"""
+
+
+@_query("op12_prefix_trie", _TRIE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{folder}/conversations.parquet")).drop("last_digest")
+
+
+_NEAR_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+       AND len(list_filter(e, lambda x: isfinite(x))) = len(e) AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e)
+         AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+root AS (SELECT a, min(b) AS r FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(r, vec_id)) AS component_id,
+       vec_id <= coalesce(r, vec_id) AS kept
+FROM v LEFT JOIN root ON root.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+
+@_query("op13_projection_dedup", _NEAR_VECTORS)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return projection_dedup.near_vectors(embeddings(spark, folder))
