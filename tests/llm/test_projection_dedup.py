@@ -62,7 +62,7 @@ def test_dense_groups_chains_and_labels(spark):
     middle = rows[0][1] / np.linalg.norm(rows[0][1])
     # A third of all rows in one dense group, one wider group, and a chain.
     rows += [(100 + i, middle + rng.normal(size=64) * 0.01, 0) for i in range(60)]
-    rows += [(200 + i, rows[1][1] + rng.normal(size=64) * 0.2, 1) for i in range(30)]
+    rows += [(200 + i, rows[1][1] + rng.normal(size=64) * 0.1, 1) for i in range(30)]
     step = rows[2][1] / np.linalg.norm(rows[2][1])
     for i in range(6):
         step = turned(step, 0.97, rng)
