@@ -11,8 +11,9 @@ from ..operators import features as L
 from ..operators import forecast as H
 from ..operators import grid as G
 from ..operators import registry as R
+from ..operators import rolling as O
 from ..operators import search as A
-from ..plans.lineage import cut, new_path
+from ..plans.lineage import cut, new_path, staged
 from ..spec import PANEL
 from ..streaming import enrich, meter, progressive
 from . import fixtures as X
@@ -79,35 +80,91 @@ _RAW = """mean24 AS (SELECT *, lag(y, 48) OVER w AS l48, lag(y, 168) OVER w AS l
   BY entity ORDER BY ts))"""
 _DENSE = X.S_GRID.replace(" grid AS (", " grid0 AS (") + """, grid AS (SELECT entity, ts, coalesce(y, 0.0) AS y,
   time_idx FROM grid0)"""
-# Chunk 1 reads true values; chunk 2 reads chunk 1's predictions at lag 48.
-_REC = """h AS (SELECT * FROM grid WHERE time_idx <= 600), v AS (SELECT f.entity, f.ts, f.time_idx, greatest(0.0,
-  1.5 + 0.5 * a.y + 0.25 * b.y) AS pred FROM grid f JOIN h a ON a.entity = f.entity AND a.time_idx = f.time_idx - 48
-  JOIN h b ON b.entity = f.entity AND b.time_idx = f.time_idx - 168 WHERE f.time_idx BETWEEN 601 AND 648),
-  v2 AS (SELECT f.entity, f.ts, f.time_idx, greatest(0.0, 1.5 + 0.5 * a.pred + 0.25 * b.y) AS pred FROM grid f
-  JOIN v a ON a.entity = f.entity AND a.time_idx = f.time_idx - 48 JOIN h b ON b.entity = f.entity AND b.time_idx
-  = f.time_idx - 168 WHERE f.time_idx BETWEEN 649 AND 696)"""
+_LAGS = """lagged AS (SELECT *, lag(y, 48) OVER w AS l48, lag(y, 168) OVER w AS l168 FROM grid WINDOW w AS (PARTITION
+  BY entity ORDER BY ts))"""
+
+
+def _fit(until: int) -> str:
+    """Least squares of y on its lags 48 and 168 over the steps up to ``until``, by the two normal equations."""
+    return f"""cov AS (SELECT covar_pop(l48, l48) AS aa, covar_pop(l48, l168) AS ab, covar_pop(l168, l168) AS bb,
+  covar_pop(l48, y) AS ay, covar_pop(l168, y) AS yb, avg(l48) AS ma, avg(l168) AS mb, avg(y) AS my FROM lagged
+  WHERE time_idx <= {until} AND l48 IS NOT NULL AND l168 IS NOT NULL AND y IS NOT NULL),
+  ab AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS b48, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS b168
+  FROM cov), fit AS (SELECT b48, b168, my - b48 * ma - b168 * mb AS b0 FROM ab)"""
+
+
+def _chunks(first: int, chunk: int, n: int) -> str:
+    """Steps after ``first`` in chunks; each reads what the chunks before it predicted."""
+    parts = [f"known0 AS MATERIALIZED (SELECT entity, time_idx, y AS v FROM grid WHERE time_idx <= {first})"]
+    for k in range(1, n + 1):
+        a, b = first + 1 + (k - 1) * chunk, first + k * chunk
+        parts.append(f"""v{k} AS MATERIALIZED (SELECT f.entity, f.ts, f.time_idx, greatest(0.0, b0 + b48 * a.v + b168 * b.v)
+  AS pred FROM grid f CROSS JOIN fit LEFT JOIN known{k - 1} a ON a.entity = f.entity AND a.time_idx = f.time_idx - 48
+  LEFT JOIN known{k - 1} b ON b.entity = f.entity AND b.time_idx = f.time_idx - 168 WHERE f.time_idx BETWEEN {a} AND {b}),
+  known{k} AS MATERIALIZED (SELECT * FROM known{k - 1} UNION ALL SELECT entity, time_idx, pred FROM v{k})""")
+    return ", ".join(parts)
+
 
+def _all(n: int) -> str:
+    return " UNION ALL ".join(f"SELECT entity, ts, time_idx, pred FROM v{k}" for k in range(1, n + 1))
 
-def _scorer():
-    return H.linear_scorer({"lag_48h": 0.5, "lag_168h": 0.25}, 1.5, lags=(48, 168), windows=(), diffs=(), size=SLAB)
 
+def _fitted(spark, d, until: int):
+    """Coefficients over the lags of the dense panel up to a step."""
+    rows = L.lag_features(dense(spark, d), lags=(48, 168), windows=(), diffs=(), size=SLAB)
+    return O.fit_linear(rows.filter(F.col("time_idx") <= until), ["lag_48h", "lag_168h"], "y")
 
-@query("h15_recursive_linear", with_(_DENSE, _REC, body="""SELECT entity, ts, time_idx, pred FROM v UNION ALL SELECT
-  entity, ts, time_idx, pred FROM v2"""), "pred")
+
+def _scorer(spark, d):
+    return H.linear_scorer(*_fitted(spark, d, 600), lags=(48, 168), windows=(), diffs=(), size=SLAB)
+
+
+@query("h15_recursive_linear", with_(_DENSE, _LAGS, _fit(600), _chunks(600, 48, 6), body=_all(6)), "pred")
 def h15(spark, d):
-    r = H.recursive_forecast(_history(spark, d), _future(spark, d), _scorer(), 96, 200)
+    """A model fitted on the history, recursively over every step that is left."""
+    r = H.recursive_forecast(_history(spark, d), _future(spark, d), _scorer(spark, d), None, 200)
     return r.select("entity", "ts", "time_idx", "pred")
 
 
-@query("h16_recursive_fleet", with_(_DENSE, _REC, body="""SELECT entity, ts, time_idx, pred FROM v UNION ALL SELECT
-  entity, ts, time_idx, pred FROM v2"""), "pred")
+@query("h16_recursive_fleet", with_(_DENSE, _LAGS, _fit(600), _chunks(600, 24, 12), body=_all(12)), "pred")
 def h16(spark, d):
-    out = H.recursive_forecast(_history(spark, d), _future(spark, d), _scorer(), 96, 200, chunk=24, cut_every=2)
+    out = H.recursive_forecast(_history(spark, d), _future(spark, d), _scorer(spark, d), None, 200, chunk=24)
     path = new_path(spark, "fleet")
     out.select("entity", "ts", "time_idx", "pred").write.parquet(path)
     return spark.read.parquet(path)
 
 
+_ROLLED = """SELECT entity, ts, time_idx, y, 480 + (time_idx - 480) // 48 * 48 - 1 AS origin_idx, time_idx - (480 + (time_idx
+  - 480) // 48 * 48 - 1) AS lead, {pred} AS pred FROM lagged {more} WHERE time_idx >= 480"""
+
+
+@query("h14_rolling_linear", with_(_DENSE, _LAGS, _fit(479), body=_ROLLED.format(
+    pred="greatest(0.0, b0 + b48 * l48 + b168 * l168)", more="CROSS JOIN fit")), "y pred")
+def h14_linear(spark, d):
+    weights, intercept = _fitted(spark, d, 479)
+    return O.rolling_evaluation(dense(spark, d), O.linear_origins(weights, intercept, (48, 168)), 168, 480, size=SLAB)
+
+
+@query("h14_rolling_batch", with_(_DENSE, _LAGS, body=_ROLLED.format(pred="0.5 * l48 + 0.5 * l168", more="")), "y pred")
+def h14_batch(spark, d):
+    """A sequence model called on batches of contexts."""
+    def mean_of_two(contexts, _):
+        return 0.5 * contexts[:, -48:] + 0.5 * contexts[:, -168:-120]
+    return O.rolling_evaluation(dense(spark, d), O.batch_origins(mean_of_two), 168, 480, size=SLAB)
+
+
+@query("h14_rolling_trees")
+def h14_trees(spark, d):
+    """Boosted trees fitted on the steps before the first origin, scored at every origin."""
+    from ..operators import trees
+    lags, names = (48, 72, 168), ["lag_48h", "lag_72h", "lag_168h"]
+    rows = L.lag_features(dense(spark, d), lags=lags, windows=(), diffs=(), size=SLAB)
+    model = trees.fit_trees(rows.filter("time_idx < 480"), names, categories=["entity"], **_SMALL)
+    keep = ["entity", "ts", "time_idx", "y", "origin_idx", "lead"]
+    scorer = O.model_origins(lambda r: trees.predict(model, r, names, keep, categories=["entity"]), lags)
+    return O.rolling_evaluation(dense(spark, d), scorer, 168, 480, size=SLAB)
+
+
 _SHORT = """few AS (SELECT entity, min(ts) AS t, min(time_idx) AS a, count(y) AS n, avg(y) AS m FROM indexed
   GROUP BY 1)"""
 
@@ -209,11 +266,18 @@ def h7(spark, d):
 
 # --- trees --------------------------------------------------------------------------------
 
+#: The entity and an attribute of it.
+_CATEGORIES = ["entity", "station_type"]
+
+
 def _tree_data(spark, d, outages=False):
+    """Features of every row, unknown lags too; the first 600 steps are for training."""
     from ..operators import trees
     p, names = trees.tree_features(_priced(spark, d).drop("Hour", "day_of_week"), outages=outages, size=SLAB,
                                    minimum=4)
-    p = cut(p.dropna(subset=["lag_48h"]))
+    kinds = X.readings(spark, d).groupBy("entity").agg(
+        F.concat(F.lit("T"), (F.count("*") % 3).cast("string")).alias("station_type"))
+    p = staged(p.join(kinds, "entity"), "tree-rows")
     return p.filter("time_idx < 600"), p.filter("time_idx >= 600"), names
 
 
@@ -224,16 +288,28 @@ _SMALL = {"maxIter": 3, "maxDepth": 3, "seed": 7}
 def h8(spark, d):
     from ..operators import trees
     train, val, names = _tree_data(spark, d)
-    model = trees.fit_trees(train, names, **_SMALL)
-    return V.score(trees.predict(model, val, names, ["entity", "y", "dam_price", "sell_bm_price", "buy_bm_price"]),
-                   ["entity"])
+    model = trees.fit_trees(train, names, categories=_CATEGORIES, **_SMALL)
+    return V.score(trees.predict(model, val, names, ["entity", "y", "dam_price", "sell_bm_price", "buy_bm_price"],
+                                 _CATEGORIES), ["entity"])
+
+
+@query("h8_categories_and_unknowns", with_(_DENSE, """lagged AS (SELECT *, lag(y, 48) OVER (PARTITION BY entity ORDER BY
+  ts) IS NULL AS gap FROM grid)""", body="""SELECT entity, ts, avg(y) OVER (PARTITION BY entity, gap) AS pred
+  FROM lagged"""), "pred")
+def h8_categories(spark, d):
+    """One tree deep enough for a leaf per entity and per known or unknown lag: its predictions are the groups' means."""
+    from ..operators import trees
+    rows = L.lag_columns(dense(spark, d), [48], size=SLAB).withColumn("zero", F.when(F.col("lag_48").isNotNull(), 0.0))
+    model = trees.fit_trees(rows, ["zero"], categories=["entity"], maxIter=1, maxDepth=8, seed=7)
+    return trees.predict(model, rows, ["zero"], ["entity", "ts"], ["entity"])
 
 
 @query("h9_cost_scored_search")
 def h9(spark, d):
     from ..operators import trees
     train, val, names = _tree_data(spark, d)
-    return trees.search_trees(train, val, names, {"maxDepth": [2, 3], "maxIter": [2], "stepSize": [0.1, 0.3]}, 2)[1]
+    return trees.search_trees(train, val, names, {"maxDepth": [2, 3], "maxIter": [2], "stepSize": [0.1, 0.3]}, 2,
+                              categories=_CATEGORIES)[1]
 
 
 @query("h10_early_stopping")
@@ -241,30 +317,30 @@ def h10(spark, d):
     from ..operators import trees
     train, val, names = _tree_data(spark, d)
     both = train.withColumn("is_val", F.col("time_idx") >= 500)
-    model = trees.fit_trees(both, names, validation="is_val", maxIter=5, maxDepth=2, seed=7)
-    return trees.predict(model, val, names, ["entity", "ts", "y"])
+    model = trees.fit_trees(both, names, validation="is_val", categories=_CATEGORIES, maxIter=5, maxDepth=2, seed=7)
+    return trees.predict(model, val, names, ["entity", "ts", "y"], _CATEGORIES)
 
 
 @query("h11_importances")
 def h11(spark, d):
     from ..operators import trees
     train, _, names = _tree_data(spark, d)
-    return trees.importances(trees.fit_trees(train, names, **_SMALL), names)
+    return trees.importances(trees.fit_trees(train, names, categories=_CATEGORIES, **_SMALL))
 
 
 @query("h12_outage_ablation")
 def h12(spark, d):
     from ..operators import trees
     train, val, names = _tree_data(spark, d, outages=True)
-    return trees.ablation(train, val, names, ["outage"], **_SMALL)
+    return trees.ablation(train, val, names, ["outage"], categories=_CATEGORIES, **_SMALL)
 
 
 @query("h13_direct_scoring")
 def h13(spark, d):
     from ..operators import trees
     train, val, names = _tree_data(spark, d)
-    model = trees.fit_trees(train, names, **_SMALL)
-    return trees.predict(model, val, names, ["entity", "ts", "dam_price", "buy_bm_price", "sell_bm_price"])
+    model = trees.fit_trees(train, names, categories=_CATEGORIES, **_SMALL)
+    return trees.predict(model, val, names, ["entity", "ts", "dam_price", "buy_bm_price", "sell_bm_price"], _CATEGORIES)
 
 
 @query("h18_registry_forecast", with_(_DENSE, _RAW, body="""SELECT entity, ts, l48 AS pred FROM mean24 WHERE ts >=

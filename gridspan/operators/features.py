@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.slabs import DEFAULT_SLAB, settle, slab_window, spread
+from ..plans.slabs import DEFAULT_SLAB, SLAB, settle, slab_arrays, slab_of, slab_window, spread
 from ..spec import LAG_HOURS, PANEL, ROLL_WINDOWS, PanelSpec
 from .clean import group_values, last_rows
 from .grid import grid_of
@@ -122,33 +122,33 @@ def sample_starts(starts: DataFrame, n: int, seed: int = 42, spec: PanelSpec = P
 
 
 def window_samples(df: DataFrame, starts: DataFrame, context: int, horizon: int,
-                   spec: PanelSpec = PANEL) -> DataFrame:
+                   spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) -> DataFrame:
     """One row per start with arrays: ``context`` and ``target`` of the target column,
     ``past_<c>`` of past-only columns, ``all_<c>`` of future-known ones, statics as values.
 
-    Each start is expanded to its steps and equi-joined on (entity, step), so groups have
-    ``context + horizon`` rows.  Windows over an absent step are left out.
+    Rows are gathered once per slab with the window's length as halo, and every window of the slab is a slice of
+    that array, so the shuffle does not grow with the number of overlapping windows.  Windows over an absent step are
+    left out.
     """
     span = context + horizon
-    steps = starts.select(spec.entity, "start_idx", F.posexplode(F.sequence(
-        F.col("start_idx"), F.col("start_idx") + span - 1)).alias("_k", spec.idx))
-    used = [spec.y, *spec.past_only, *spec.known_future]
-    joined = steps.join(df.select(spec.entity, spec.idx, *used, *spec.static),
-                        [spec.entity, spec.idx])
-    rows = F.sort_array(F.collect_list(F.struct("_k", *used)))
-    grouped = (joined.groupBy(spec.entity, "start_idx")
-               .agg(rows.alias("_w"), *[F.min_by(c, "_k").alias(c) for c in spec.static])
-               .filter(F.size("_w") == span))
+    used = list(dict.fromkeys([spec.y, *spec.past_only, *spec.known_future, *spec.static]))
+    near = slab_arrays(df, [spec.entity], spec.idx, used, 0, span, size)
+    home = starts.select(spec.entity, "start_idx", slab_of("start_idx", size).alias(SLAB))
+    rows = F.col("_rows")
+    joined = home.join(near, [spec.entity, SLAB]).withColumn(
+        "_at", F.array_position(rows.getField(spec.idx), F.col("start_idx")).cast("int"))
+    last = F.get(rows.getField(spec.idx), F.col("_at") + (span - 2))
+    whole = joined.filter((F.col("_at") > 0) & (last == F.col("start_idx") + (span - 1)))
 
     def part(c: str, first: int, n: int) -> Column:
-        return F.slice(F.col("_w").getField(c), first, n)
+        return F.slice(rows.getField(c), F.col("_at") + (first - 1), F.lit(n))
 
     out = [part(spec.y, 1, context).alias("context"),
            part(spec.y, context + 1, horizon).alias("target")]
     out += [part(c, 1, context).alias(f"past_{c}") for c in spec.past_only]
-    out += [F.col("_w").getField(c).alias(f"all_{c}") for c in spec.known_future]
-    return grouped.select(spec.entity, "start_idx",
-                          (F.col("start_idx") + context).alias("origin_idx"), *out, *spec.static)
+    out += [part(c, 1, span).alias(f"all_{c}") for c in spec.known_future]
+    return whole.select(spec.entity, "start_idx", (F.col("start_idx") + context).alias("origin_idx"), *out,
+                        *[F.get(rows.getField(c), F.col("_at") - 1).alias(c) for c in spec.static])
 
 
 def patches(values: str | Column, patch: int, width: int | None = None) -> Column:

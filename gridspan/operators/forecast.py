@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import add_steps
 from ..plans.coding import dense_codes
-from ..plans.lineage import cut
+from ..plans.lineage import staged
 from ..plans.slabs import DEFAULT_SLAB
 from ..spec import LAG_HOURS, PANEL, PRICE_COLUMNS, ROLL_WINDOWS, PanelSpec
 from .clean import clip, last_rows
@@ -119,34 +120,46 @@ def linear_scorer(coefficients: Mapping[str, float], intercept: float = 0.0,
     return run
 
 
-def recursive_forecast(history: DataFrame, future: DataFrame, scorer: Scorer, horizon: int,
-                       context: int, spec: PanelSpec = PANEL, chunk: int | None = None,
-                       cut_every: int = 4) -> DataFrame:
+def recursive_forecast(history: DataFrame, future: DataFrame, scorer: Scorer, horizon: int | None,
+                       context: int, spec: PanelSpec = PANEL, chunk: int | None = None) -> DataFrame:
     """Multi-step forecast by chunks; predictions become history of the next chunk.
 
-    ``future`` holds (entity, ts, index, covariates) for ``horizon`` steps.  With features
+    ``future`` holds (entity, ts, index, covariates); ``horizon`` None means all of its steps.  With features
     that look back at least ``chunk`` steps each chunk is one plan, whatever the number of
-    entities; only the last ``context`` rows of an entity travel on.  Entities may end at
-    different steps.  Lineage is cut every few chunks in the shared folder.
+    entities.  Entities may end at different steps.
+
+    The state between chunks is a table: one write holds a chunk's scores and the last ``context`` rows of each
+    entity, and the next chunk reads that file and its own part of the future.  So every step is scored once, the plan
+    of a chunk is the same for all chunks, and a lost executor replays one chunk.
     """
     chunk = chunk or spec.horizon
     last = history.groupBy(spec.entity).agg(F.max(spec.idx).alias("_b"))
-    steps = future.join(last, spec.entity).withColumn("_lead", F.col(spec.idx) - F.col("_b")).filter(
-        (F.col("_lead") >= 1) & (F.col("_lead") <= horizon)).drop("_b")
-    carried = last_rows(history, context, spec, spec.idx)
-    results: DataFrame | None = None
-    for number, begin in enumerate(range(0, horizon, chunk)):
-        ahead = steps.filter((F.col("_lead") > begin) & (F.col("_lead") <= begin + chunk)).drop("_lead")
-        ahead = ahead.withColumn(spec.y, F.lit(None).cast("double"))
-        scored = scorer(carried.unionByName(ahead, allowMissingColumns=True))
-        if (number + 1) % cut_every == 0:
-            scored = cut(scored)
-        results = scored if results is None else results.unionByName(scored)
-        if begin + chunk < horizon:
-            known = scored.withColumn(spec.y, F.col("pred")).drop("pred")
-            carried = last_rows(carried.unionByName(known, allowMissingColumns=True), context,
-                                spec, spec.idx)
-    return results
+    steps = future.join(last, spec.entity).withColumn("_lead", F.col(spec.idx) - F.col("_b")).filter("_lead >= 1").drop("_b")
+    if horizon is not None:
+        steps = steps.filter(F.col("_lead") <= horizon)
+    steps = steps.withColumn("_chunk", F.floor((F.col("_lead") - 1) / chunk).cast("int")).drop("_lead")
+    steps = staged(steps.withColumn(spec.y, F.lit(None).cast("double")), "future-steps", "_chunk")
+    state = staged(last_rows(history, context, spec, spec.idx), "forecast-state")
+    tables = []
+    final = steps.agg(F.max("_chunk")).first()[0] or 0
+    for number in range(final + 1):
+        ahead = steps.filter(F.col("_chunk") == number).drop("_chunk")
+        state = _next_state(state, ahead, scorer, context, spec)
+        tables.append(state)
+        state = state.filter("_state").drop("_scored", "_state")
+    fresh = [t.filter("_scored").drop("_scored", "_state").withColumn("pred", F.col(spec.y)).withColumn(
+        spec.y, F.lit(None).cast("double")) for t in tables]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fresh)
+
+
+def _next_state(state: DataFrame, ahead: DataFrame, scorer: Scorer, context: int, spec: PanelSpec) -> DataFrame:
+    """Written once: the scored steps (``_scored``) and the rows that the next chunk looks back on (``_state``)."""
+    scored = scorer(state.unionByName(ahead, allowMissingColumns=True))
+    known = scored.withColumn(spec.y, F.col("pred")).drop("pred").withColumn("_scored", F.lit(True))
+    every = state.withColumn("_scored", F.lit(False)).unionByName(known, allowMissingColumns=True)
+    back = Window.partitionBy(spec.entity).orderBy(F.col(spec.idx).desc())
+    rank = F.row_number().over(back)
+    return staged(every.withColumn("_state", rank <= context).filter("_state OR _scored"), "forecast-state")
 
 
 def bucket_index(df: DataFrame, per_bucket: int = 110, spec: PanelSpec = PANEL) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from ..functions import metrics as M
 from ..functions.calendar import calendar_fields, is_weekend
 from ..functions.metrics import EVAL, EvalSpec
 from ..plans.slabs import DEFAULT_SLAB
-from ..spec import HORIZON, PANEL, PRICE_COLUMNS, PanelSpec
+from ..spec import HORIZON, PANEL, PRICE_COLUMNS, PanelSpec, require_columns
 from .clean import clip, require_features
 from .evaluate import score
 from .features import lag_features, outage_flag
@@ -36,27 +36,60 @@ def tree_features(df: DataFrame, spec: PanelSpec = PANEL, outages: bool = False,
     return rich, names
 
 
-def fit_trees(train: DataFrame, features: Sequence[str], label: str = "y", fill: float = 0.0,
-              validation: str | None = None, **params) -> PipelineModel:
+def _with_unknowns(train: DataFrame, numbers: Sequence[str]) -> tuple[list, list[str]]:
+    """A stage that makes unknown numbers visible to a tree, and the columns it adds.
+
+    An unknown value lies below every known one of the training rows, so a split can tell it from each of them, and
+    columns that have unknown training values also get an indicator.  NaN is unknown.
+    """
+    if not numbers:
+        return [], []
+    known = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in numbers}
+    facts = train.agg(*[F.min(e).alias(f"low_{i}") for i, e in enumerate(known.values())],
+                      *[F.count_if(e.isNull()).alias(f"gaps_{i}") for i, e in enumerate(known.values())]).first()
+    parts, names = [], []
+    for i, c in enumerate(numbers):
+        low = facts[f"low_{i}"]
+        below = -1.0 if low is None else low - max(1.0, abs(low))
+        value = f"nullif(CAST(`{c}` AS DOUBLE), CAST('NaN' AS DOUBLE))"
+        parts.append(f"coalesce({value}, {below!r}D) AS `{c}__known`")
+        names.append(f"{c}__known")
+        if facts[f"gaps_{i}"]:
+            parts.append(f"CAST({value} IS NULL AS DOUBLE) AS `{c}__missing`")
+            names.append(f"{c}__missing")
+    return [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")], names
+
+
+def fit_trees(train: DataFrame, features: Sequence[str], label: str = "y", validation: str | None = None,
+              categories: Sequence[str] = (), **params) -> PipelineModel:
     """Gradient-boosted trees with squared error.
 
-    With ``validation`` (a boolean column) boosting stops once the error on those rows no
-    longer falls.
+    ``features`` are numbers, unknown ones included (:func:`_with_unknowns`).  ``categories`` (the entity, its
+    attributes) become sparse indicators in one vector with the categories' names as its metadata; values not met
+    in training share one indicator.  All of it is in the returned pipeline, which can be stored.  With ``validation``
+    (a boolean column) boosting stops once the error on those rows no longer falls.
     """
     require_features(train, [*features, label])
     trees = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="pred",
                          lossType="squared", **params)
     if validation:
         trees = trees.setValidationIndicatorCol(validation)
-    ready = train.filter(F.col(label).isNotNull()).fillna(fill, subset=list(features))
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
-                            trees]).fit(ready)
-
-
-def predict(model: PipelineModel, df: DataFrame, features: Sequence[str],
-            keep: Sequence[str], fill: float = 0.0) -> DataFrame:
+    ready = train.filter(F.col(label).isNotNull())
+    stages, inputs = _with_unknowns(ready, features)
+    if categories:
+        require_columns(train, categories)
+        codes, sparse = [f"{c}__code" for c in categories], [f"{c}__is" for c in categories]
+        stages += [StringIndexer(inputCols=list(categories), outputCols=codes, handleInvalid="keep",
+                                 stringOrderType="alphabetAsc"),
+                   OneHotEncoder(inputCols=codes, outputCols=sparse, dropLast=False)]
+        inputs = [*inputs, *sparse]
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features"), trees]).fit(ready)
+
+
+def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], keep: Sequence[str],
+            categories: Sequence[str] = ()) -> DataFrame:
     """One-shot scoring; predictions are not negative."""
-    ready = require_features(df, features).fillna(fill, subset=list(features))
+    ready = require_columns(require_features(df, features), categories)
     return model.transform(ready).select(*keep, clip("pred").alias("pred"))
 
 
@@ -95,14 +128,14 @@ def random_trials(space: Mapping[str, Sequence], n: int, seed: int = 42) -> list
 
 def search_trees(train: DataFrame, val: DataFrame, features: Sequence[str],
                  space: Mapping[str, Sequence], trials: int, evaluator: CostEvaluator | None = None,
-                 label: str = "y", seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+                 label: str = "y", seed: int = 42, categories: Sequence[str] = ()) -> tuple[PipelineModel, DataFrame]:
     """Random search by cost on validation; returns the best model and the trial table."""
     evaluator = evaluator or CostEvaluator()
     keep = [c for c in val.columns if c not in features]
     rows, best, best_cost = [], None, float("inf")
     for number, params in enumerate(random_trials(space, trials, seed)):
-        model = fit_trees(train, features, label, seed=seed, **params)
-        cost = evaluator.evaluate(predict(model, val, features, keep))
+        model = fit_trees(train, features, label, categories=categories, seed=seed, **params)
+        cost = evaluator.evaluate(predict(model, val, features, keep, categories))
         rows.append((number, repr(sorted(params.items())), cost))
         if best is None or cost < best_cost:
             best, best_cost = model, cost
@@ -110,20 +143,37 @@ def search_trees(train: DataFrame, val: DataFrame, features: Sequence[str],
     return best, table
 
 
-def importances(model: PipelineModel, features: Sequence[str]) -> DataFrame:
+def feature_names(model: PipelineModel) -> list[str]:
+    """Names of the places of the feature vector: numbers, ``<c>__missing``, and ``<c>=<value>`` of categories."""
+    labels = {}
+    for step in model.stages:
+        if isinstance(step, StringIndexerModel):
+            labels = dict(zip(step.getInputCols(), step.labelsArray))
+    assembler = next(x for x in model.stages if isinstance(x, VectorAssembler))
+    names = []
+    for c in assembler.getInputCols():
+        if c.endswith("__is"):
+            names += [f"{c[:-4]}={v}" for v in [*labels[c[:-4]], "(other)"]]
+        else:
+            names.append(c.removesuffix("__known"))
+    return names
+
+
+def importances(model: PipelineModel) -> DataFrame:
     """Features by importance, largest first."""
     weights = model.stages[-1].featureImportances.toArray()
-    rows = sorted(zip(features, map(float, weights)), key=lambda r: (-r[1], r[0]))
+    rows = sorted(zip(feature_names(model), map(float, weights)), key=lambda r: (-r[1], r[0]))
     from pyspark.sql import SparkSession
     return SparkSession.active().createDataFrame(
         [(i + 1, n, w) for i, (n, w) in enumerate(rows)], "rank int, feature string, importance double")
 
 
 def ablation(train: DataFrame, val: DataFrame, features: Sequence[str], without: Sequence[str],
-             spec: EvalSpec = EVAL, label: str = "y", **params) -> DataFrame:
+             spec: EvalSpec = EVAL, label: str = "y", categories: Sequence[str] = (), **params) -> DataFrame:
     """Scores of the same model with and without some features."""
     keep = [spec.y, spec.dam, spec.sell, spec.buy]
     fewer = [f for f in features if f not in without]
-    parts = [predict(fit_trees(train, names, label, **params), val, names, keep).withColumn("variant", F.lit(v))
+    parts = [predict(fit_trees(train, names, label, categories=categories, **params), val, names, keep, categories)
+             .withColumn("variant", F.lit(v))
              for v, names in (("with", features), ("without", fewer))]
     return score(parts[0].unionByName(parts[1]).dropna(), ["variant"], spec)

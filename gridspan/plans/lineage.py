@@ -37,3 +37,11 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back, which cuts the lineage."""
+    path = new_path(df.sparkSession, label)
+    writer = df.write.partitionBy(partition) if partition else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)

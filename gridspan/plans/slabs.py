@@ -135,3 +135,35 @@ def previous_index(df: DataFrame, keys: Sequence[str], idx: str, name: str = "pr
                .select(*keys, SLAB, F.max("_top").over(_across(keys)).alias("_before_slab")))
     return (local.join(summary, [*keys, SLAB], "left")
             .select(*df.columns, F.coalesce("_before_in", "_before_slab").alias(name)))
+
+
+def slab_arrays(df: DataFrame, keys: Sequence[str], idx: str, columns: Sequence[str], back: int = 0,
+                ahead: int = 0, size: int = DEFAULT_SLAB, name: str = "_rows") -> DataFrame:
+    """One row per (key, slab): ``name``, its rows in order of ``idx`` as structs of ``idx`` and ``columns``.
+
+    The array also holds ``back`` steps before the slab and ``ahead`` steps after it, so every frame of a
+    row of the slab lies inside.  Rows shuffled are at most ``1 + (back + ahead) / size`` times the input, and an array has
+    at most ``size + back + ahead`` rows of a panel with one row a step.
+    """
+    near = spread(df.select(*keys, idx, *columns), idx, back, ahead, size)
+    rows = F.sort_array(F.collect_list(F.struct(idx, *columns)))
+    return near.groupBy(*keys, SLAB).agg(rows.alias(name))
+
+
+def on_slabs(df: DataFrame, facts: DataFrame, keys: Sequence[str], idx: str, size: int = DEFAULT_SLAB,
+             how: str = "inner") -> DataFrame:
+    """``df`` with the columns of ``facts`` (one row per key, null keys too), joined slab by slab.
+
+    The facts of a key are first given to each of its slabs, which is a table with one row per slab; the
+    rows then meet them on key and slab.  So no task gets all rows of a key, whatever its size.
+    ``how`` is inner, left or left_semi.
+    """
+    keys = list(keys)
+    homed = df.withColumn(SLAB, slab_of(idx, size))
+    slabs = homed.groupBy(*keys, SLAB).agg(F.lit(1).alias("_one")).drop("_one")
+    wanted = facts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                          *[c for c in facts.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    placed = slabs.join(wanted, same).drop(*keys).withColumnRenamed(SLAB, "_at")
+    match = [*same, F.col(SLAB).eqNullSafe(F.col("_at"))]
+    return homed.join(placed, match, how).drop(SLAB, "_at", *[f"_k{i}" for i in range(len(keys))])

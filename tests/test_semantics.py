@@ -208,7 +208,7 @@ def test_recursive_equals_direct_within_one_chunk(spark):
     rec = H.recursive_forecast(past, future, scorer, 40, 100)
     direct = scorer(past.unionByName(future.withColumn("y", F.lit(None).cast("double"))))
     assert sorted(map(tuple, rec.collect())) == sorted(map(tuple, direct.select(rec.columns).collect()))
-    chunks = H.recursive_forecast(past, future, scorer, 40, 100, chunk=16, cut_every=2)
+    chunks = H.recursive_forecast(past, future, scorer, 40, 100, chunk=16)
     assert sorted(map(tuple, rec.collect())) == sorted(map(tuple, chunks.select(rec.columns).collect()))
 
 
