@@ -17,14 +17,12 @@ _S_DIM = """dim AS (SELECT event_type AS entity, CAST(44 + min(user_id) % 7 AS D
   % 9 AS DOUBLE) AS longitude, 'T' || count(*) % 3 AS station_type FROM events GROUP BY 1),
   solar AS (SELECT event_type AS entity, date_trunc('day', min(ts)) + INTERVAL 9 DAY AS since, max(value) AS power
     FROM events WHERE event_type <> 'view' GROUP BY 1),
-  chargers AS (SELECT event_type AS entity, date_trunc('hour', ts) AS since, value AS power FROM events
-    WHERE event_id % 50 = 0),
+  chargers AS (SELECT event_type AS entity, date_trunc('hour', ts) AS since, value AS power FROM events),
   weather AS (SELECT date_trunc('hour', ts) AS ts, d.latitude, d.longitude, arg_max(value, event_id) AS
-    temperature_2m FROM events e JOIN dim d ON d.entity = e.event_type WHERE user_id % 3 = 0 GROUP BY 1, 2, 3)"""
+    temperature_2m FROM events e JOIN dim d ON d.entity = e.event_type GROUP BY 1, 2, 3)"""
 
 
-def _sources(spark, d, whole: bool = True) -> B.Sources:
-    """The tables of the build; without ``whole`` the installs and weather rows that the twin of silver_build has."""
+def _sources(spark, d) -> B.Sources:
     e = X.readings(spark, d)
     dim = e.groupBy("entity").agg(
         (44 + F.min("user_id") % 7).cast("double").alias("latitude"),
@@ -33,9 +31,9 @@ def _sources(spark, d, whole: bool = True) -> B.Sources:
     solar = e.filter("entity <> 'view'").groupBy("entity").agg(
         (F.date_trunc("day", F.min("ts")) + F.expr("interval 9 days")).alias("since"),
         F.max("y").alias("power"))
-    chargers = (e if whole else e.filter("event_id % 50 = 0")).select(
+    chargers = e.select(
         "entity", F.date_trunc("hour", "ts").alias("since"), F.col("y").alias("power"))
-    weather = (e if whole else e.filter("user_id % 3 = 0")).join(dim, "entity").groupBy(
+    weather = e.join(dim, "entity").groupBy(
         F.date_trunc("hour", "ts").alias("ts"), "latitude", "longitude").agg(
         F.max_by("y", "event_id").alias("temperature_2m"))
     capacity = dim.filter("entity <> 'click'").select("entity", F.lit(400.0).alias("max_power"))
@@ -79,13 +77,13 @@ _S_FILLED = _S_SILVER + ", near AS (SELECT *, " + ", ".join(
 @query("silver_build", with_(_S_FILLED, body="SELECT * FROM silver"),
        "y max_solar max_power max_ev temperature_2m latitude longitude dam_price buy_bm_price")
 def silver(spark, d):
-    df = B.build_silver(_sources(spark, d, whole=False), _OPT)
+    df = B.build_silver(_sources(spark, d), _OPT)
     return df.select("entity", "ts", "time_idx", *_NUM, "latitude", "longitude", "station_type", "dam_price", "buy_bm_price",
                      "data_subset")
 
 
-@query("gold_build", with_(_S_FILLED, body="""SELECT data_subset, count(*) AS rows, sum(y) AS load, CAST(count(*)
-  FILTER (extract(hour FROM ts) = 5) AS BIGINT) AS hour_5 FROM silver GROUP BY 1"""), "load", 2)
+@query("gold_build", with_(_S_FILLED, body="""SELECT data_subset, count(*) AS rows, sum(y) AS load, sum(max_ev) AS
+  chargers, sum(temperature_2m) AS warmth, CAST(count(*) FILTER (extract(hour FROM ts) = 5) AS BIGINT) AS hour_5 FROM silver GROUP BY 1"""), "load chargers warmth", 2)
 def gold(spark, d):
     root = new_path(spark, "build")
     df = B.build_silver(_sources(spark, d), _OPT, lambda f, name: W.write_stage(f, f"{root}/{name}"))
@@ -93,6 +91,7 @@ def gold(spark, d):
     paths = W.write_gold(df, f"{root}/gold", ts="ts")
     hot = spark.read.parquet(paths["one_hot"])
     return hot.groupBy("data_subset").agg(F.count("*").alias("rows"), F.sum("y").alias("load"),
+                                          F.sum("max_ev").alias("chargers"), F.sum("temperature_2m").alias("warmth"),
                                           F.sum("Hour_5").alias("hour_5"))
 
 
@@ -100,8 +99,9 @@ def gold(spark, d):
   events GROUP BY 1, 2), h2 AS (SELECT entity, ts, CASE WHEN entity = 'click' THEN least(y, 150.0) ELSE y END AS y FROM h
   WHERE NOT (entity = 'view' AND ts < TIMESTAMP '2024-01-10')), f AS (SELECT entity, unnest(generate_series(TIMESTAMP
   '2024-01-31', TIMESTAMP '2024-02-01 23:00:00', INTERVAL 1 HOUR)) AS ts FROM (SELECT DISTINCT entity FROM h2))""",
-                              body="""SELECT f.entity, f.ts, coalesce(a.y, 0) * 0.5 + 1 AS pred FROM f LEFT JOIN h2 a
-  ON a.entity = f.entity AND a.ts = f.ts - INTERVAL 48 HOUR"""), "pred")
+                              body="""SELECT f.entity, f.ts, coalesce(a.y, 0) * 0.5 + 1 AS pred, (SELECT sum(value) FROM events e
+  WHERE e.event_type = f.entity AND date_trunc('hour', e.ts) <= f.ts) AS max_ev FROM f LEFT JOIN h2 a
+  ON a.entity = f.entity AND a.ts = f.ts - INTERVAL 48 HOUR"""), "pred max_ev")
 def inference(spark, d):
     src = _sources(spark, d)
     frame = B.inference_frame(src, "2024-01-31", "2024-02-01 23:00:00", _OPT)
@@ -110,4 +110,4 @@ def inference(spark, d):
     known = grid.withColumn("y", F.when(F.col("ts") < F.lit("2024-01-31").cast("timestamp_ntz"),
                                         F.coalesce("y", F.lit(0.0))))
     score = H.linear_scorer({"lag_48h": 0.5}, 1.0, lags=(48,), windows=(), diffs=(), size=168)
-    return B.forecast_window(frame, lambda _: score(known), "2024-01-31", "2024-02-01 23:00:00", prices=())
+    return B.forecast_window(frame, lambda _: score(known), "2024-01-31", "2024-02-01 23:00:00", prices=("max_ev",))

@@ -49,6 +49,39 @@ def a1(spark, d):
     return R.conform_readings(raw)
 
 
+_SHEET = {"EIC": "entity", "Date": "date", "Hour": "hour", "kWh": "y"}
+
+
+def _sheet_with_noise(spark, d):
+    """Readings as a sheet in which some hours and values cannot be read, some lines repeat, and headers stand between."""
+    e = X.table(spark, d, "events")
+    hour = F.when(F.col("event_id") % 7 == 0, F.lit("7h")).otherwise(F.hour("ts").cast("string"))
+    value = F.when(F.col("event_id") % 5 == 0, F.lit("n/a")).otherwise(F.col("event_id").cast("string"))
+    lines = e.select(F.col("event_type").alias("EIC"), F.to_date("ts").cast("string").alias("Date"),
+                     hour.alias("Hour"), value.alias("kWh"))
+    path = new_path(spark, "noisy-sheets")
+    lines.write.option("header", True).csv(path)
+    return path
+
+
+@query("a1_rejects", """SELECT 'good' AS kind, NULL AS reasons, NULL AS line, count(*) AS n, sum(event_id) AS load FROM events
+  WHERE event_id % 5 <> 0 AND event_id % 7 <> 0 UNION ALL SELECT 'rejected', reasons, line, count(*), NULL FROM (SELECT
+  array_to_string(list_filter([CASE WHEN event_id % 7 = 0 THEN 'hour is unreadable' END, CASE WHEN event_id % 5 = 0 THEN
+  'y is unreadable' END], lambda x: x IS NOT NULL), ', ') AS reasons, '{"entity":"' || event_type || '","date":"' ||
+  strftime(ts, '%Y-%m-%d') || '","hour":"' || CASE WHEN event_id % 7 = 0 THEN '7h' ELSE extract(hour FROM ts)::VARCHAR
+  END || '","y":"' || CASE WHEN event_id % 5 = 0 THEN 'n/a' ELSE event_id::VARCHAR END || '"}' AS line FROM events
+  WHERE event_id % 5 = 0 OR event_id % 7 = 0) GROUP BY ALL""", "load")
+def a1_rejects(spark, d):
+    """Both outputs of one read: the good rows, and every other line with its reasons and count."""
+    path, types = _sheet_with_noise(spark, d), {"hour": "int", "y": "double"}
+    good = R.read_sheets(spark, path, _SHEET, types).agg(
+        F.lit("good").alias("kind"), F.lit(None).cast("string").alias("reasons"), F.lit(None).cast("string").alias("line"),
+        F.count("*").alias("n"), F.sum("y").alias("load"))
+    bad = R.rejected_lines(spark, path, _SHEET, types).select(
+        F.lit("rejected").alias("kind"), "reasons", "line", "n", F.lit(None).cast("double").alias("load"))
+    return good.unionByName(bad)
+
+
 @query("a1_read_parts", """SELECT event_id, event_type AS entity, CASE WHEN event_id % 2 = 0 THEN
   value END AS y, CASE WHEN event_id % 2 = 1 THEN user_id ELSE -1 END AS user_id FROM events""", "y")
 def a1_parts(spark, d):

@@ -82,7 +82,7 @@ def c5(spark, d):
 @query("c6_fill_weather", with_(X.S_STATIONS, """obs AS (SELECT l_suppkey AS entity, l_shipdate AS ts,
   sum(l_quantity) AS y, CASE WHEN l_suppkey % 2 = 0 THEN 7.5 END AS rain FROM lineitem GROUP BY 1, 2),
   weather AS (SELECT l_shipdate AS ts, l_suppkey, max(l_orderkey * 10 + l_linenumber) AS ord,
-    max(l_extendedprice) AS t, max(l_tax) AS r FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1, 2)""",
+    max(l_extendedprice) AS t, max(l_tax) AS r FROM lineitem GROUP BY 1, 2)""",
                                 body="""SELECT o.entity, o.ts, y, t AS temperature_2m, coalesce(o.rain, r) AS rain
   FROM obs o JOIN stations s ON s.entity = o.entity LEFT JOIN (SELECT ts, latitude, longitude,
   max_by(t, ord) AS t, max_by(r, ord) AS r FROM weather w JOIN stations z ON z.entity = w.l_suppkey
@@ -92,7 +92,7 @@ def c6(spark, d):
     st = X.stations(spark, d).select("entity", "latitude", "longitude")
     obs = X.supplier_daily(spark, d).join(st, "entity").withColumn(
         "rain", F.when(F.col("entity") % 2 == 0, 7.5))
-    li = X.table(spark, d, "lineitem").filter("l_suppkey % 3 = 0")
+    li = X.table(spark, d, "lineitem")
     w = (li.groupBy(F.col("l_suppkey").alias("entity"), F.col("l_shipdate").alias("ts"))
          .agg(F.max(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"),
               F.max("l_extendedprice").alias("temperature_2m"), F.max("l_tax").alias("rain"))

@@ -62,7 +62,6 @@ class BuildOptions:
     max_gap: int = 1
     train_end: str = TRAIN_END
     val_end: str = VAL_END
-    small_entities: int = 1_000_000
     size: int = DEFAULT_SLAB
     spec: PanelSpec = field(default_factory=lambda: PANEL)
 
@@ -90,7 +89,7 @@ def describe(df: DataFrame, src: Sources, opt: BuildOptions) -> DataFrame:
             local, src.solar, "since", "power", spec, "max_solar"))
     if src.capacity is not None:
         df = K.fill_by_group_max(J.with_dimension(df, src.capacity, [spec.entity]), "max_power", spec,
-                                 small=opt.small_entities)
+                                 size=opt.size)
     if src.rules is not None:
         df = _on_local_clock(df, opt, lambda local: K.apply_rules(local, src.rules, spec))
     return df

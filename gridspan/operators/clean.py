@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.sizing import small_result
+from ..plans.slabs import DEFAULT_SLAB, on_slabs, rejoin, time_slab
 from ..spec import (COORDINATES, DROP_BEFORE, PANEL, PRICE_OVERRIDES, VALUE_CAPS, PanelSpec,
                     require_columns)
 
@@ -101,25 +101,21 @@ def patch_missing(df: DataFrame, patch: DataFrame, key: str, columns: Sequence[s
         if c in columns else F.col(c) for c in df.columns])
 
 
-def group_values(df: DataFrame, keys: Sequence[str], small: int = 0, **aggregates: Column) -> DataFrame:
+def group_values(df: DataFrame, keys: Sequence[str], slab: Column | None = None, **aggregates: Column) -> DataFrame:
     """Group aggregates put back on the rows.
 
     Aggregates first (map-side combined) and joins the small result, so that a hot group is
-    never brought together in one task as a partition-wide window would.  With ``small`` the
-    aggregates are computed now and, up to so many groups, joined without moving the rows.
+    never brought together in one task as a partition-wide window would.  With ``slab``, a part of the
+    group that the row belongs to, the rows of a group meet its result part by part.
     """
     stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggregates.items()])
-    if small:
-        stats = small_result(stats, small)
-    right = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *aggregates)
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return df.join(right, same, "left").drop(*[f"_k_{k}" for k in keys])
+    return rejoin(df, stats, keys) if slab is None else on_slabs(df, stats, keys, slab, "left")
 
 
 def fill_by_group_max(df: DataFrame, column: str, spec: PanelSpec = PANEL,
-                      flag: str | None = None, small: int = 0) -> DataFrame:
+                      flag: str | None = None, size: int = DEFAULT_SLAB) -> DataFrame:
     """Missing values become the largest ``y`` of the entity; ``flag`` records which."""
-    joined = group_values(df, [spec.entity], small, _top=F.max(spec.y))
+    joined = group_values(df, [spec.entity], time_slab(spec.ts, spec.step_seconds, size), _top=F.max(spec.y))
     out = [F.coalesce(column, "_top").alias(column) if c == column else F.col(c)
            for c in df.columns]
     if flag:

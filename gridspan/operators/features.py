@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.slabs import DEFAULT_SLAB, SLAB, settle, slab_arrays, slab_of, slab_window, spread
+from ..plans.slabs import (DEFAULT_SLAB, SLAB, on_slabs, rejoin, settle, slab_arrays, slab_of, slab_window,
+                           spread)
 from ..spec import LAG_HOURS, PANEL, ROLL_WINDOWS, PanelSpec
 from .clean import group_values, last_rows
 from .grid import grid_of
@@ -202,10 +203,10 @@ def mean_abs_scale(values: str | Column) -> Column:
     return F.when(m > 0, m).otherwise(F.lit(1.0))
 
 
-def position_covariates(df: DataFrame, context: int, spec: PanelSpec = PANEL) -> DataFrame:
+def position_covariates(df: DataFrame, context: int, spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) -> DataFrame:
     """Position in the series, history available to a row (at most ``context``), and the
     target's mean and deviation as columns."""
-    out = group_values(df, [spec.entity], _a=F.min(spec.idx), y_center=F.avg(spec.y),
+    out = group_values(df, [spec.entity], slab_of(spec.idx, size), _a=F.min(spec.idx), y_center=F.avg(spec.y),
                        y_scale=F.stddev_samp(spec.y))
     pos = F.col(spec.idx) - F.col("_a")
     return out.withColumn("rel_idx", pos).withColumn(
@@ -229,13 +230,17 @@ def decompose(df: DataFrame, spec: PanelSpec = PANEL, period: int = 24,
     near = spread(df, spec.idx, half, half, size)
     trend = settle(near.withColumn(
         "trend", F.when(full, (F.sum(spec.y).over(frame) - ends / 2) / period)), spec.idx, size)
+    # The pattern by the index's own phase; the first index then tells where the entity's phases begin.
+    clock = F.pmod(F.col(spec.idx), F.lit(period)).cast("int")
+    pattern = seasonal_pattern(trend.withColumn("phase", clock), spec, period)
+    shape = F.map_from_entries(F.collect_list(F.struct("phase", "seasonal"))).alias("_shape")
     first = df.groupBy(spec.entity).agg(F.min(spec.idx).alias("_a"))
-    phased = trend.join(first, spec.entity).withColumn(
-        "phase", ((F.col(spec.idx) - F.col("_a")) % period).cast("int")).drop("_a")
-    pattern = seasonal_pattern(phased, spec, period)
-    return phased.join(pattern, [spec.entity, "phase"], "left").select(
-        *df.columns, "phase", "trend", "seasonal",
-        (F.col(spec.y) - F.col("trend") - F.col("seasonal")).alias("resid"))
+    facts = rejoin(first, pattern.groupBy(spec.entity).agg(shape), [spec.entity])
+    joined = on_slabs(trend, facts, [spec.entity], slab_of(spec.idx, size))
+    seasonal = F.try_element_at("_shape", clock)
+    return joined.select(
+        *df.columns, ((F.col(spec.idx) - F.col("_a")) % period).cast("int").alias("phase"), "trend",
+        seasonal.alias("seasonal"), (F.col(spec.y) - F.col("trend") - seasonal).alias("resid"))
 
 
 def seasonal_pattern(phased: DataFrame, spec: PanelSpec = PANEL, period: int = 24) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import add_steps, hour_index
-from ..plans.slabs import (DEFAULT_SLAB, SLAB, neighbours, previous_index, settle, slab_of,
-                           slab_window, spread)
+from ..plans.slabs import (DEFAULT_SLAB, SLAB, neighbours, on_slabs, previous_index, rejoin, settle, slab_of,
+                           slab_window, spread, time_slab)
 from ..spec import PANEL, PanelSpec
 from .clean import group_values, last_rows
 
@@ -26,7 +26,7 @@ def index_from(df: DataFrame, origin: Column | str | None = None,
 
 def index_by_entity(df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """Step index from the entity's own first stamp."""
-    out = group_values(df, [spec.entity], _first=F.min(spec.ts))
+    out = group_values(df, [spec.entity], time_slab(spec.ts, spec.step_seconds), _first=F.min(spec.ts))
     return out.withColumn(spec.idx, hour_index(spec.ts, F.col("_first"), spec.step_seconds)
                           ).drop("_first")
 
@@ -125,7 +125,7 @@ def blocks(df: DataFrame, spec: PanelSpec = PANEL, size: int = DEFAULT_SLAB) ->
     carried = (homed.groupBy(spec.entity, SLAB)
                .agg(F.min(F.when(F.col("_e"), F.col(spec.idx))).alias("_first"))
                .select(spec.entity, SLAB, F.last("_first", True).over(later).alias("_next")))
-    return (local.filter("_s").join(carried, [spec.entity, SLAB], "left")
+    return (rejoin(local.filter("_s"), carried, [spec.entity, SLAB])
             .select(spec.entity, F.col(spec.idx).alias("first_idx"),
                     F.coalesce("_end", "_next").alias("last_idx"))
             .withColumn("steps", F.col("last_idx") - F.col("first_idx") + 1))
@@ -161,7 +161,7 @@ def trim_to_tail(df: DataFrame, spec: PanelSpec = PANEL, max_missing: int = 3,
     """Apply :func:`tail_blocks`."""
     plan = tail_blocks(df, spec, max_missing, min_days, size).filter("decision <> 'drop'")
     start = F.when(F.col("decision") == "trim", F.col("block_start"))
-    kept = df.join(plan.select(spec.entity, start.alias("_from")), spec.entity)
+    kept = on_slabs(df, plan.select(spec.entity, start.alias("_from")), [spec.entity], slab_of(spec.idx, size))
     return kept.filter(F.col("_from").isNull() | (F.col(spec.idx) >= F.col("_from"))).drop("_from")
 
 
@@ -295,7 +295,7 @@ def complete_time_table(df: DataFrame, spec: PanelSpec = PANEL, columns: Sequenc
 
 def init_unknown(df: DataFrame, spec: PanelSpec = PANEL, output: str = "y_init") -> DataFrame:
     """Unknown targets start from the entity mean, or 0 without any."""
-    out = group_values(df, [spec.entity], _mean=F.avg(spec.y))
+    out = group_values(df, [spec.entity], time_slab(spec.ts, spec.step_seconds), _mean=F.avg(spec.y))
     return out.select(*df.columns, F.coalesce(F.col(spec.y), F.col("_mean"), F.lit(0.0)).alias(output))
 
 

@@ -60,6 +60,19 @@ def _across(keys: Sequence[str], *, descending: bool = False):
         Window.unboundedPreceding, -1)
 
 
+def rejoin(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on columns of the same name, where null equals null; ``on`` comes from the left."""
+    names = {c: f"_on{i}" for i, c in enumerate(on)}
+    other = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return left.join(other, same, how).drop(*names.values())
+
+
+def time_slab(ts: str, step_seconds: int, size: int = DEFAULT_SLAB) -> Column:
+    """Slab of a row by its stamp, for frames without an index."""
+    return F.floor(F.col(ts).cast("timestamp").cast("long") / (size * step_seconds)).cast("long")
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], idx: str, columns: Sequence[str],
                size: int = DEFAULT_SLAB) -> DataFrame:
     """Nearest known value at or before and at or after every row.
@@ -92,7 +105,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], idx: str, columns: Sequence[s
                  .withColumn(f"{c}__ln_at", F.last(at, ignorenulls=True).over(down)))
 
     summary = homed.groupBy(*keys, SLAB).agg(*parts).select(*keys, SLAB, *carried)
-    joined = local.join(summary, [*keys, SLAB], "left")
+    joined = rejoin(local, summary, [*keys, SLAB])
     found = []
     for c in columns:
         for suffix in ("", "_at"):
@@ -116,7 +129,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], idx: str, sums: dict[str, C
     local = homed
     for n, e in sums.items():
         local = local.withColumn(f"_{n}_in", F.sum(e).over(w))
-    joined = local.join(summary, [*keys, SLAB], "left")
+    joined = rejoin(local, summary, [*keys, SLAB])
     totals = []
     for n in sums:
         a, b = F.col(f"_{n}_in"), F.col(f"_{n}_before")
@@ -133,8 +146,8 @@ def previous_index(df: DataFrame, keys: Sequence[str], idx: str, name: str = "pr
     local = homed.withColumn("_before_in", F.lag(idx).over(slab_window(keys, idx)))
     summary = (homed.groupBy(*keys, SLAB).agg(F.max(idx).alias("_top"))
                .select(*keys, SLAB, F.max("_top").over(_across(keys)).alias("_before_slab")))
-    return (local.join(summary, [*keys, SLAB], "left")
-            .select(*df.columns, F.coalesce("_before_in", "_before_slab").alias(name)))
+    return rejoin(local, summary, [*keys, SLAB]).select(
+        *df.columns, F.coalesce("_before_in", "_before_slab").alias(name))
 
 
 def slab_arrays(df: DataFrame, keys: Sequence[str], idx: str, columns: Sequence[str], back: int = 0,
@@ -150,20 +163,15 @@ def slab_arrays(df: DataFrame, keys: Sequence[str], idx: str, columns: Sequence[
     return near.groupBy(*keys, SLAB).agg(rows.alias(name))
 
 
-def on_slabs(df: DataFrame, facts: DataFrame, keys: Sequence[str], idx: str, size: int = DEFAULT_SLAB,
-             how: str = "inner") -> DataFrame:
-    """``df`` with the columns of ``facts`` (one row per key, null keys too), joined slab by slab.
+def on_slabs(df: DataFrame, facts: DataFrame, keys: Sequence[str], slab: Column, how: str = "inner") -> DataFrame:
+    """``df`` with the columns of ``facts`` (one row per key; null keys meet too), joined slab by slab.
 
     The facts of a key are first given to each of its slabs, which is a table with one row per slab; the
     rows then meet them on key and slab.  So no task gets all rows of a key, whatever its size.
     ``how`` is inner, left or left_semi.
     """
     keys = list(keys)
-    homed = df.withColumn(SLAB, slab_of(idx, size))
+    homed = df.withColumn(SLAB, slab)
     slabs = homed.groupBy(*keys, SLAB).agg(F.lit(1).alias("_one")).drop("_one")
-    wanted = facts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                          *[c for c in facts.columns if c not in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    placed = slabs.join(wanted, same).drop(*keys).withColumnRenamed(SLAB, "_at")
-    match = [*same, F.col(SLAB).eqNullSafe(F.col("_at"))]
-    return homed.join(placed, match, how).drop(SLAB, "_at", *[f"_k{i}" for i in range(len(keys))])
+    placed = rejoin(slabs, facts, keys, "inner")
+    return rejoin(homed, placed, [*keys, SLAB], how).drop(SLAB)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,15 +24,33 @@ def read_sheets(spark: SparkSession, paths: str | Sequence[str], columns: Mappin
     content, not by position, so files stay splittable: a data line has a value under
     ``dated`` and its typed columns either empty or readable.
     """
+    named, bad = _sheet_lines(spark, paths, columns, types, dated, encoding)
+    return named.filter(F.col(dated).isNotNull() & (F.size(bad) == 0)).select(*[
+        F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in named.columns])
+
+
+def _sheet_lines(spark, paths, columns, types, dated, encoding) -> tuple[DataFrame, Column]:
+    """All lines as text under canonical names, and the typed columns a line has an unreadable value in."""
     layout = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = spark.read.schema(layout).options(header="false", mode="PERMISSIVE",
                                             encoding=encoding).csv(paths)
-    named = project(raw, columns)
-    fits = F.col(dated).isNotNull()
-    for c, kind in types.items():
-        fits = fits & (F.col(c).isNull() | F.col(c).try_cast(kind).isNotNull())
-    return named.filter(fits).select(*[
-        F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in named.columns])
+    unreadable = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull(), F.lit(c)) for c, kind in types.items()]
+    return project(raw, columns), F.array_compact(F.array(*unreadable).cast("array<string>"))
+
+
+def rejected_lines(spark: SparkSession, paths: str | Sequence[str], columns: Mapping[str, str],
+                   types: Mapping[str, str], dated: str = "date", encoding: str = "UTF-8") -> DataFrame:
+    """What :func:`read_sheets` leaves out although it is data: (line, reasons, n), once per different line.
+
+    ``line`` is the row as JSON text, ``reasons`` names each typed column with an unreadable value.  A header
+    (a line with a column's own landed name under it) and a line without ``dated`` are no data.
+    """
+    named, bad = _sheet_lines(spark, paths, columns, types, dated, encoding)
+    header = reduce(lambda a, b: a | b, [F.col(c).eqNullSafe(F.lit(landed)) for landed, c in columns.items()])
+    reasons = F.transform(bad, lambda c: F.concat(c, F.lit(" is unreadable")))
+    lines = named.filter(F.col(dated).isNotNull() & (F.size(bad) > 0) & ~header).select(
+        F.to_json(F.struct("*")).alias("line"), F.array_join(reasons, ", ").alias("reasons"))
+    return lines.groupBy("line", "reasons").agg(F.count("*").alias("n"))
 
 
 def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -133,7 +133,7 @@ def test_facts_meet_rows_slab_by_slab(spark, size):
         df = panel(spark, {"a": [1.0] * 40, None: [2.0] * 5, "z": [3.0] * 4})
         facts = spark.createDataFrame([("a", 10), (None, 20), ("q", 30)], "entity string, f int")
         for how, n in (("inner", 45), ("left", 49), ("left_semi", 45)):
-            out = S.on_slabs(df, facts, ["entity"], "time_idx", size, how)
+            out = S.on_slabs(df, facts, ["entity"], S.slab_of("time_idx", size), how)
             assert out.columns == df.columns + ([] if how == "left_semi" else ["f"]) and out.count() == n
             if how == "inner":
                 assert {(r.entity, r.f) for r in out.collect()} == {("a", 10), (None, 20)}
