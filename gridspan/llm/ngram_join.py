@@ -327,13 +327,17 @@ def _sized(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, text: str = "text",
                          key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` with one document of each component, that of the least id, and all their columns.
+    """The rows of ``docs`` with one row of each component, that of the least id, and all their columns.
 
-    Rows to drop are named by id, so rows that repeat the id that stays all stay, as do rows with
-    a null id and texts without words.
+    Rows are decided one by one: they are numbered, and named by (id, number).  So of rows that repeat an id, with the same
+    text or with others, one stays in each component; a null id comes after all others.  Rows without words all stay.
+    Column names cannot clash, as the row travels as one value.
     """
-    found = near_duplicates(docs, n, num, den, text, key)
-    gone = stage(found.filter("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
+    name = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("id"),
+                    F.monotonically_increasing_id().alias("number"))
+    rows = stage(docs.select(F.struct("*").alias("row"), name.alias("name")), "numbered")
+    found = near_duplicates(rows.select("name", F.col("row").getField(text).alias("text")), n, num, den, "text", "name")
+    gone = stage(found.filter("component_id <> doc_id").select(F.col("doc_id.number").alias("number")), "near-copies")
     small = gone.count() <= BROADCAST_ROWS
-    gone = gone.select(F.col("doc_id").alias("gone_id"))
-    return docs.join(F.broadcast(gone) if small else gone, docs[key] == F.col("gone_id"), "left_anti")
+    left = rows.select("row", F.col("name.number").alias("number"))
+    return left.join(F.broadcast(gone) if small else gone, "number", "left_anti").select("row.*")

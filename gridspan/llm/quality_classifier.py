@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, in_fold, keep_rows, release, stage, text_slices
+from .common import Words, in_fold, keep_rows, packed, release, stage, text_slices
 
 MEASURES = 12
 STEPS = 8
@@ -175,19 +175,23 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
 
 def drop_bad(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang",
              text: str = "text", key: str = "doc_id", parts: int = 5, fold: int = 0) -> DataFrame:
-    """The rows of ``docs`` that :func:`classify` keeps, with all their columns."""
+    """The rows of ``docs`` that :func:`classify` keeps, with all their columns.
+
+    Column names cannot clash, as the row travels as one value.
+    """
     _, w, m, hosts, paths = _learn(docs, labels, F.col(host), F.col(path), text, key, parts, fold)
-    sites = hosts.join(paths, "host", "left").select(
-        "host", "path", (_logit(F.coalesce("path_rate", "host_rate")) - _logit(F.lit(m))).alias("prior"))
-    own = sites.select(F.col("host").alias("site_host"), F.col("path").alias("site_path"), F.col("prior").alias("site_prior"))
-    above = hosts.select(F.col("host").alias("host_host"), (_logit(F.col("host_rate")) - _logit(F.lit(m))).alias("host_prior"))
-    rows = (docs.join(own, (F.col("site_host") == docs[host].cast("string"))
-                      & (F.col("site_path") == docs[path].cast("string")), "left")
-            .join(above, F.col("host_host") == docs[host].cast("string"), "left"))
-    prior = F.coalesce("site_prior", "host_prior", F.lit(0.0))
-    whole = rows.select(*[docs[f"`{c}`"] for c in docs.columns], prior.alias("site_prior_of_row"))
+    logit_m = _logit(F.lit(m))
+    own = paths.join(hosts, "host", "left").select(
+        F.col("host").alias("own_host"), "path", (_logit(F.coalesce("path_rate", "host_rate")) - logit_m).alias("own"))
+    above = hosts.select("host", (_logit(F.col("host_rate")) - logit_m).alias("above"))
+    rows = packed(docs, host=F.col(host).cast("string"), path=F.col(path).cast("string"))
+    rows = (rows.join(own.select(F.col("own_host").alias("host"), "path", "own"), ["host", "path"], "left")
+            .join(above, "host", "left"))
+    plain = [F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    whole = rows.select(*plain, F.coalesce("own", "above", F.lit(0.0)).alias("prior"))
 
     def verdict():
         return lambda texts, site: text_measures(texts) @ w + np.asarray(site, float) >= 0
 
-    return keep_rows(whole, text, verdict, F.col("site_prior_of_row")).drop("site_prior_of_row")
+    at = f"c{docs.columns.index(text)}"
+    return keep_rows(whole, at, verdict, F.col("prior")).drop("prior").toDF(*docs.columns)
