@@ -112,4 +112,4 @@ def test_calibration_agrees_with_trials(cosine):
         (cell, at), (other, there) = plan.places(a, table_), plan.places(b, table_)
         hits += (cell == other) & (np.abs(at - there) <= plan.window)
     assert (hits >= plan.count).mean() >= 0.97
-    assert pd_.calibrated(cosine, 10 ** 8).deep > plan.deep
+    assert pd_.calibrated(cosine, 10 ** 8).deep >= plan.deep and pd_.calibrated(0.93, 10 ** 8).deep > 10
