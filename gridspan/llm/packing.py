@@ -12,7 +12,10 @@ costs at most about one sequence over a packing of all pieces together.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +29,8 @@ from .common import kept, stage, text_slices
 from .token_pieces import WordCache, encode_all, load
 
 EOS = 1
-STEMS = 150_000
+#: Parts of texts that go to the library at once.
+PARTS = 20_000
 
 
 @dataclass(frozen=True)
@@ -36,40 +40,81 @@ class Capacity:
     tokens: int = 4096
     documents: int = 4096
     attention: float = 4096.0**2
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 0.25, 0.25)
     rule: str = "norm"
 
 
+# How the vocabulary's file normalises and splits a text.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: ASCII and the Latin letters that NFC leaves alone and whose case is one to one.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+#: ``SPLIT`` over lower-case plain characters.
+PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+
+
 class Encoder:
-    """Ids of whole texts for vocabularies that drop white space and merge inside words."""
+    """Ids of whole texts for vocabularies that drop white space and merge inside words.
+
+    Texts of plain characters are split here by the vocabulary's own pattern, other texts word by word.
+    The library merges each distinct part once and a table keeps its ids.  Texts with an added token, and all
+    texts of a vocabulary with another pattern, go to the library whole.
+    """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.tokenizer = load(path)
-        self.stems = WordCache(lambda ws: [np.array(i, "<u4").tobytes()
-                                           for i in encode_all(self.tokenizer, ws)], STEMS)
-        self.words = WordCache(self._by_stem)
-
-    def _by_stem(self, words: list[str]) -> list[bytes]:
-        """Plain letters and the stops behind them are merged apart, and case is dropped."""
-        parts = []
-        for w in words:
-            stem = w.rstrip(".,")
-            parts.append((stem.lower(), w[len(stem):]) if stem.isascii() and stem.isalpha() else (w, ""))
-        known = self.stems.learn({p for pair in parts for p in pair})
-        return [known[a] + known[b] for a, b in parts]
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        steps = [None if s is None else json.loads(s.__getstate__())
+                 for s in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        self.known_pattern = steps == [NORMALIZER, SPLITTER]
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.parts = WordCache(self._merged)
+
+    def _merged(self, parts: list[str]) -> list[bytes]:
+        """Ids of plain parts from the merges alone, of other words from the whole library."""
+        out: list[bytes] = [b""] * len(parts)
+        plain = [PLAIN.fullmatch(p) is not None for p in parts]
+        for tokenizer, of_kind in ((self.merges, True), (self.tokenizer, False)):
+            at = [i for i, p in enumerate(plain) if p is of_kind]
+            for lo in range(0, len(at), PARTS):
+                some = at[lo:lo + PARTS]
+                found = tokenizer.encode_batch_fast([parts[i] for i in some], add_special_tokens=False)
+                for i, e in zip(some, found):
+                    out[i] = array("I", e.ids).tobytes()
+        return out
+
+    def _split(self, text: str) -> list[str] | None:
+        """The parts of a text, None where it has to go to the library whole."""
+        lower = text.lower()
+        # The last four split words in Python but not in the vocabulary's pattern.
+        if not self.known_pattern or any(t in lower for t in (*self.added, "\x1c", "\x1d", "\x1e", "\x1f")):
+            return None
+        if PLAIN.fullmatch(text):
+            return PLAIN_SPLIT.findall(lower)
+        parts: list[str] = []
+        for word in text.split():
+            if PLAIN.fullmatch(word):
+                parts += PLAIN_SPLIT.findall(word.lower())
+            else:
+                parts.append(word)
+        return parts
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split, odd = [], []
-        for k, text in enumerate(texts):
-            parts = text.split()
-            # These four split words in Python but not in the vocabulary's pattern.
-            if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                odd.append(k)
-                parts = []
-            split.append(parts)
-        known = self.words.learn({w for parts in split for w in parts})
-        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        split = [self._split(t) for t in texts]
+        distinct: set[str] = set()
+        for parts in split:
+            distinct.update(parts or ())
+        known = self.parts.learn(distinct)
+        out = [b"".join(map(known.__getitem__, parts or ())) for parts in split]
+        odd = [k for k, parts in enumerate(split) if parts is None]
         for k, ids in zip(odd, encode_all(self.tokenizer, [texts[k] for k in odd])):
             out[k] = np.array(ids, "<u4").tobytes()
         return out
