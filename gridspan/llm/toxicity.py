@@ -88,7 +88,8 @@ def _information(met: np.ndarray, told: np.ndarray, n: int, positive: float) ->
 def train(rows: list[np.ndarray], label: np.ndarray, fit: Fit) -> Machine:
     """Logistic loss by adaptive gradient steps over small batches, in a fixed order.
 
-    The places that count are chosen first, see :class:`Fit`.
+    The places that count are chosen first, see :class:`Fit`.  The bias starts at the label rate and is
+    learned too, so a text without any of the places is not as likely toxic as the average one.
     """
     n = len(rows)
     rate = float(np.clip(label.mean() if n else 0.0, 1e-3, 1 - 1e-3))
@@ -104,20 +105,22 @@ def train(rows: list[np.ndarray], label: np.ndarray, fit: Fit) -> Machine:
     draw = np.random.default_rng(7)
     bias, weight = np.log(rate / (1 - rate)), np.zeros(len(places))
     vectors = draw.normal(0, 0.01, (len(places), fit.factors))
+    seen_b = 1e-6
     seen_w, seen_v = np.full(len(places), 1e-6), np.full((len(places), fit.factors), 1e-6)
     for _ in range(fit.epochs):
         order = draw.permutation(n)
         for lo in range(0, n, 64):
             batch = order[lo:lo + 64]
             sizes = np.array([len(rows[i]) for i in batch])
-            if not sizes.sum():
-                continue
             at, doc = np.concatenate([rows[i] for i in batch]), np.repeat(np.arange(len(batch)), sizes)
             v = vectors[at]
             sums = np.stack([np.bincount(doc, v[:, f], len(batch)) for f in range(fit.factors)], 1)
             squares = np.bincount(doc, (v * v).sum(1), len(batch))
             margin = bias + np.bincount(doc, weight[at], len(batch)) + 0.5 * ((sums**2).sum(1) - squares)
             wrong = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - label[batch]
+            g = wrong.mean()
+            seen_b += g * g
+            bias -= 0.3 * fit.rate * g / np.sqrt(seen_b)
             used, where = np.unique(at, return_inverse=True)
             g = np.bincount(where, wrong[doc], len(used)) / len(batch) + fit.decay * weight[used]
             seen_w[used] += g * g
