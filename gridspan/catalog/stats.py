@@ -138,6 +138,18 @@ def e11(spark, d):
     return S.wide(g, categories(X.table(spark, d, "events"), "event_type")["event_type"], ["y"])
 
 
+@query("e11_wide_arrays", with_(X.S_USER, body="""SELECT ts, count(*) AS n_cells, min(code) AS first_code,
+  max(code) AS last_code, sum(code * coalesce(y, 0)) AS weighted FROM hourly JOIN (SELECT entity, row_number()
+  OVER (ORDER BY entity) - 1 AS code FROM (SELECT DISTINCT entity FROM hourly)) USING (entity) GROUP BY ts"""),
+       "weighted")
+def e11_arrays(spark, d):
+    rows, _ = S.wide_arrays(X.user_hourly(spark, d), ["y"], by="ts")
+    return rows.select("ts", F.size("codes").cast("long").alias("n_cells"), F.get("codes", F.lit(0)).alias("first_code"),
+                       F.element_at("codes", -1).alias("last_code"),
+                       F.aggregate(F.zip_with("codes", "y", lambda c, y: c * y), F.lit(0.0),
+                                   lambda a, v: a + v).alias("weighted"))
+
+
 @query("e12_entity_summary", with_(X.S_SUPPLIER, body="""SELECT entity, count(y) AS rows, avg(y) AS mean_y,
   stddev_samp(y) AS std_y FROM sdaily GROUP BY 1"""), "mean_y std_y")
 def e12(spark, d):

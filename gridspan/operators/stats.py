@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.coding import dense_codes
 from ..plans.quantiles import exact_quantiles
 from ..spec import PANEL, PanelSpec
 
@@ -149,15 +150,37 @@ def wide(df: DataFrame, entities: Sequence, columns: Sequence[str],
     """One row per step, one column per listed entity and feature; absent cells are 0.
 
     Fill along time on the long form first.  Only the listed entities become columns, at
-    most 2,000 cells a row; stay with the long form beyond.
+    most 2,000 cells a row; :func:`wide_arrays` has no such limit.
     """
     if len(entities) * len(columns) > 2000:
-        raise ValueError(f"{len(entities) * len(columns)} cells a row; keep the long form")
+        raise ValueError(f"{len(entities) * len(columns)} cells a row; use wide_arrays")
     aggs = [F.coalesce(F.max(F.when(F.col(spec.entity) == F.lit(e), F.col(c))), F.lit(0.0))
             .alias(f"{e}_{c}") for e in entities for c in columns]
     return (df.filter(F.col(spec.entity).isin(*entities)).groupBy(by or spec.idx).agg(*aggs))
 
 
+def wide_arrays(df: DataFrame, columns: Sequence[str], spec: PanelSpec = PANEL,
+                by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The wide layout for any number of entities: rows per step, and a dictionary (entity, code).
+
+    A row has ``codes``, ascending, and one array per feature with the values of these codes.  Entities
+    absent at a step have no place in its arrays; a NULL value is 0, the largest of repeated cells
+    stays, NULL entities have no code.  The plan has the same size for any number of entities and nothing
+    is collected; a row grows with the entities present at its step.
+    """
+    step = by or spec.idx
+    names = dense_codes(df, spec.entity)
+    values = [F.col(c).alias(f"_v{i}") for i, c in enumerate(columns)]
+    cells = (df.select(spec.entity, F.col(step).alias("_step"), *values)
+             .join(names.withColumnRenamed("code", "_code"), spec.entity)
+             .groupBy("_step", "_code").agg(*[F.coalesce(F.max(f"_v{i}"), F.lit(0.0)).alias(f"_v{i}")
+                                              for i in range(len(columns))]))
+    rows = cells.groupBy("_step").agg(F.sort_array(F.collect_list(
+        F.struct("_code", *[f"_v{i}" for i in range(len(columns))]))).alias("_cells"))
+    return rows.select(F.col("_step").alias(step), F.col("_cells._code").alias("codes"),
+                       *[F.col(f"_cells._v{i}").alias(c) for i, c in enumerate(columns)]), names
+
+
 def entity_summary(df: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """Rows with a target, its mean and sample standard deviation."""
     return df.groupBy(spec.entity).agg(F.count(spec.y).alias("rows"), F.avg(spec.y).alias("mean_y"),
