@@ -171,10 +171,11 @@ def d11(spark, d):
 
 
 @query("d12_recompose", with_(_DENSE, _DEC, _LINE, """facts AS (SELECT entity, max(time_idx) AS b, max(ts) AS t,
-  max(y) AS top, max(time_idx) - min(time_idx) + 1 AS n FROM grid GROUP BY 1), fut AS (SELECT f.*, level, slope,
-  unnest(generate_series(1, 72)) AS step FROM facts f JOIN slopes USING (entity))""", body="""SELECT f.entity,
+  max(y) AS top, avg(coalesce(y, 0)) AS mean, max(time_idx) - min(time_idx) + 1 AS n FROM grid GROUP BY 1), fut AS
+  (SELECT f.*, coalesce(level, mean, 0) AS level, coalesce(slope, 0) AS slope, unnest(generate_series(1, 72)) AS step
+  FROM facts f LEFT JOIN slopes USING (entity))""", body="""SELECT f.entity,
   b + step AS time_idx, t + step * INTERVAL 1 HOUR AS ts, CAST(step AS INTEGER) AS step, greatest(0.0, least(level
-  + slope * step + seasonal, CASE WHEN top > 0 THEN 5 * top ELSE 1e300 END)) AS pred FROM fut f JOIN pat p
+  + slope * step + coalesce(seasonal, 0), CASE WHEN top > 0 THEN 5 * top ELSE 1e300 END)) AS pred FROM fut f LEFT JOIN pat p
   ON p.entity = f.entity AND p.phase = (n + step - 1) % 24"""), "pred")
 def d12(spark, d):
     return L.recompose(L.decompose(dense(spark, d), size=SLAB), 72)

@@ -226,9 +226,10 @@ def _split(spark, d):
 
 @query("h3_decompose_forecast")
 def h3(spark, d):
-    train, val, _ = _split(spark, d)
+    """Validation from training, test from both, a row and a status for every entity and step."""
+    train, later, _ = _split(spark, d)
     chosen = train.select("entity").distinct().withColumn("order_id", F.lit(2))
-    return A.forecast_with_orders(train, val.drop("y"), chosen, A.reach(train, val), EXOG, size=SLAB)
+    return A.forecast_splits(train, later.filter("time_idx < 660"), later.filter("time_idx >= 660"), chosen, EXOG, size=SLAB)
 
 
 @query("h4_load_shape_clusters")
@@ -261,7 +262,7 @@ def h7(spark, d):
     train, val, _ = _split(spark, d)
     chosen = train.select("entity").distinct().withColumn("order_id", F.lit(0))
     f = A.forecast_with_orders(train, val.drop("y"), chosen, A.reach(train, val), EXOG, size=SLAB)
-    return V.score(f.drop("ts").join(val, ["entity", "time_idx"]), ["entity"])
+    return V.score(f.drop("ts").join(val, ["entity", "time_idx"]), ["entity", "status"])
 
 
 # --- trees --------------------------------------------------------------------------------

@@ -274,19 +274,22 @@ def recompose(decomposed: DataFrame, horizon: int, spec: PanelSpec = PANEL, peri
     """Forecast = extrapolated trend + tiled season (+ residual forecast), clipped.
 
     ``residual`` has (entity, step, resid_pred) with step 1 the first hour after the series;
-    further columns (such as a candidate's id) pass through.
+    further columns (such as a candidate's id) pass through.  A series too short for a trend
+    stays at its mean (0 without a known value), and a phase without a seasonal value adds nothing.
     """
     facts = decomposed.groupBy(spec.entity).agg(
         F.max(spec.idx).alias("_b"), F.max(spec.ts).alias("_ts"), F.max(spec.y).alias("_top"),
-        (F.max(spec.idx) - F.min(spec.idx) + 1).alias("_n"))
+        F.avg(spec.y).alias("_mean"), (F.max(spec.idx) - F.min(spec.idx) + 1).alias("_n"))
     pattern = decomposed.groupBy(spec.entity, "phase").agg(F.first("seasonal", True).alias("seasonal"))
-    future = (facts.join(trend_line(decomposed, horizon, spec), spec.entity)
-              .select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
-              .withColumn("phase", ((F.col("_n") + F.col("step") - 1) % period).cast("int"))
-              .join(pattern, [spec.entity, "phase"], "left"))
+    ahead = (rejoin(facts, trend_line(decomposed, horizon, spec), [spec.entity])
+             .withColumn("level", F.coalesce("level", "_mean", F.lit(0.0)))
+             .withColumn("slope", F.coalesce("slope", F.lit(0.0)))
+             .select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+             .withColumn("phase", ((F.col("_n") + F.col("step") - 1) % period).cast("int")))
+    future = rejoin(ahead, pattern, [spec.entity, "phase"]).withColumn("seasonal", F.coalesce("seasonal", F.lit(0.0)))
     resid, extra = F.lit(0.0), []
     if residual is not None:
-        future = future.join(residual, [spec.entity, "step"], "left")
+        future = rejoin(future, residual, [spec.entity, "step"])
         extra = [c for c in residual.columns if c not in (spec.entity, "step", "resid_pred")]
         resid = F.coalesce("resid_pred", F.lit(0.0))
     raw = resid + F.col("level") + F.col("slope") * F.col("step") + F.col("seasonal")

@@ -54,11 +54,14 @@ def test_fits_match_least_squares(spark):
     assert len(got) == 12
     for e, g in dec.toPandas().sort_values("time_idx").groupby("entity"):
         r, x = g.resid.to_numpy(), g.x2.to_numpy()
+        step = lambda v: np.r_[np.nan, np.diff(v)]
+        four = np.column_stack([r] + [np.r_[np.full(k, np.nan), r[:-k]] for k in range(1, 5)] + [step(x)])
+        common = ~np.isnan(four).any(axis=1)
+        assert {got[e, i].n for i in range(len(orders))} == {common.sum()}
         for i, (p, d) in enumerate(orders):
-            z = np.r_[np.nan, np.diff(r)] if d else r
-            cols = [np.ones(len(z))] + [np.r_[np.full(k, np.nan), z[:-k]] for k in range(1, 4)] + [x]
-            full = np.column_stack([*cols, z])
-            full = full[~np.isnan(full).any(axis=1)]
+            z, u = (step(r), step(x)) if d else (r, x)
+            cols = [np.ones(len(z))] + [np.r_[np.full(k, np.nan), z[:-k]] for k in range(1, 4)] + [u]
+            full = np.column_stack([*cols, z])[common]
             use = [0, *range(1, 1 + p), 4]
             beta, *_ = np.linalg.lstsq(full[:, use], full[:, -1], rcond=None)
             np.testing.assert_allclose(got[e, i].coef, beta, atol=1e-6)
