@@ -1,50 +1,44 @@
-"""Resumable enrichment: every entity is enriched once, whatever is interrupted or replayed."""
+"""Resumable enrichment: every key is enriched once, whatever is interrupted or replayed."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame
 
-
-def _done(spark: SparkSession, path: str, keys: StructType, before: int) -> DataFrame:
-    """Keys written by earlier batches (only the key columns are read)."""
-    schema = StructType(list(keys.fields)).add("batch", "long")
-    if not _exists(spark, path):
-        return spark.createDataFrame([], keys)
-    found = spark.read.schema(schema).parquet(path).filter(F.col("batch") < before)
-    return found.select(*keys.names).distinct()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+from .state import first_of_keys, state_on_disk
 
 
 def enrich_available(stream: DataFrame, keys: Sequence[str], enrich: Callable[[DataFrame], DataFrame],
-                     output: str, checkpoint: str, stop: Callable[[], bool] = lambda: False) -> None:
-    """Enrich the rows whose key no earlier batch has, batch by batch.
-
-    ``enrich`` sees only the rows left and keeps the key columns; use keys as fine as the rows
-    (entity and time for a panel) where later rows of an entity must not be skipped.  Each batch owns the directory ``batch=<id>`` and overwrites it, so a replayed batch leaves
-    one copy.  ``stop`` ends the run between batches; the next run goes on from there.
+                     output: str, checkpoint: str, stop: Callable[[], bool] = lambda: False) -> bool:
+    """Enrich one row of every key, batch by batch; True when all that was available is done.
+
+    ``enrich`` sees a row of each key that is new; use keys as fine as the rows (entity and time for a
+    panel) where later rows of an entity must not be skipped.  The keys seen are the stream's own state:
+    a batch looks up its keys, earlier output is not read again.  Each batch owns the directory
+    ``batch=<id>`` and overwrites it, so a replayed batch leaves one copy; ``output`` and ``checkpoint``
+    belong together.  Where ``stop`` turns true the run ends before the next batch and returns False;
+    the next run goes on with that batch.
     """
-    keys = list(keys)
+    halted = []
 
     def one(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         if stop():
-            raise StopRequested(f"stopped before batch {number}")
-        earlier = _done(spark, output, batch.select(*keys).schema, number)
-        left = batch.join(earlier, keys, "left_anti")
-        enrich(left).write.mode("overwrite").parquet(f"{output}/batch={number}")
-
-    query = (stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-
-
-class StopRequested(RuntimeError):
-    """The run was asked to stop; finished batches are kept."""
+            halted.append(number)
+            raise _Halt(f"stopped before batch {number}")
+        enrich(batch).write.mode("overwrite").parquet(f"{output}/batch={number}")
+
+    with state_on_disk(stream.sparkSession):
+        query = (first_of_keys(stream, keys).writeStream.foreachBatch(one)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if not halted:
+                raise
+    return not halted
+
+
+class _Halt(RuntimeError):
+    """Leaves a batch uncommitted, so that the next run starts with it."""

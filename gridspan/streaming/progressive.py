@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.search import gram_rows, solve, unpack
 from ..plans.sizing import small_result
 from ..spec import PANEL, PanelSpec
-from .enrich import _exists
+from .state import first_of_keys, state_on_disk
 
 
 def _dot(columns: Sequence[str], coef: str) -> Column:
@@ -53,26 +53,33 @@ def predict_then_learn(df: DataFrame, features: Sequence[str], spec: PanelSpec =
 
 
 def progressive_stream(stream: DataFrame, features: Sequence[str], state: str, output: str,
-                       checkpoint: str, spec: PanelSpec = PANEL, ridge: float = 1e-4) -> None:
+                       checkpoint: str, spec: PanelSpec = PANEL, ridge: float = 1e-4,
+                       keys: Sequence[str] | None = None) -> None:
     """The same on a stream, one micro-batch per step: predict it, write the predictions, then
-    add its sums to the state.  Replayed batches overwrite their own files."""
+    add its sums to the state.
+
+    A row delivered again is neither predicted nor learned again; rows are told apart by ``keys``
+    (entity and time by default).  Batch n reads the total that batch n - 1 wrote, one row, and writes its
+    own.  Replayed batches overwrite their own files; ``state``, ``output`` and ``checkpoint`` belong together.
+    """
+    size = (len(features) + 2) * (len(features) + 3) // 2
+
     def one(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        size = (len(features) + 2) * (len(features) + 3) // 2
-        coef = None
-        if _exists(spark, state):
-            seen = spark.read.schema("gram array<double>, batch long").parquet(state).filter(
-                F.col("batch") < number)
-            total = seen.agg(F.array(*[F.sum(F.col("gram")[i]) for i in range(size)]).alias("gram"))
-            coef = _coefficients(total.filter(F.col("gram")[0].isNotNull()).withColumn("k", F.lit(0)),
-                                 "k", len(features), ridge)
         keyed = batch.withColumn("k", F.lit(0))
-        scored = keyed.join(coef, "k", "left") if coef is not None else keyed.withColumn(
-            "coef", F.lit(None).cast("array<double>"))
+        total = gram_rows(keyed, ["k"], features, spec.y).select("k", "gram")
+        coef = spark.createDataFrame([], "k int, coef array<double>")
+        if number > 0:
+            before = spark.read.schema("k int, gram array<double>").parquet(f"{state}/batch={number - 1}")
+            coef = _coefficients(before, "k", len(features), ridge)
+            total = total.unionByName(before)
         pred = F.coalesce(_dot(features, "coef"), F.lit(0.0)).alias("pred")
-        scored.select(*batch.columns, pred).write.mode("overwrite").parquet(f"{output}/batch={number}")
-        grams = gram_rows(keyed, ["k"], features, spec.y).select("gram")
-        grams.write.mode("overwrite").parquet(f"{state}/batch={number}")
+        # One row of coefficients.
+        keyed.join(F.broadcast(coef), "k", "left").select(*batch.columns, pred).write.mode("overwrite").parquet(
+            f"{output}/batch={number}")
+        total.groupBy("k").agg(F.array(*[F.sum(F.col("gram")[i]) for i in range(size)]).alias("gram")).write.mode(
+            "overwrite").parquet(f"{state}/batch={number}")
 
-    (stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    with state_on_disk(stream.sparkSession):
+        (first_of_keys(stream, keys or (spec.entity, spec.ts)).writeStream.foreachBatch(one)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
