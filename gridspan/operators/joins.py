@@ -11,9 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import EARTH_KM, great_circle
-from ..plans.lineage import cut
-from ..plans.slabs import running_sums
+from ..functions.geo import great_circle
+from ..plans.slabs import rejoin, running_sums
 from ..spec import PANEL, PanelSpec
 
 
@@ -171,62 +170,62 @@ def _cells(level: int, lat: str, lon: str) -> tuple[Column, Column]:
             F.floor((F.col(lon) + 180) / size).cast("long") % 2 ** level)
 
 
-def _start_level(places: DataFrame, k: int, top: int = 20) -> int:
-    """Coarsest level whose fullest cell holds few places; one aggregation."""
-    levels = list(range(top, 1, -2))
-    cells = places.select(F.explode(F.array(*[
-        F.struct(F.lit(v).alias("level"), *[c.alias(n) for c, n in zip(
-            _cells(v, "lat", "lon"), ("row", "col"))]) for v in levels])).alias("c"))
-    full = (cells.groupBy("c").count().groupBy("c.level").agg(F.max("count").alias("most"))
-            .filter(F.col("most") <= 4 * (k + 1)).agg(F.min("level")).first()[0])
-    return full if full is not None else top
+def _on_levels(rows: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Each row once a level, with its cell there: level, row, col."""
+    cells = [F.struct(F.lit(v).alias("level"), *[c.alias(n) for c, n in zip(_cells(v, "lat", "lon"), ("row", "col"))])
+             for v in levels]
+    return rows.select("*", F.inline(F.array(*cells)))
 
 
-def nearest(dim: DataFrame, key: str, lat: str, lon: str, k: int = 8) -> DataFrame:
+def search_levels(offered: DataFrame, k: int, top: int) -> DataFrame:
+    """lat, lon, level: the finest level whose 3 x 3 cells are sure to hold the k + 1 nearest members.
+
+    Members are counted once a level.  The finest cell of a place with k + 1 members bounds how far the
+    farthest of those is; the level is the finest one whose cells reach that far on every side.  Level 1,
+    which is the whole sphere, is for places without such a cell or too near a pole.
+    """
+    levels = range(top, 0, -1)
+    full = (_on_levels(offered.select("lat", "lon"), levels).groupBy("level", "row", "col").agg(F.count("*").alias("n"))
+            .filter(F.col("n") > k).drop("n"))
+    own = _on_levels(offered.select("lat", "lon").distinct(), levels).join(full, ["level", "row", "col"], "left_semi")
+    finest = own.groupBy("lat", "lon").agg(F.max("level").alias("_v"))
+    size = F.lit(360.0) / F.pow(F.lit(2.0), F.col("_v"))
+    up, right = F.pmod(F.col("lat") + 90, size), F.pmod(F.col("lon") + 180, size)
+    # Along the parallel and then along the meridian, to the farther sides of the cell.
+    far = F.radians(F.greatest(up, size - up) + F.greatest(right, size - right) * F.cos(F.radians("lat")))
+    fits = [F.when((F.col("_v") >= v) & (F.asin(F.lit(_sine(360.0 / 2 ** v)) * F.cos(F.radians("lat"))) * 0.999999 >= far),
+                   F.lit(v)) for v in levels]
+    return finest.select("lat", "lon", F.coalesce(*fits, F.lit(1)).alias("level"))
+
+
+def nearest(dim: DataFrame, key: str, lat: str, lon: str, k: int = 8, top: int = 24) -> DataFrame:
     """Exact k nearest other members by great-circle distance (ties by key).
 
-    Grid search from fine to coarse cells: a place is settled once k + 1 members lie within
-    the distance its 3 x 3 cells are known to cover, so dense areas are settled in small
-    cells and only sparse ones look at large cells.  Members at equal coordinates are
-    searched once, each place offering its first k + 1 members.
+    Every place is searched in cells of its own level (:func:`search_levels`), all levels in one join: small
+    cells where members are dense, large ones only for the few places that are alone.  Members at equal
+    coordinates are searched once, each place offering its first k + 1 members.  A member without
+    coordinates has no neighbours and is none.
     """
-    members = dim.select(F.col(key).alias("id"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+    members = dim.select(F.col(key).alias("id"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
     first = Window.partitionBy("lat", "lon").orderBy("id")
-    offered = cut(members.withColumn("_r", F.row_number().over(first))
-                  .filter(F.col("_r") <= k + 1).drop("_r"))
-    places = cut(offered.select("lat", "lon").distinct())
-    level, pending, found = _start_level(places, k), places, []
-    while True:
-        size, last = 360.0 / 2 ** level, level <= 1
-        row, col = _cells(level, "lat", "lon")
-        target = offered.select("id", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
-                                row.alias("_row"), col.alias("_col"))
-        around = F.array_distinct(F.flatten(F.transform(
-            F.array(*[F.lit(d) for d in (-1, 0, 1)]),
-            lambda dr: F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda dc: F.struct(
-                (row + dr).alias("_row"), F.pmod(col + dc, F.lit(2 ** level)).alias("_col"))))))
-        near = (pending.select("lat", "lon", F.explode(around).alias("_c"))
-                .select("lat", "lon", "_c._row", "_c._col").join(target, ["_row", "_col"])
-                .withColumn("distance", F.round(great_circle("lat", "lon", "lat2", "lon2"),
-                                                _DISTANCE_DIGITS)))
-        best = Window.partitionBy("lat", "lon").orderBy("distance", "id")
-        top = near.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k + 1)
-        if last:
-            found.append(top.select("lat", "lon", "id", "distance"))
-            break
-        radius = F.lit(EARTH_KM * 0.999999) * F.asin(
-            F.lit(_sine(size)) * F.cos(F.radians("lat")))
-        inside = F.count_if(F.col("distance") <= radius).over(Window.partitionBy("lat", "lon"))
-        settled = cut(top.withColumn("_inside", inside).filter(F.col("_inside") == k + 1)
-                      .select("lat", "lon", "id", "distance"))
-        found.append(settled)
-        pending = cut(pending.join(settled, ["lat", "lon"], "left_anti"))
-        if pending.isEmpty():
-            break
-        level = max(level - 2, 1)
-    candidates = found[0]
-    for more in found[1:]:
-        candidates = candidates.unionByName(more)
+    offered = (members.filter("lat is not null and lon is not null").withColumn("_r", F.row_number().over(first))
+               .filter(F.col("_r") <= k + 1).drop("_r"))
+    known = search_levels(offered, k, top)
+    places = rejoin(offered.select("lat", "lon").distinct(), known, ["lat", "lon"]).withColumn(
+        "level", F.coalesce("level", F.lit(1)))
+    wide = F.pow(F.lit(2.0), F.col("level"))
+    row = F.floor((F.col("lat") + 90) / (F.lit(360.0) / wide)).cast("long")
+    col = F.floor((F.col("lon") + 180) / (F.lit(360.0) / wide)).cast("long") % wide.cast("long")
+    around = F.array_distinct(F.array(*[
+        F.struct((row + a).alias("row"), F.pmod(col + b, wide.cast("long")).alias("col")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
+    asked = places.select("lat", "lon", "level", F.inline(around))
+    target = _on_levels(offered.select("id", F.col("lat"), F.col("lon")), range(top, 0, -1)).select(
+        "id", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "level", "row", "col")
+    near = asked.join(target, ["level", "row", "col"]).withColumn(
+        "distance", F.round(great_circle("lat", "lon", "lat2", "lon2"), _DISTANCE_DIGITS))
+    best = Window.partitionBy("lat", "lon").orderBy("distance", "id")
+    candidates = near.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k + 1).select(
+        "lat", "lon", "id", "distance")
     pairs = (members.select(F.col("id").alias("src"), "lat", "lon")
              .join(candidates, ["lat", "lon"]).filter(F.col("src") != F.col("id")))
     own = Window.partitionBy("src").orderBy("distance", "id")
@@ -260,5 +259,5 @@ def neighbour_mean(panel: DataFrame, edges: DataFrame, columns: Sequence[str],
 __all__ = [
     "alarm_hours", "attach_actuals", "effective_sum", "effective_value",
     "fill_weather", "lacking", "location_key", "nearest", "neighbour_graph", "neighbour_mean",
-    "requirement_spans", "semi", "translate_key", "with_dimension", "with_prices",
+    "requirement_spans", "search_levels", "semi", "translate_key", "with_dimension", "with_prices",
 ]
