@@ -111,7 +111,11 @@ def a3(spark, d):
     return df.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
 
 
-@query("a4_gold_layouts")
+@query("a4_gold_layouts", with_(X.S_INDEXED, """gold AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'train'
+  WHEN ts < TIMESTAMP '2024-01-26' THEN 'val' ELSE 'test' END AS data_subset FROM indexed)""", body="""SELECT data_subset,
+  count(*) AS text_rows, sum(y) AS text_load, count(*) AS hot_rows, CAST(count(*) FILTER (month(ts) IN (12, 1, 2)) AS BIGINT)
+  AS winter_rows, CAST(count(*) FILTER (hour(ts) = 5) AS BIGINT) AS five_rows, sum(CASE WHEN isodow(ts) = 1 THEN y END)
+  AS monday_load FROM gold GROUP BY 1"""), "text_load monday_load", 2)
 def a4(spark, d):
     df = G.label_splits(X.indexed(spark, d), "2024-01-20", "2024-01-26")
     df = K.project(df, {"entity": "eic_code", "ts": "datetime", "y": "y", "time_idx": "time_idx",
@@ -119,9 +123,10 @@ def a4(spark, d):
     df = df.select("*", *[e.alias(n) for n, e in C.calendar_fields("datetime", as_text=True).items()])
     paths = W.write_gold(df, new_path(spark, "gold"))
     text, hot = spark.read.parquet(paths["text"]), spark.read.parquet(paths["one_hot"])
-    return (text.groupBy("data_subset").agg(F.count("*").alias("text_rows"))
-            .join(hot.groupBy("data_subset").agg(F.count("*").alias("hot_rows"),
-                                                 F.sum("season_1").alias("winter_rows")), "data_subset"))
+    return (text.groupBy("data_subset").agg(F.count("*").alias("text_rows"), F.sum("y").alias("text_load"))
+            .join(hot.groupBy("data_subset").agg(
+                F.count("*").alias("hot_rows"), F.sum("season_1").alias("winter_rows"), F.sum("Hour_5").alias("five_rows"),
+                F.sum(F.when(F.col("day_of_week_0") == 1, F.col("y"))).alias("monday_load")), "data_subset"))
 
 
 @query("a5_silver_stage", with_(X.S_INDEXED, body="SELECT entity, ts, y, time_idx FROM indexed "

@@ -330,14 +330,26 @@ def f10_codes(spark, d):
     return N.apply_vocabulary(c, _vocabulary(spark, d), "c_name", "code")
 
 
-@query("f11_sparse_one_hot")
+_FIT = """fit AS (SELECT event_type, CAST(user_id AS VARCHAR) AS u FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+  types AS (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS place FROM (SELECT DISTINCT event_type
+  FROM fit)), users AS (SELECT u, row_number() OVER (ORDER BY u) - 1 AS place FROM (SELECT DISTINCT u FROM fit)),
+  widths AS (SELECT (SELECT count(*) FROM types) AS nt, (SELECT count(*) FROM users) AS nu)"""
+
+
+@query("f11_sparse_one_hot", with_(_FIT, body="""SELECT event_id, CAST(nt + nu + 3 AS INTEGER) AS width,
+  CAST(coalesce(t.place, nt) AS INTEGER) AS type_place, CAST(nt + 1 + coalesce(n.place, nu) AS INTEGER) AS user_place,
+  value AS last FROM events e CROSS JOIN widths LEFT JOIN types t ON t.event_type = e.event_type
+  LEFT JOIN users n ON n.u = CAST(e.user_id AS VARCHAR)"""), "last")
 def f11(spark, d):
+    """Fitted on the first half of the month; categories first seen later share a place of their own."""
     from pyspark.ml.functions import vector_to_array
-    e = X.table(spark, d, "events").select("event_id", "event_type", "user_id", "value")
+    e = X.table(spark, d, "events").select("event_id", "event_type", "user_id", "value", "ts")
     e = e.withColumn("user_id", F.col("user_id").cast("string"))
-    m = N.sparse_one_hot(e.filter("event_id % 2 = 0"), ["event_type", "user_id"], ["value"])
+    m = N.sparse_one_hot(e.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), ["event_type", "user_id"], ["value"])
     v = m.transform(e).select("event_id", vector_to_array("features").alias("a"))
-    return v.select("event_id", F.size("a").alias("width"), F.size(F.filter("a", lambda x: x != 0)).alias("active"))
+    hot = F.array_compact(F.transform(F.slice("a", F.lit(1), F.size("a") - 1), lambda x, i: F.when(x == 1, i)))
+    return v.select("event_id", F.size("a").alias("width"), hot[0].cast("int").alias("type_place"),
+                    hot[1].cast("int").alias("user_place"), F.element_at("a", -1).alias("last"))
 
 
 @query("f12_global_standard", with_(X.s_forecasts(), """st AS (SELECT
