@@ -173,13 +173,14 @@ def residual_paths(decomposed: DataFrame, fitted: DataFrame, future: DataFrame,
             .agg(F.sort_array(F.collect_list(F.struct(spec.idx, "resid")))["resid"].alias("state")))
     drivers = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in exog])
     last = decomposed.groupBy(spec.entity).agg(F.max(spec.idx).alias("_b"), F.max_by(drivers, spec.idx).alias("x0"))
-    ahead = (future.join(last.select(spec.entity, "_b"), spec.entity).withColumn("step", F.col(spec.idx) - F.col("_b"))
+    ahead = (rejoin(future, last.select(spec.entity, "_b"), [spec.entity], "inner").withColumn("step", F.col(spec.idx) - F.col("_b"))
              .filter((F.col("step") >= 1) & (F.col("step") <= horizon)))
     paths = (ahead.groupBy(spec.entity).agg(F.sort_array(F.collect_list(
         F.struct("step", drivers.alias("x")))).alias("_w"))
         .select(spec.entity, F.flatten(F.col("_w.x")).alias("xs"), F.col("_w.step").alias("steps")))
-    joined = (fitted.filter("status = 'fitted'").select(spec.entity, "order_id", "p", "d", "coef").join(tail, spec.entity)
-              .join(last.select(spec.entity, "x0"), spec.entity).join(paths, spec.entity))
+    joined = fitted.filter("status = 'fitted'").select(spec.entity, "order_id", "p", "d", "coef")
+    for facts in (tail, last.select(spec.entity, "x0"), paths):
+        joined = rejoin(joined, facts, [spec.entity], "inner")
     entity, m = spec.entity, len(exog)
     kind = decomposed.schema[entity].dataType.simpleString()
 
@@ -231,8 +232,8 @@ def recent(df: DataFrame, steps: int, spec: PanelSpec = PANEL) -> DataFrame:
 
 def reach(past: DataFrame, future: DataFrame, spec: PanelSpec = PANEL) -> int:
     """The largest number of steps from the end of an entity's past to the end of its future, 1 at least."""
-    ends = past.groupBy(spec.entity).agg(F.max(spec.idx).alias("_b")).join(
-        future.groupBy(spec.entity).agg(F.max(spec.idx).alias("_e")), spec.entity)
+    ends = rejoin(past.groupBy(spec.entity).agg(F.max(spec.idx).alias("_b")),
+                  future.groupBy(spec.entity).agg(F.max(spec.idx).alias("_e")), [spec.entity], "inner")
     return max(ends.agg(F.max(F.col("_e") - F.col("_b"))).first()[0] or 1, 1)
 
 
@@ -251,9 +252,9 @@ def candidate_search(train: DataFrame, val: DataFrame, orders: Sequence[tuple[in
     fitted = cut(fit_orders(dec, orders, exog, spec, size=size))
     paths = residual_paths(dec, fitted, val, horizon, exog, spec, max(p for p, _ in orders))
     pred = recompose(dec, horizon, spec, residual=paths).filter(F.col("order_id").isNotNull())
-    scored = pred.drop(spec.ts).join(val.select(
-        spec.entity, spec.idx, F.col(spec.y).alias(evaluation.y), evaluation.dam, evaluation.sell,
-        evaluation.buy), [spec.entity, spec.idx]).dropna()
+    real = [F.col(spec.y).alias(evaluation.y), evaluation.dam, evaluation.sell, evaluation.buy]
+    scored = rejoin(pred.drop(spec.ts), val.select(spec.entity, spec.idx, *real), [spec.entity, spec.idx], "inner").dropna(
+        subset=[c for c in pred.columns if c not in (spec.ts, spec.entity)] + [evaluation.y, evaluation.dam, evaluation.sell, evaluation.buy])
     cost = scored.groupBy(spec.entity, "order_id").agg(money_pct(evaluation).alias("val_money_pct"))
     status = F.when((F.col("status") == "fitted") & F.col("val_money_pct").isNull(), "unscored").otherwise(F.col("status"))
     return rejoin(fitted.select(spec.entity, "order_id", "p", "d", "aic", "status"), cost,
@@ -285,7 +286,7 @@ def _with_fallback(members: DataFrame, best: DataFrame, key: str) -> DataFrame:
     modal = most_common(best, [], "order_id", "order_id")
     usual = best.join(modal, "order_id", "left_semi").agg(
         F.first("order_id").alias("o"), F.first("p").alias("p"), F.first("d").alias("d"))
-    joined = members.join(best, key, "left")
+    joined = rejoin(members, best, [key])
     pick = lambda c, u: F.coalesce(c, usual.select(u).scalar()).alias(c)
     return joined.select(*members.columns, pick("order_id", "o"), pick("p", "p"), pick("d", "d"),
                          "aic", "val_money_pct", F.col("aic").isNull().alias("fallback"))

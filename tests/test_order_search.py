@@ -93,3 +93,13 @@ def test_differences_of_a_pure_regressor_effect(spark):
 def test_empty_panel(spark, panel):
     none = panel.filter("false")
     assert A.candidate_search(none, none, [(1, 0)], exog=["x"], size=50).count() == 0
+
+
+def test_a_null_entity_is_an_entity(spark, panel):
+    def unnamed(df):
+        return df.filter("entity = 'long'").withColumn("entity", F.lit(None).cast("string"))
+    train, val, _ = parts(panel)
+    named = A.candidate_search(train.filter("entity = 'long'"), val, [(1, 0), (1, 1)], exog=["x"], size=50).toPandas()
+    got = A.candidate_search(unnamed(train), unnamed(val), [(1, 0), (1, 1)], exog=["x"], size=50).toPandas()
+    assert got.entity.isna().all() and (got.status == "fitted").all()
+    np.testing.assert_allclose(got.sort_values("order_id").val_money_pct, named.sort_values("order_id").val_money_pct)
