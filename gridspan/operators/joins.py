@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import great_circle
-from ..plans.slabs import rejoin, running_sums
+from ..functions.geo import EARTH_KM, great_circle
+from ..plans.slabs import running_sums
 from ..spec import PANEL, PanelSpec
 
 
@@ -177,32 +177,53 @@ def _on_levels(rows: DataFrame, levels: Sequence[int]) -> DataFrame:
     return rows.select("*", F.inline(F.array(*cells)))
 
 
+def _spread(places: DataFrame) -> DataFrame:
+    """Places over all shuffle partitions, not joined by their bytes: each becomes many rows later.
+
+    The order of the columns differs from that of groupings, whose shuffle would otherwise stand in for this one.
+    """
+    return places.repartition(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lon", "lat")
+
+
 def search_levels(offered: DataFrame, k: int, top: int) -> DataFrame:
-    """lat, lon, level: the finest level whose 3 x 3 cells are sure to hold the k + 1 nearest members.
+    """lat, lon, reach, level: the k + 1 nearest members of a place are within ``reach`` km, and in the 3 x 3 cells of ``level``.
 
-    Members are counted once a level.  The finest cell of a place with k + 1 members bounds how far the
-    farthest of those is; the level is the finest one whose cells reach that far on every side.  Level 1,
-    which is the whole sphere, is for places without such a cell or too near a pole.
+    Members are counted once a level.  A place's block is its coarsest cell with at most ``8 * (k + 1)`` members; the
+    distance of the (k + 1)-th nearest of those is the reach.  Blocks with too few members, and crowds in one cell of the finest level,
+    fall back to the farther sides of the finest cell with k + 1 members.  The level is the finest one whose cells reach that
+    far on every side.  Level 1, which is the whole sphere, is for places without such a cell or too near a pole.
     """
-    levels = range(top, 0, -1)
-    full = (_on_levels(offered.select("lat", "lon"), levels).groupBy("level", "row", "col").agg(F.count("*").alias("n"))
-            .filter(F.col("n") > k).drop("n"))
-    own = _on_levels(offered.select("lat", "lon").distinct(), levels).join(full, ["level", "row", "col"], "left_semi")
-    finest = own.groupBy("lat", "lon").agg(F.max("level").alias("_v"))
+    levels, block, most = range(top, 0, -1), ["level", "row", "col"], 8 * (k + 1)
+    points = _spread(offered.groupBy("lat", "lon").agg(F.count("*").alias("c")))
+    held = _on_levels(points, levels).groupBy(*block).agg(F.sum("c").alias("n"))
+    own = _on_levels(points, levels).join(held, block).groupBy("lat", "lon", "c").agg(
+        F.max(F.when(F.col("n") > k, F.col("level"))).alias("_v"),
+        F.min(F.when(F.col("n") <= most, F.struct(*block, "n"))).alias("_b"))
+    near = F.coalesce(F.col("_b.n") > k, F.lit(False))
+    grouped = own.groupBy(F.when(near, F.col("_b")).alias("_b"), F.when(~near, F.col("lat")).alias("_la"),
+                          F.when(~near, F.col("lon")).alias("_lo")).agg(
+        F.collect_list(F.struct("lat", "lon", "c", "_v")).alias("_all"))
+    finest = grouped.select(F.col("_b.n").alias("_n"), "_all", F.explode("_all").alias("_p")).select("_n", "_all", "_p.*")
+    met = F.flatten(F.transform("_all", lambda x: F.array_repeat(F.round(great_circle(
+        F.col("lat"), F.col("lon"), x["lat"], x["lon"]), _DISTANCE_DIGITS), x["c"].cast("int"))))
     size = F.lit(360.0) / F.pow(F.lit(2.0), F.col("_v"))
     up, right = F.pmod(F.col("lat") + 90, size), F.pmod(F.col("lon") + 180, size)
     # Along the parallel and then along the meridian, to the farther sides of the cell.
-    far = F.radians(F.greatest(up, size - up) + F.greatest(right, size - right) * F.cos(F.radians("lat")))
-    fits = [F.when((F.col("_v") >= v) & (F.asin(F.lit(_sine(360.0 / 2 ** v)) * F.cos(F.radians("lat"))) * 0.999999 >= far),
+    far = F.radians(F.greatest(up, size - up) + F.greatest(right, size - right) * F.cos(F.radians("lat"))) * EARTH_KM
+    # Distances are rounded, so the reach has a margin.
+    reach = F.least(F.when(F.col("_n").isNotNull(), F.sort_array(met)[k]), far) * 1.000001 + 1e-5
+    known = finest.select("lat", "lon", "_v", reach.alias("reach"))
+    fits = [F.when(F.asin(F.lit(_sine(360.0 / 2 ** v)) * F.cos(F.radians("lat"))) * 0.999999 >= F.col("reach") / EARTH_KM,
                    F.lit(v)) for v in levels]
-    return finest.select("lat", "lon", F.coalesce(*fits, F.lit(1)).alias("level"))
+    return known.select("lat", "lon", "reach", F.coalesce(*fits, F.lit(1)).alias("level"))
 
 
 def nearest(dim: DataFrame, key: str, lat: str, lon: str, k: int = 8, top: int = 24) -> DataFrame:
     """Exact k nearest other members by great-circle distance (ties by key).
 
     Every place is searched in cells of its own level (:func:`search_levels`), all levels in one join: small
-    cells where members are dense, large ones only for the few places that are alone.  Members at equal
+    cells where members are dense, large ones only for the few places that are alone.  Only members within its reach
+    are ordered.  Members at equal
     coordinates are searched once, each place offering its first k + 1 members.  A member without
     coordinates has no neighbours and is none.
     """
@@ -210,19 +231,18 @@ def nearest(dim: DataFrame, key: str, lat: str, lon: str, k: int = 8, top: int =
     first = Window.partitionBy("lat", "lon").orderBy("id")
     offered = (members.filter("lat is not null and lon is not null").withColumn("_r", F.row_number().over(first))
                .filter(F.col("_r") <= k + 1).drop("_r"))
-    known = search_levels(offered, k, top)
-    places = rejoin(offered.select("lat", "lon").distinct(), known, ["lat", "lon"]).withColumn(
-        "level", F.coalesce("level", F.lit(1)))
+    places = _spread(search_levels(offered, k, top))
     wide = F.pow(F.lit(2.0), F.col("level"))
     row = F.floor((F.col("lat") + 90) / (F.lit(360.0) / wide)).cast("long")
     col = F.floor((F.col("lon") + 180) / (F.lit(360.0) / wide)).cast("long") % wide.cast("long")
     around = F.array_distinct(F.array(*[
         F.struct((row + a).alias("row"), F.pmod(col + b, wide.cast("long")).alias("col")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    asked = places.select("lat", "lon", "level", F.inline(around))
+    asked = places.select("lat", "lon", "reach", "level", F.inline(around))
     target = _on_levels(offered.select("id", F.col("lat"), F.col("lon")), range(top, 0, -1)).select(
         "id", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "level", "row", "col")
     near = asked.join(target, ["level", "row", "col"]).withColumn(
-        "distance", F.round(great_circle("lat", "lon", "lat2", "lon2"), _DISTANCE_DIGITS))
+        "distance", F.round(great_circle("lat", "lon", "lat2", "lon2"), _DISTANCE_DIGITS)).filter(
+        F.col("reach").isNull() | (F.col("distance") <= F.col("reach")))
     best = Window.partitionBy("lat", "lon").orderBy("distance", "id")
     candidates = near.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k + 1).select(
         "lat", "lon", "id", "distance")

@@ -76,3 +76,31 @@ def test_unknown_coordinates_ties_and_empty(spark):
     assert {r for r, _ in got} == {1, 3, 4, 5}
     assert got[1, 1] == 5 and got[5, 1] == 1 and got[1, 2] == 3 and got[3, 1] == 1
     assert J.nearest(df.filter("false"), "id", "lat", "lon", 2).count() == 0
+
+
+def test_few_members_are_met_per_place(spark):
+    """The cells searched hold a bounded number of members a place, and the reach leaves hardly more than asked for."""
+    rng, k = np.random.default_rng(7), 5
+    pts = {i: (45 + 4 * rng.random(), 20 + 6 * rng.random()) for i in range(3000)}
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in pts.items()], "id int, lat double, lon double")
+    got = J.search_levels(df, k, 24).collect()
+    assert len(got) == 3000
+    lat, lon = (np.array([p[j] for p in pts.values()]) for j in (0, 1))
+    met, within = [], []
+    for r in got:
+        size = 360 / 2 ** r.level
+        near = [np.abs(np.floor((a + b) / size) - np.floor((c + b) / size)) <= 1 for a, c, b in ((lat, r.lat, 90), (lon, r.lon, 180))]
+        half = (np.sin(np.radians(lat - r.lat) / 2) ** 2
+                + np.cos(np.radians(lat)) * np.cos(np.radians(r.lat)) * np.sin(np.radians(lon - r.lon) / 2) ** 2)
+        close = 2 * 6371.0088 * np.arcsin(np.sqrt(half)) <= r.reach
+        assert k < close.sum() <= 10 * (k + 1) and not (close & ~(near[0] & near[1])).any()
+        met.append((near[0] & near[1]).sum())
+        within.append(close.sum())
+    assert np.mean(met) < 250 and np.mean(within) < 3 * (k + 1)
+    assert found(spark, pts, k) == brute(pts, k)
+
+
+def test_crowd_within_one_cell_of_the_finest_level(spark):
+    """More members in one finest cell than a block holds, and a lonely place beside them."""
+    pts = {i: (50 + 1e-7 * (i % 9), 30 + 1e-7 * (i // 9)) for i in range(90)} | {90: (50.3, 30.3), 91: (50.0, 30.0)}
+    assert found(spark, pts, 3) == brute(pts, 3)
