@@ -342,14 +342,15 @@ _FIT = """fit AS (SELECT event_type, CAST(user_id AS VARCHAR) AS u FROM events W
   LEFT JOIN users n ON n.u = CAST(e.user_id AS VARCHAR)"""), "last")
 def f11(spark, d):
     """Fitted on the first half of the month; categories first seen later share a place of their own."""
-    from pyspark.ml.functions import vector_to_array
     e = X.table(spark, d, "events").select("event_id", "event_type", "user_id", "value", "ts")
     e = e.withColumn("user_id", F.col("user_id").cast("string"))
     m = N.sparse_one_hot(e.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), ["event_type", "user_id"], ["value"])
-    v = m.transform(e).select("event_id", vector_to_array("features").alias("a"))
-    hot = F.array_compact(F.transform(F.slice("a", F.lit(1), F.size("a") - 1), lambda x, i: F.when(x == 1, i)))
-    return v.select("event_id", F.size("a").alias("width"), hot[0].cast("int").alias("type_place"),
-                    hot[1].cast("int").alias("user_place"), F.element_at("a", -1).alias("last"))
+    size, at, values = N.vector_entries("features")
+    v = m.transform(e).select("event_id", size.alias("width"), at.alias("at"), values.alias("x"))
+    final = F.col("width") - 1
+    hot = F.array_compact(F.transform("at", lambda p, i: F.when((p < final) & (F.get("x", i) == 1), p)))
+    return v.select("event_id", "width", hot[0].alias("type_place"), hot[1].alias("user_place"),
+                    F.when(F.element_at("at", -1) == final, F.element_at("x", -1)).otherwise(0.0).alias("last"))
 
 
 @query("f12_global_standard", with_(X.s_forecasts(), """st AS (SELECT

@@ -110,6 +110,16 @@ def sparse_one_hot(df: DataFrame, categorical: Sequence[str], dense: Sequence[st
     return Pipeline(stages=stages).fit(df)
 
 
+def vector_entries(vector: str | Column) -> tuple[Column, Column, Column]:
+    """Size, stored places and their values of an ML vector, sparse or dense; places left out hold zero.
+
+    Unlike ``vector_to_array`` this makes no element per place, so the cost of a row does not grow with the width.
+    """
+    u = F.unwrap_udt(_col(vector))
+    size = F.coalesce(u["size"], F.size(u["values"]))
+    return size, F.coalesce(u["indices"], F.sequence(F.lit(0), size - 1)), u["values"]
+
+
 def bin_token(scaled: str | Column, low: float, high: float, bins: int,
               first_token: int = 0) -> Column:
     """Uniform bin of a scaled value as a token id; values outside go to the end bins."""
