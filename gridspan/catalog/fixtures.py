@@ -89,6 +89,8 @@ def customer_months(spark, folder) -> DataFrame:
     c = table(spark, folder, "customer").select(F.col("c_custkey").alias("entity"))
     seq = F.sequence(months.select("a").scalar(), months.select("b").scalar(),
                      F.expr("interval 1 month"))
+    # A small file of customers becomes many rows, which one task should not make alone.
+    c = c.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return c.select("entity", F.explode(seq).alias("m")).select(
         "entity", F.col("m").cast("timestamp_ntz").alias("ts"))
 
