@@ -3,8 +3,9 @@
 A text is normalised as the model asks (a blank in front, blanks as U+2581) and cut into words, and these
 where no piece holds both neighbouring characters; no piece crosses such a cut, so the
 lattice of the text is the chain of small lattices.  In each, the forward Viterbi scores are the exact
-cost to go of a backward A-star search, which pops segmentations best first.  The N best of a chain follow from
-those of its links.  Characters without a piece are spelled in byte pieces.
+cost to go of a backward A-star search, which pops segmentations best first.  All different lattices of a slice of
+texts are searched in step, as arrays: every one pops its next segmentation at the same time.  The N best of a chain
+follow from those of its links.  Characters without a piece are spelled in byte pieces.
 """
 
 from __future__ import annotations
@@ -21,38 +22,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import kept, text_slices
-from .token_pieces import WordCache
 
 BLANK = "▁"
 #: Fixed value: what a spelled character costs beyond the worst piece.
 SPELL_PENALTY = 10.0
-#: Words, and parts of words, in each of the two ages of a worker's caches.
-CACHED = 150_000
-SLICE_BYTES = 1_000_000
+#: Longer parts, and those with a character to spell, are searched one by one.
+IN_STEP = 64
+#: Up to so many different characters in pieces, the pairs of them stand in a table.
+DENSE = 8192
+SLICE_BYTES = 4_000_000
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
 def chain(parts: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, bytes]]:
     """The ``n`` best of all choices of one item per part, best first; each part is best first."""
-    total, ids = sum([p[0][0] for p in parts]), [p[0][1] for p in parts]
-    # A choice that departs from the best item of some part costs at least that part's
-    # first gap, so only the n - 1 parts with the least gaps can occur among the n best.
     near = heapq.nsmallest(n - 1, [(p[0][0] - p[1][0], i) for i, p in enumerate(parts) if len(p) > 1])
+    return departures(sum([p[0][0] for p in parts]), [p[0][1] for p in parts], {i: parts[i] for _, i in near}, n)
+
+
+def departures(total: float, ids: list[bytes], near: dict[int, list[tuple[float, bytes]]], n: int) -> list[tuple[float, bytes]]:
+    """The ``n`` best choices, from the best ids of every part, their total, and the items of the ``near`` parts.
+
+    A choice that departs from the best item of some part costs at least that part's
+    first gap, so only the n - 1 parts with the least gaps can occur among the n best.
+    """
     found: list[tuple[float, tuple]] = [(0.0, ())]
-    for _, i in near:
-        options = [(parts[i][0][0] - s, (i, r)) for r, (s, _) in enumerate(parts[i][:n])]
+    for i, part in near.items():
+        options = [(part[0][0] - s, (i, r)) for r, (s, _) in enumerate(part[:n])]
         found = sorted([(a + g, c if at[1] == 0 else (*c, at)) for a, c in found for g, at in options])[:n]
     out = []
     for gap, changes in found:
         mine = ids if not changes else list(ids)
         for i, r in changes:
-            mine[i] = parts[i][r][1]
+            mine[i] = near[i][r][1]
         out.append((total - gap, b"".join(mine)))
     return out
 
 
+class Searched:
+    """The N best of many parts: the best scores and ids, what the second ones cost more, and all as lists."""
+
+    def __init__(self, scores: np.ndarray, ids: list[bytes], at: list[np.ndarray], alone: dict[int, list]):
+        #: By rank and part: scores, -inf where there are fewer; ids end to end, and where each part's begin.
+        self.scores, self.ids, self.at, self.alone = scores, ids, at, alone
+        self.score = scores[0].copy()
+        self.gap = np.full(len(self.score), np.inf)
+        if len(scores) > 1:
+            np.subtract(scores[0], scores[1], out=self.gap, where=scores[1] > -np.inf)
+        self.best = [ids[0][a:b] for a, b in zip(at[0][:-1].tolist(), at[0][1:].tolist())]
+        for p, found in alone.items():
+            self.score[p], self.best[p] = found[0]
+            self.gap[p] = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+
+    def found(self, p: int) -> list[tuple[float, bytes]]:
+        if p in self.alone:
+            return self.alone[p]
+        return [(float(s[p]), ids[at[p]:at[p + 1]]) for s, ids, at in zip(self.scores, self.ids, self.at) if s[p] > -np.inf]
+
+
 class Lattice:
-    """Pieces of a model, their scores, and caches of the N best of words and parts."""
+    """Pieces of a model, their scores, and the N best of texts and their parts."""
 
     def __init__(self, path: str, n: int):
         import sentencepiece
@@ -71,8 +100,27 @@ class Lattice:
             self.text[i] = bytes([b])
         for i in own:
             self.text[i] = model.id_to_piece(i).replace(BLANK, " ").encode()
-        self.parts = WordCache(lambda ps: [self.search(p) for p in ps], CACHED)
-        self.words = WordCache(self._words, CACHED)
+        self._tables()
+
+    def _tables(self) -> None:
+        """The pieces as a trie in arrays; its states are the beginnings of pieces, 0 stands for none."""
+        signs = sorted({c for p in self.known for c in p})
+        self.code = np.zeros(0x110000, np.int64)
+        self.code[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        self.signs = len(signs) + 1
+        state = {p: i for i, p in enumerate(self.known, 1)}
+        number = lambda c: int(self.code[ord(c)])
+        self.root = np.zeros(self.signs, np.int64)
+        for c in signs:
+            self.root[number(c)] = state.get(c, 0)
+        steps = sorted((state[p[:-1]] * self.signs + number(p[-1]), i) for p, i in state.items() if len(p) > 1)
+        self.step, self.follows = (np.array(x, np.int64) for x in zip(*steps, (1 << 62, 0)))
+        self.state_score, self.state_id = np.full(len(state) + 1, np.nan), np.zeros(len(state) + 1, "<u4")
+        for p, (score, ids) in self.piece.items():
+            self.state_score[state[p]], self.state_id[state[p]] = score, int.from_bytes(ids, "little")
+        if self.signs <= DENSE:
+            self.together = np.zeros(self.signs ** 2, bool)
+            self.together[[number(p[0]) * self.signs + number(p[1]) for p in self.inside]] = True
 
     def edges(self, part: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float], list]:
         """For each end, (start, score, ids) of the pieces that end there, its Viterbi score and its best edge."""
@@ -135,22 +183,163 @@ class Lattice:
             found.append((behind, b"".join(ids)))
         return found
 
-    def cut(self, word: str) -> list[str]:
-        """Parts between neighbours that no piece holds together."""
-        inside = self.inside
-        at = [k for k in range(1, len(word)) if word[k - 1:k + 1] not in inside]
-        return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])] if at else [word]
+    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the characters of all words, 0 for those in no piece, and where each word begins and the last ends."""
+        signs = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        return self.code[signs], np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
+
+    def _edges(self, code: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By length, from 1: start and state of every piece in the words; starts ascend."""
+        left = np.repeat(at[1:], np.diff(at)) - np.arange(len(code))
+        start, state, out = np.arange(len(code)), self.root[code], []
+        while len(start):
+            here = ~np.isnan(self.state_score[state])
+            out.append((start[here], state[here]))
+            more = (left[start] > len(out)) & (state > 0)
+            start = start[more]
+            key = state[more] * self.signs + code[start + len(out)]
+            found = np.searchsorted(self.step, key)
+            met = self.step[found] == key
+            start, state = start[met], self.follows[found[met]]
+        return out
+
+    def search_all(self, parts: list[str]) -> Searched:
+        """``search`` of every part, all in step; the same segmentations in the same order."""
+        n, inf = self.n, np.inf
+        code, at = self._flat(parts)
+        spelled = np.isnan(self.state_score[self.root[code]])
+        odd = np.concatenate([[0], np.cumsum(spelled)])
+        odd = (odd[at[1:]] > odd[at[:-1]]) | (np.diff(at) > IN_STEP)
+        alone = {int(p): self.search(parts[p]) for p in np.flatnonzero(odd)}
+        code, at = code[~np.repeat(odd, np.diff(at))], np.concatenate([[0], np.cumsum(np.where(odd, 0, np.diff(at)))])
+        count, length = len(parts), np.diff(at)
+        # A part of k characters has k + 1 nodes.
+        front = at[:-1] + np.arange(count)
+        back, nodes = front + length, len(code) + count
+        owner = np.repeat(np.arange(count), length)
+        place = np.arange(len(code)) - at[owner]
+        edges = self._edges(code, at)
+        ends = [s + owner[s] + k for k, (s, _) in enumerate(edges, 1)]
+        # The edges into each node stand together, those from the front first.
+        into = np.zeros(nodes + 1, np.int64)
+        for e in ends:
+            into[e + 1] += 1
+        into = np.cumsum(into)
+        filled, total = into[:-1].copy(), int(into[-1])
+        start, score, ids = np.empty(total, np.int32), np.empty(total), np.empty(total, "<u4")
+        order = []
+        for k in range(len(edges), 0, -1):
+            (s, state), e = edges[k - 1], ends[k - 1]
+            to = filled[e]
+            filled[e] += 1
+            start[to], score[to], ids[to] = e - k, self.state_score[state], self.state_id[state]
+            by = np.argsort((place[s] + k).astype(np.uint16), kind="stable")
+            order.append((to[by], e[by], np.searchsorted((place[s] + k)[by], np.arange(int(length.max(initial=0)) + 2))))
+        ahead, best = np.full(nodes, -inf), np.full(nodes, -1, np.int32)
+        ahead[front] = 0.0
+        for reach in range(1, int(length.max(initial=0)) + 1):
+            for to, e, cut in order:
+                x, v = to[cut[reach]:cut[reach + 1]], e[cut[reach]:cut[reach + 1]]
+                if len(x):
+                    value = ahead[start[x]] + score[x]
+                    more = value > ahead[v]
+                    ahead[v[more]], best[v[more]] = value[more], x[more]
+        # What waits, best first and in the order of coming: cost, score behind, edge, rank of what it departs from.
+        width = max(1, n - 1)
+        cost, behind = np.full((count, width), inf), np.zeros((count, width))
+        edge, parent = np.zeros((count, width), np.int64), np.zeros((count, width), np.int64)
+        scores, chosen = np.full((n, count), -inf), np.full((n, nodes), -1, np.int32)
+        node_owner = np.repeat(np.arange(count), length + 1)
+        for r in range(n):
+            if r == 0:
+                here = np.flatnonzero(~odd)
+                now, sum_ = back[here], np.zeros(len(here))
+            else:
+                here = np.flatnonzero(cost[:, 0] < inf)
+                x, q, sum_ = edge[here, 0], parent[here, 0], behind[here, 0]
+                now = start[x]
+                turn, origin = np.full(count, nodes), np.zeros(count, np.int64)
+                turn[here] = to_ = np.searchsorted(into, x, "right") - 1
+                origin[here] = q
+                keep = np.flatnonzero(np.arange(nodes) > turn[node_owner])
+                chosen[r, keep] = chosen[origin[node_owner[keep]], keep]
+                chosen[r, to_] = x
+                for waiting in (cost, behind, edge, parent):
+                    waiting[:, :-1] = waiting[:, 1:]
+                cost[:, -1] = inf
+            going = np.arange(len(here))
+            while True:
+                going = going[now[going] != front[here[going]]]
+                if not len(going):
+                    break
+                v = now[going]
+                follow = best[v]
+                chosen[r, v] = follow
+                if r < n - 1:
+                    x, stop, own, so_far = into[v], into[v + 1], going, sum_[going]
+                    skip = follow
+                    while len(x):
+                        w = score[x] + so_far
+                        c = -(ahead[start[x]] + w)
+                        p = here[own]
+                        new = np.flatnonzero((x != skip) & (c < cost[p, -1]))
+                        p, c_ = p[new], c[new]
+                        spot = (cost[p] <= c_[:, None]).sum(1)
+                        for j in range(width - 1, 0, -1):
+                            move = p[spot < j]
+                            for waiting in (cost, behind, edge, parent):
+                                waiting[move, j] = waiting[move, j - 1]
+                        cost[p, spot], behind[p, spot], edge[p, spot], parent[p, spot] = c_, w[new], x[new], r
+                        more = x + 1 < stop
+                        x, stop, own, so_far, skip = x[more] + 1, stop[more], own[more], so_far[more], skip[more]
+                sum_[going] += score[follow]
+                now[going] = start[follow]
+            scores[r, here] = sum_
+        raw, starts = [], []
+        for c in chosen:
+            on = c >= 0
+            raw.append(ids[c[on]].tobytes())
+            starts.append(4 * np.concatenate([[0], np.cumsum(on)])[np.append(front, nodes)])
+        return Searched(scores, raw, starts, alone)
 
-    def _words(self, words: list[str]) -> list[list[tuple[float, bytes]]]:
-        cut = [self.cut(w) for w in words]
-        known = self.parts.learn({p for parts in cut for p in parts})
-        return [known[parts[0]] if len(parts) == 1 else chain([known[p] for p in parts], self.n) for parts in cut]
+    def cut_all(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different parts of the words, cut between neighbours that no piece holds together; those of the words
+        end to end, and where each word's begin and the last end."""
+        text, numbers = "".join(words), {}
+        code, at = self._flat(words)
+        apart = np.ones(len(code) + 1, bool)
+        apart[1:-1] = ~self.together[code[:-1] * self.signs + code[1:]] if self.signs <= DENSE else [
+            p not in self.inside for p in map("".join, zip(text[:-1], text[1:]))]
+        apart[at] = True
+        cuts = np.flatnonzero(apart)
+        part = np.array([numbers.setdefault(text[a:b], len(numbers)) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())],
+                        np.int64)
+        return list(numbers), part, np.searchsorted(cuts, at)
 
     def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
         """The N best of each text; the empty text has one segmentation, without pieces."""
-        split = [_CHUNK.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        known = self.words.learn({w for ws in split for w in ws})
-        return [chain([known[w] for w in ws], self.n) if ws else [(0.0, b"")] for ws in split]
+        numbers: dict[str, int] = {}
+        number, size = numbers.setdefault, numbers.__len__
+        split = [[number(w, size()) for w in _CHUNK.findall(BLANK + t.replace(" ", BLANK))] if t else [] for t in texts]
+        if not numbers:
+            return [[(0.0, b"")] for _ in texts]
+        parts, part, at = self.cut_all(list(numbers))
+        del numbers, number, size
+        known = self.search_all(parts)
+        score, gap = np.add.reduceat(known.score[part], at[:-1]), np.minimum.reduceat(known.gap[part], at[:-1])
+        part, at, best = part.tolist(), at.tolist(), known.best
+        ids = [best[part[a]] if b - a == 1 else b"".join([best[p] for p in part[a:b]]) for a, b in zip(at, at[1:])]
+        out = []
+        for words in split:
+            if not words:
+                out.append([(0.0, b"")])
+                continue
+            code, near = np.array(words), {}
+            for i in np.argsort(gap[code], kind="stable")[:self.n - 1].tolist():
+                a, b = at[words[i]], at[words[i] + 1]
+                near[i] = known.found(part[a]) if b - a == 1 else chain([known.found(p) for p in part[a:b]], self.n)
+            out.append(departures(sum(score[code].tolist()), [ids[w] for w in words], near, self.n))
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids; the blank in front goes, bytes that are no UTF-8 are replaced."""
