@@ -12,8 +12,9 @@ Every count covers all training tokens.  Each slice of texts sends its distinct
 documents they stand in, to the owner of the last symbol (owners of frequent symbols are split by the symbol
 before it, and only the counts of those are broadcast, fewer than there are owners), so an owner knows the
 counts of all orders of a run.  It answers with sums per document, and with the terms of each history, which are
-added up by history.  Held-out tokens ask that table for the counts and weights of their histories in a join,
-where frequent histories are broadcast.  Texts are not shuffled.
+added up by history; of the longest histories, which are most, only those that held-out tokens ask for are kept.
+Held-out tokens ask that table for the counts and weights of their histories in a join, where frequent histories are
+broadcast.  Texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -248,9 +249,12 @@ class Runs:
                 self.first.append(index[n[index] > 0])
 
     def terms(self, k: int) -> tuple[np.ndarray, ...]:
-        """History, count, count without the first symbol, and history without its first symbol, of each run of k."""
+        """History, count, count without the first symbol, and history without its first symbol, of each run of k.
+
+        Equal histories stand together, and so do those without their first symbols, which packs well.
+        """
         at = self.first[k]
-        at = at[np.argsort(self.history[k][at])]
+        at = at[np.lexsort((self.history[k][at], self.history[k - 1][at])) if k > 2 else np.argsort(self.history[k][at])]
         up = self.history[k - 1][at] if k > 2 else np.zeros(0, np.uint64)
         return self.history[k][at], self.n[k][at], self.n[k - 1][at], up
 
@@ -378,8 +382,11 @@ def _look_up(rows: DataFrame, table: DataFrame, limit: int) -> DataFrame:
         rows.join(often.select("h"), "h", "left_anti").join(table.filter(F.col("c") < limit), "h"))
 
 
-def _histories(answers: DataFrame, m: Symbols, d: np.ndarray, limit: int) -> DataFrame:
-    """h, c, log_c, log_weight of every history met in training."""
+def _histories(answers: DataFrame, asked: DataFrame, m: Symbols, d: np.ndarray, limit: int, order: int) -> DataFrame:
+    """h, c, log_c, log_weight of the histories met in training: all but the longest, and of these what is asked for.
+
+    Nothing else refers to the longest, and by far the most are of that length.
+    """
     total = m.total
 
     def discounted(k, n):
@@ -399,10 +406,15 @@ def _histories(answers: DataFrame, m: Symbols, d: np.ndarray, limit: int) -> Dat
                      *[pa.array(np.add.reduceat(x, at)) for x in (n, discounted(k, n), below)]],
                     names=["h", "up", "c", "mass", "below"])
 
-    sums = stage(answers.filter(f"kind = {_TERMS}").select("slice", "blob")
-                 .mapInArrow(add, "h long, up long, c long, mass double, below double").groupBy("h")
-                 .agg(F.first("up").alias("up"), *[F.sum(x).alias(x) for x in ("c", "mass", "below")]), "katz-terms")
-    names = sums.select(F.col("h"), F.col("c"))
+    def summed(which: str) -> DataFrame:
+        return (answers.filter(f"kind = {_TERMS}").filter(which).select("slice", "blob")
+                .mapInArrow(add, "h long, up long, c long, mass double, below double").groupBy("h")
+                .agg(F.first("up").alias("up"), *[F.sum(x).alias(x) for x in ("c", "mass", "below")]))
+
+    longest = summed(f"slice = {-order}").join(asked.select("h").distinct().hint("shuffle_hash"), "h", "left_semi")
+    shorter = stage(summed(f"slice > {-order}"), "katz-shorter")
+    sums = stage(longest, "katz-longest").unionByName(shorter)
+    names = shorter.select("h", "c")
     long = _look_up(sums.filter("up is not null").select(F.col("up").alias("h"), F.col("h").alias("name"), F.col("c").alias("n"),
                                                          "mass", "below"), names, limit)
     both = long.select(F.col("name").alias("h"), F.col("n").alias("c"), "mass", (F.col("below") / (F.col("c") + 1)).alias("below")
@@ -446,7 +458,8 @@ def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts:
     answers = stage(_answers(_requests(rows, shared, order), shared, order, partitions), "katz-answers")
     d = _discounts(answers, order)
     limit = max(1, m.tokens // m.buckets)
-    found = _look_up(_asked(answers), _histories(answers, m, d, limit), limit)
+    asked = _asked(answers)
+    found = _look_up(asked, _histories(answers, asked, m, d, limit, order), limit)
     value = F.col("times") * F.when(F.col("weight"), F.col("log_weight")).otherwise(-F.col("log_c"))
     backed = found.groupBy("slice", "doc").agg(F.sum(value).alias("value"))
     log_d, n_train, types, texts = np.log10(d[2:]).ravel(), m.tokens, m.types, m.texts
