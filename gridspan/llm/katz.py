@@ -10,23 +10,25 @@ add-one share of its tokens there.
 
 Every count covers all training tokens.  Each slice of texts sends its distinct runs of ``order`` symbols, with the
 documents they stand in, to the owner of the last symbol (owners of frequent symbols are split by the symbol
-before it, and only the counts of those are broadcast, fewer than there are owners), so an owner knows the
-counts of all orders of a run.  It answers with sums per document, and with the terms of each history, which are
-added up by history; of the longest histories, which are most, only those that held-out tokens ask for are kept.
-Held-out tokens ask that table for the counts and weights of their histories in a join, where frequent histories are
-broadcast.  Texts are not shuffled.
+before it), so an owner knows the counts of all orders of a run.  It answers with the counts of each document's runs,
+which the slice adds up; their size follows the tokens, however many owners there are.  Terms of histories, and what
+held-out tokens ask for, go to the owner of the history, which adds the terms up; of the longest histories, which are
+most, only those that held-out tokens ask for are kept.  Counts and weights are then met in joins, where frequent
+histories are broadcast.  In all that is sent, frequent symbols are short codes that are broadcast (a bounded number), and
+shuffles are dropped as soon as they are staged.  Texts are not shuffled.
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, in_fold, mixed, release, stage, text_slices
@@ -35,20 +37,37 @@ from .common import Words, in_fold, mixed, release, stage, text_slices
 SHARE = 0.0
 #: Counts above this are not discounted.
 TOP = 5
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 BUCKET_TOKENS = 500_000
+HISTORY_TOKENS = 2_000_000
+#: Words with at least this share of the training tokens are broadcast, for short codes.
+COMMON = 1 / (1 << 22)
+#: Histories with at least this share of the training tokens are broadcast.
+OFTEN = 1 / (1 << 19)
+#: The longest histories are summed, and all asked for, in so many passes, whose shuffles follow each other.
+PASSES = 2
 #: Stand among the hashes of words.  Before the beginning there is nothing.
 _NOTHING, _BEGIN, _END, _OTHER = (np.uint64(i) for i in range(4))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _bytes(*arrays: np.ndarray) -> bytes:
-    raw = pickle.dumps(arrays, protocol=5)
+    """Arrays of one dimension, packed byte place by byte place, since high bytes differ little."""
+    head = pickle.dumps([(x.dtype.str, len(x)) for x in arrays], protocol=5)
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes() for x in arrays]
+    raw = b"".join([len(head).to_bytes(4, "little"), head, *planes])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _arrays(blob: bytes) -> tuple:
-    return pickle.loads(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True))
+def _arrays(blob: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    at, out = 4 + int.from_bytes(raw[:4], "little"), []
+    for kind, n in pickle.loads(raw[4:at]):
+        kind = np.dtype(kind)
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * kind.itemsize
+    return out
 
 
 def _small(x: np.ndarray) -> np.ndarray:
@@ -62,6 +81,14 @@ def _joined(g: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     return mixed(g * _STEP + mixed(x + np.uint64(k)))
 
 
+def _histories_of(run: list[np.ndarray]) -> list[np.ndarray]:
+    """Names of the histories of one symbol, of two, and so on, from the symbols before a symbol, the nearest first."""
+    out = [mixed(run[0] + _STEP)]
+    for k, x in enumerate(run[1:], 3):
+        out.append(_joined(out[-1], x, k))
+    return out
+
+
 def _place(names: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each of ``h`` is among the sorted names, and where."""
     at = np.searchsorted(names, h)
@@ -69,11 +96,52 @@ def _place(names: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[at] == h, at
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values in order, where one of each stands, and each value's number among them."""
+    by = np.argsort(x)
+    x = x[by]
+    new = _changes(x)
+    number = np.empty(len(x), np.int64)
+    number[by] = np.cumsum(new) - 1
+    return x[new], by[new], number
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the columns has another value than in the row before."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = False
+    for x in columns:
+        out[1:] |= x[1:] != x[:-1]
+    return out
+
+
+def _tree(run: list[np.ndarray], codes: list[np.ndarray]) -> list[np.ndarray]:
+    """Runs whose equal beginnings stand together: at each place the symbols that change there, and how often each stands."""
+    out, new = [], np.zeros(len(run[0]), bool)
+    for x, code in zip(run, codes):
+        new |= _changes(x)
+        at = np.flatnonzero(new)
+        code = code[at]
+        out += [_small(code), x[at[code == 0]], _small(np.diff(np.append(at, len(x))))]
+    return out
+
+
+def _runs_of(m: Symbols, tree: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Runs and their codes."""
+    run, codes = [], []
+    for code, rare, times in zip(tree[::3], tree[1::3], tree[2::3]):
+        x = m.coded[code]
+        x[code == 0] = rare
+        run.append(np.repeat(x, times))
+        codes.append(np.repeat(code.astype(np.uint32), times))
+    return run, codes
+
+
 class Symbols:
     """Totals of the training texts, the counts of frequent symbols, and the kept words if not all are."""
 
     def __init__(self, heavy: dict[int, int], kept: np.ndarray | None, kept_types: int, kept_tokens: int,
-                 tokens: int, texts: int, types: int, buckets: int):
+                 tokens: int, texts: int, types: int, buckets: int, common: np.ndarray, common_n: np.ndarray):
         #: Training tokens, ends included; distinct training tokens, the end included.
         self.tokens, self.types, self.texts, self.buckets = tokens + texts, types + (texts > 0), texts, buckets
         self.other_tokens, self.other_types = tokens - kept_tokens, types - kept_types
@@ -83,6 +151,19 @@ class Symbols:
         self.count = np.array([count[int(h)] for h in self.heavy], np.int64)
         #: What the add-one counts of all symbols add up to.
         self.total = self.tokens + kept_types + 2.0
+        #: What stands for frequent symbols in blobs are their numbers here, the most frequent first; 0 is any other one.
+        special = np.array([_NOTHING, _NOTHING, _BEGIN, _END, _OTHER], np.uint64)
+        self.coded = np.concatenate([special, common])
+        #: Their counts.
+        self.often = np.concatenate([[0, 0, 0, texts, self.other_tokens], common_n]).astype(np.int64)
+        by = 1 + np.argsort(self.coded[1:])
+        self._sorted, self._number = self.coded[by], by
+        #: Owners of histories.
+        self.owners = max(8, self.tokens // HISTORY_TOKENS)
+
+    def code(self, x: np.ndarray) -> np.ndarray:
+        found, at = _place(self._sorted, x)
+        return np.where(found, self._number[at], 0).astype(np.uint32)
 
     def of(self, h: np.ndarray) -> np.ndarray:
         if self.kept is None:
@@ -95,6 +176,7 @@ class Symbols:
 def _count_words(rows: DataFrame) -> DataFrame:
     """Training counts of words: word, n, texts (the last on one row per task)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         words, n, texts, waiting = [], [], 0, 0
 
         def merged():
@@ -108,7 +190,7 @@ def _count_words(rows: DataFrame) -> DataFrame:
                 n.append(met)
                 texts += len(part)
                 waiting += len(names)
-                if waiting > 2_000_000:
+                if waiting > 1_000_000:
                     names, met = merged()
                     yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(met)], names=["word", "n"])
                     words, n, waiting = [], [], 0
@@ -121,26 +203,30 @@ def _count_words(rows: DataFrame) -> DataFrame:
 def symbols(train: DataFrame, share: float = SHARE) -> Symbols:
     """``train`` has the training texts as ``text``.
 
-    The driver receives fewer words than there are owners, and with a ``share`` at most ``1 / share`` more.
+    The driver receives fewer words than there are owners, at most ``1 / COMMON`` common ones, and with a ``share``
+    at most ``1 / share`` more.
     """
-    words = stage(_count_words(train), "word-counts")
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    texts, tokens = train.count(), int(total["n"])
+    all_ = Observation()
+    words = _count_words(train).observe(all_, F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"))
+    words = stage(words.filter("n > 1"), "word-counts")
+    texts, tokens, types = train.count(), int(all_.get["n"]), int(all_.get["v"])
     buckets = max(8, (tokens + texts) // BUCKET_TOKENS)
     names = lambda df: df.toPandas()["word"].to_numpy(np.int64).view(np.uint64)
-    kept, kept_types, kept_tokens = None, int(total["v"]), tokens
+    kept, kept_types, kept_tokens = None, types, tokens
     if share * tokens > 1:
         often = words.filter(F.col("n") >= share * tokens)
         kept = np.sort(names(often))
         kept_types, kept_tokens = len(kept), int(often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
         words = often
     heavy = {r["word"] % (1 << 64): r["n"] for r in words.filter(F.col("n") * buckets >= max(1, tokens)).collect()}
-    return Symbols(heavy, kept, kept_types, kept_tokens, tokens, texts, int(total["v"]), buckets)
+    common = words.filter(F.col("n") >= max(2, COMMON * tokens)).toPandas().sort_values("n", ascending=False, kind="stable")
+    common, common_n = common["word"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.int64)
+    return Symbols(heavy, kept, kept_types, kept_tokens, tokens, texts, types, buckets, common, common_n)
 
 
-#: Kinds of blobs: of a slice, the runs of training texts, folded words, terms of histories, runs of held-out texts,
-#: what these ask of the histories.
-_HEAD, _TRAIN, _FOLDED, _TERMS, _HELD, _ASKED = range(6)
+#: Kinds of blobs: of a slice, the runs of training texts, folded words, runs of held-out texts, what these ask of the
+#: histories, terms of histories, how many runs have small counts.
+_HEAD, _TRAIN, _FOLDED, _HELD, _ASKED, _TERMS, _MET = range(7)
 
 
 def _requests(rows: DataFrame, model, order: int) -> DataFrame:
@@ -169,25 +255,34 @@ def _requests(rows: DataFrame, model, order: int) -> DataFrame:
                 here[inner], here[last] = symbol, _END
                 doc = np.repeat(np.arange(docs), total)
                 place = np.arange(len(here)) - np.repeat(last + 1 - total, total)
-                run = [here]
+                names, _, number = _distinct(here)
+                names, number = np.concatenate([[_NOTHING, _BEGIN], names]), number + 2
+                run = [number]
                 for back in range(1, order):
-                    x = np.full(len(here), _NOTHING)
-                    x[back:] = here[:-back]
-                    x[place == back - 1] = _BEGIN
-                    x[place < back - 1] = _NOTHING
+                    x = np.zeros(len(here), np.int64)
+                    x[back:] = number[:-back]
+                    x[place == back - 1] = 1
+                    x[place < back - 1] = 0
                     run.append(x)
-                heavy, at = _place(m.heavy, here)
-                local = heavy & (here != _OTHER)
-                sure = np.bincount(doc[local], np.log10(m.count[at[local]] + 1.0), docs).astype(float)
-                out = [(name % buckets, _HEAD, _bytes(total, np.bincount(doc[local], m.count[at[local]] > 0, docs), sure))]
-                salt = (mixed(run[1]) >> np.uint64(33)) % np.where(heavy, salts[at], 1).astype(np.uint64)
+                code = m.code(names)
+                heavy, at = _place(m.heavy, names)
+                met = np.where((code > 0) & (names != _OTHER), m.often[code], -1)[number]
+                local = met >= 0
+                sure = np.bincount(doc[local], np.log10(met[local] + 1.0), docs).astype(float)
+                known = np.bincount(doc[local], met[local] > 0, docs)
+                salts_ = np.where(heavy, salts[at], 1).astype(np.uint64)[number]
+                salt = (mixed(names) >> np.uint64(33))[run[1]] % salts_
                 owner = (mixed(here * _STEP + salt) % np.uint64(buckets)).astype(np.int64)
-                for what, mine in ((_TRAIN, train[doc]), (_HELD, ~train[doc])):
-                    out += owner_blobs(owner[mine], [x[mine] for x in run], doc[mine], train, buckets, what)
+                out = [(name % buckets, _HEAD, _bytes(total, known, sure))]
                 if m.kept is not None:
                     rare = symbol == _OTHER
                     h = words.hash[rare]
-                    out += owner_blobs((h % np.uint64(buckets)).astype(np.int64), [h], words.doc[rare], train, buckets, _FOLDED)
+                    other, _, number = _distinct(h)
+                    out += owner_blobs((h % np.uint64(buckets)).astype(np.int64), [number], other, m.code(other), words.doc[rare], train, _FOLDED)
+                del words, symbol, here, inner, place, number, x, met, local, salts_, salt, heavy, at
+                for what, mine in ((_HELD, ~train[doc]), (_TRAIN, train[doc])):
+                    out += owner_blobs(owner[mine], [x[mine] for x in run], names, code, doc[mine], train, what)
+                del run, owner, doc, mine
                 ids = part.column("id")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([name] * len(out), pa.int64()),
@@ -199,30 +294,44 @@ def _requests(rows: DataFrame, model, order: int) -> DataFrame:
     return rows.mapInArrow(make, f"bucket int, slice long, kind int, blob binary, ids array<{kind.simpleString()}>, train array<boolean>")
 
 
-def owner_blobs(owner, run, doc, train, buckets, kind):
-    """One blob per owner: distinct runs, training counts, then per (run, document) document and count."""
-    order = np.lexsort((doc, *reversed(run), owner))
-    owner, run, doc = owner[order], [x[order] for x in run], doc[order]
+def _in_order(run: list[np.ndarray], doc: np.ndarray, size: int, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of runs of numbers below ``size``, equal ones by document, and numbers that rise with the runs in this order."""
+    key, top = np.zeros(len(doc), np.int64), 1
+    for x in run:
+        if top * size >= 1 << 63:
+            names, _, key = _distinct(key)
+            top = len(names)
+        key, top = key * size + x, top * size
+    by = np.argsort(key * docs + doc) if top * docs < 1 << 63 else np.argsort(key, kind="stable")
+    return by, key[by]
+
+
+def owner_blobs(owner, run, names, code, doc, train, kind):
+    """One blob per owner: distinct runs, training counts, then per (run, document) document and count.
+
+    Runs are numbers among ``names``, and documents rise.
+    """
     if not len(doc):
         return []
-    fresh = np.ones(len(doc), bool)
-    fresh[1:] = owner[1:] != owner[:-1]
-    for x in run:
-        fresh[1:] |= x[1:] != x[:-1]
-    new = fresh.copy()
-    new[1:] |= doc[1:] != doc[:-1]
-    at = np.flatnonzero(new)
-    owner, run, doc, fresh, n = owner[at], [x[at] for x in run], doc[at], fresh[at], np.diff(np.append(at, len(doc)))
-    out, cut = [], np.searchsorted(owner, np.arange(buckets + 1))
-    for b in range(buckets):
-        lo, hi = cut[b], cut[b + 1]
-        if lo == hi:
-            continue
-        d, c = doc[lo:hi], n[lo:hi]
-        start = np.flatnonzero(fresh[lo:hi])
-        met = np.add.reduceat(np.where(train[d], c, 0), start)
-        out.append((b, kind, _bytes([x[lo:hi][start] for x in run], _small(met), _small(np.diff(np.append(start, len(d)))),
-                                    _small(d), _small(c))))
+    order, key = _in_order(run, doc, len(names), len(train))
+    by = np.argsort(_small(owner[order]), kind="stable")
+    order, key = order[by], key[by]
+    owner, doc = owner[order], doc[order]
+    fresh = _changes(owner, key)
+    at = np.flatnonzero(fresh | _changes(doc))
+    n, d, fresh = np.diff(np.append(at, len(doc))), doc[at], fresh[at]
+    first = np.flatnonzero(fresh)
+    per = np.diff(np.append(first, len(d)))
+    met = np.add.reduceat(np.where(train[d], n, 0), first)
+    owner, order = owner[at[first]], order[at[first]]
+    run = [x[order] for x in run]
+    run, codes = [names[x] for x in run], [code[x] for x in run]
+    cut = np.append(np.flatnonzero(_changes(owner)), len(owner))
+    out, ends = [], np.append(first, len(d))
+    for lo, hi in zip(cut[:-1], cut[1:]):
+        out.append((int(owner[lo]), kind, _bytes(
+            *_tree([x[lo:hi] for x in run], [x[lo:hi] for x in codes]),
+            *[_small(x) for x in (met[lo:hi], per[lo:hi], d[ends[lo]:ends[hi]], n[ends[lo]:ends[hi]])])))
     return out
 
 
@@ -233,78 +342,86 @@ class Runs:
         self.last, self.order = run[0], len(run)
         self.length = sum((x != _NOTHING).astype(np.int64) for x in run)
         heavy, at = _place(m.heavy, run[0])
-        self.owned = ~heavy
         #: By order: count of the last symbols of each run; name of the history; one place for each run that was met.
-        self.n, self.history, self.first = [None], [None, None], [None, None]
-        g = run[0]
+        self.n, self.history, self.first = [None], [None, None, *_histories_of(run[1:])], [None, None]
+        self.run, g = run, run[0]
         for k in range(1, self.order + 1):
             if k > 1:
                 g = _joined(g, run[k - 1], k)
-                self.history.append(mixed(run[1] + _STEP) if k == 2 else _joined(self.history[-1], run[k - 1], k))
-            _, index, inverse = np.unique(g, return_index=True, return_inverse=True)
+            _, index, inverse = _distinct(g)
             n = np.bincount(inverse, met).astype(np.int64)[inverse]
             n = np.where(heavy, m.count[at], n) if k == 1 else np.where(self.length >= k, n, 0)
             self.n.append(n)
             if k > 1:
                 self.first.append(index[n[index] > 0])
 
-    def terms(self, k: int) -> tuple[np.ndarray, ...]:
-        """History, count, count without the first symbol, and history without its first symbol, of each run of k.
-
-        Equal histories stand together, and so do those without their first symbols, which packs well.
-        """
-        at = self.first[k]
-        at = at[np.lexsort((self.history[k][at], self.history[k - 1][at])) if k > 2 else np.argsort(self.history[k][at])]
-        up = self.history[k - 1][at] if k > 2 else np.zeros(0, np.uint64)
-        return self.history[k][at], self.n[k][at], self.n[k - 1][at], up
+    def by_owner(self, k: int, at: np.ndarray, owners: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Places in ``at`` by owner of the history of k - 1 symbols, those of equal last symbols of histories together."""
+        by = at if not len(at) else np.argsort(self.run[1][at])
+        owner = (mixed(self.history[k][at[by]] + np.uint64(k)) % np.uint64(owners)).astype(np.int64)
+        order = np.argsort(_small(owner), kind="stable")
+        by, owner = by[order], owner[order]
+        cut = np.append(np.flatnonzero(_changes(owner)), len(owner))
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            yield int(owner[lo]), by[lo:hi]
 
 
 def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFrame:
-    """Per owner and slice: sums per document, and what is asked of histories.  Rows of terms carry an owner's histories."""
-    def low_counts(r, k, local, c, n):
-        return np.stack([np.bincount(local[(k == o) & (r == q)], c[(k == o) & (r == q)], n)
-                         for o in range(2, order + 1) for q in range(1, TOP + 1)])
+    """Per owner and slice the counts of each document's runs; terms of histories, and what is asked of them.
 
+    Terms and questions go by the owner of the history; ``slice`` is there minus the order.
+    """
     def runs(m: Symbols, bucket: int, mine: list[tuple]):
-        cat = lambda i: np.concatenate([b[i] for _, _, b in mine])
-        run = [np.concatenate([b[0][j] for _, _, b in mine]) for j in range(order)]
-        all_, start = Runs(m, run, cat(1)), 0
+        trees = [_runs_of(m, b[:3 * order]) for _, _, b in mine]
+        run, codes = ([np.concatenate([t[i][j] for t in trees]) for j in range(order)] for i in (0, 1))
+        all_, start = Runs(m, run, np.concatenate([b[3 * order] for _, _, b in mine])), 0
         for k in range(2, order + 1):
-            h, n, under, up = all_.terms(k)
-            yield bucket, -k, _TERMS, _bytes(h, _small(n), _small(under), up), None, None
-        for s, kind, (first, _, per, d, c) in mine:
+            first = all_.first[k]
+            yield bucket, -k, _MET, _bytes(np.bincount(np.minimum(all_.n[k][first], TOP + 2), minlength=TOP + 3)[1:TOP + 2]), None, None
+            for owner, by in all_.by_owner(k, first, m.owners):
+                at = first[by]
+                yield owner, -k, _TERMS, _bytes(
+                    *_tree([x[at] for x in run[1:k]], [x[at] for x in codes[1:k]]), _small(all_.n[k][at]), _small(all_.n[k - 1][at])), None, None
+        # The longest order that was met; 1 where none was.
+        k, r = np.ones(len(run[0]), np.int64), np.zeros(len(run[0]), np.int64)
+        for o in range(2, order + 1):
+            seen = all_.n[o] > 0
+            k[seen], r[seen] = o, all_.n[o][seen]
+        # As the history of what comes next, which was met.
+        own = np.choose(np.minimum(order - 1, all_.length) - 1, all_.n[1:order])
+        own[all_.last == _END] = 0
+        asked = []
+        for (s, kind, b), tree in zip(mine, trees):
+            per, d, c = b[3 * order + 1:]
             at = np.repeat(np.arange(start, start + len(per)), per)
             start += len(per)
-            d, c = d.astype(np.int64), c.astype(np.int64)
-            docs, local = np.unique(d, return_inverse=True)
-            total = lambda x: np.bincount(local, x * c, len(docs))
-            length, one = all_.length[at], all_.n[1][at]
-            # The longest order that was met; 1 where none was.
-            k, r = np.ones(len(at), np.int64), np.zeros(len(at), np.int64)
-            for o in range(2, order + 1):
-                seen = all_.n[o][at] > 0
-                k[seen], r[seen] = o, all_.n[o][at][seen]
-            value = np.where(k > 1, np.log10(np.maximum(r, 1)), np.log10(one + 1.0) - np.log10(m.total))
-            if kind == _TRAIN:
-                # As the history of what comes next, which was met.
-                own = np.choose(np.minimum(order - 1, length) - 1, [all_.n[o][at] for o in range(1, order)])
-                value = value - np.where(all_.last[at] == _END, 0.0, np.log10(own + 1.0))
-            else:
-                asked = []
-                for o in range(2, order + 1):
-                    for weight, where in ((False, k == o), (True, (k < o) & (length >= o))):
-                        asked.append((d[where], all_.history[o][at][where], np.full(int(where.sum()), weight), c[where]))
-                asked = [np.concatenate(x) for x in zip(*asked)]
-                yield bucket, s, _ASKED, _bytes(_small(asked[0]), asked[1], asked[2], _small(asked[3])), None, None
-            owned = all_.owned[at]
+            if kind == _HELD:
+                asked.append((at, np.full(len(d), s), d, c))
+            by = np.argsort(d, kind="stable")
+            at, d, c = at[by], d[by], c[by]
+            new = np.flatnonzero(_changes(d))
+            # Slices know the counts of frequent words.
+            rare = codes[0][at] == 0
             yield bucket, s, kind, _bytes(
-                _small(docs), total(value), total(np.where(owned, np.log10(one + 1.0), 0.0)),
-                _small(total(owned & (one > 0)).astype(np.int64)), _small(low_counts(r, k, local, c, len(docs)).astype(np.int64))), None, None
+                d[new], _small(np.diff(np.append(new, len(d)))), c, rare, _small(np.where(rare | (k[at] == 1), all_.n[1][at], 0)),
+                k[at].astype(np.uint8), _small(r[at]), _small(own[at] if kind == _TRAIN else np.zeros(len(at), np.int64))), None, None
+        if not asked:
+            return
+        at, s, d, c = (np.concatenate(x) for x in zip(*asked))
+        for o in range(2, order + 1):
+            some = np.flatnonzero((k[at] <= o) & (all_.length[at] >= o))
+            for owner, by in all_.by_owner(o, at[some], m.owners):
+                here = some[by]
+                slices, _, number = _distinct(s[here])
+                yield owner, -o, _ASKED, _bytes(
+                    *_tree([x[at[here]] for x in run[1:o]], [x[at[here]] for x in codes[1:o]]), slices, _small(number), _small(d[here]),
+                    k[at[here]] < o, _small(c[here])), None, None
 
     def folded(m: Symbols, bucket: int, mine: list[tuple]):
-        keys, inverse = np.unique(np.concatenate([b[0][0] for _, _, b in mine]), return_inverse=True)
-        counts = np.bincount(inverse, np.concatenate([b[1] for _, _, b in mine]), len(keys)).astype(np.int64)
-        for s, _, ((k,), _, per, d, c) in mine:
+        mine = [(s, _runs_of(m, b[:3])[0][0], *b[3:]) for s, _, b in mine]
+        keys, inverse = np.unique(np.concatenate([b[1] for b in mine]), return_inverse=True)
+        counts = np.bincount(inverse, np.concatenate([b[2] for b in mine]), len(keys)).astype(np.int64)
+        for s, k, _, per, d, c in mine:
             r = counts[np.repeat(np.searchsorted(keys, k), per)]
             d, c = d.astype(np.int64), c.astype(np.int64)
             docs, local = np.unique(d, return_inverse=True)
@@ -363,13 +480,11 @@ def _discounts(answers: DataFrame, order: int) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, blob in zip(batch.column("slice").to_pylist(), batch.column("blob").to_pylist()):
-                n = _arrays(blob)[1]
-                many = np.bincount(np.minimum(n, TOP + 2).astype(np.int64), minlength=TOP + 3)[1:TOP + 2]
-                yield pa.RecordBatch.from_arrays([pa.array([-k] * (TOP + 1)), pa.array(range(1, TOP + 2)), pa.array(many)],
+                yield pa.RecordBatch.from_arrays([pa.array([-k] * (TOP + 1)), pa.array(range(1, TOP + 2)), pa.array(_arrays(blob)[0])],
                                                  names=["k", "r", "n"])
 
     met = np.zeros((order + 1, TOP + 1))
-    found = answers.filter(f"kind = {_TERMS}").select("slice", "blob").mapInArrow(add, "k long, r long, n long")
+    found = answers.filter(f"kind = {_MET}").select("slice", "blob").mapInArrow(add, "k long, r long, n long")
     for r in found.groupBy("k", "r").agg(F.sum("n").alias("n")).collect():
         met[r["k"], r["r"] - 1] = r["n"]
     return np.stack([discounts(x) for x in met])
@@ -382,60 +497,122 @@ def _look_up(rows: DataFrame, table: DataFrame, limit: int) -> DataFrame:
         rows.join(often.select("h"), "h", "left_anti").join(table.filter(F.col("c") < limit), "h"))
 
 
-def _histories(answers: DataFrame, asked: DataFrame, m: Symbols, d: np.ndarray, limit: int, order: int) -> DataFrame:
+def _histories(answers: DataFrame, shared, d: np.ndarray, limit: int, order: int, partitions: int) -> DataFrame:
     """h, c, log_c, log_weight of the histories met in training: all but the longest, and of these what is asked for.
 
     Nothing else refers to the longest, and by far the most are of that length.
     """
-    total = m.total
-
     def discounted(k, n):
         return np.where(n <= TOP, n * d[k][np.minimum(n, TOP) - 1], n).astype(float)
 
+    def sums(k: int, blob: bytes, wanted: np.ndarray | None) -> list[np.ndarray]:
+        """h, up, c, mass, below of a blob of terms, of the histories in ``wanted`` only where it is given."""
+        m = shared.value
+        *tree, n, under = _arrays(blob)
+        names = _histories_of(_runs_of(m, tree)[0])
+        h, up = names[-1], names[-2] if k > 2 else names[-1]
+        if wanted is not None:
+            at = np.flatnonzero(_place(wanted, h)[0]) if len(wanted) else np.zeros(0, np.int64)
+            h, up, n, under = h[at], up[at], n[at], under[at]
+        n, under = n.astype(np.int64), under.astype(np.int64)
+        return total(h, up, n, discounted(k, n), (under + 1) / m.total if k == 2 else discounted(k - 1, under))
+
+    def total(h, up, *parts):
+        names, index, number = _distinct(h)
+        return [names, up[index], *[np.bincount(number, x, len(names)).astype(x.dtype) for x in parts]]
+
+    def finish(now: tuple | None, found: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if found:
+            h, up, *parts = total(*[np.concatenate(x) for x in zip(*found)])
+            up = pa.array(up.view(np.int64) if now[0] < -2 else [None] * len(h), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), up, *map(pa.array, parts)],
+                                             names=["h", "up", "c", "mass", "below"])
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        now, wanted, found = None, [], []
         for batch in batches:
-            for k, blob in zip(batch.column("slice").to_pylist(), batch.column("blob").to_pylist()):
-                h, n, under, up = _arrays(blob)
-                if not len(h):
+            for i in range(len(batch)):
+                k, bucket, kind, blob = (x[i].as_py() for x in batch.columns)
+                if (k, bucket) != now:
+                    yield from finish(now, found)
+                    now, wanted, found = (k, bucket), [] if k == -order else None, []
+                if kind == _ASKED:
+                    names = _histories_of(_runs_of(shared.value, _arrays(blob)[:3 * (order - 1)])[0])
+                    wanted.append(_distinct(names[-1])[0])
                     continue
-                k, n, under = -k, n.astype(np.int64), under.astype(np.int64)
-                at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-                below = (under + 1) / total if k == 2 else discounted(k - 1, under)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[at].view(np.int64)), pa.array(up[at].view(np.int64) if k > 2 else [None] * len(at), pa.int64()),
-                     *[pa.array(np.add.reduceat(x, at)) for x in (n, discounted(k, n), below)]],
-                    names=["h", "up", "c", "mass", "below"])
+                if isinstance(wanted, list):
+                    wanted = _distinct(np.concatenate(wanted))[0] if wanted else np.zeros(0, np.uint64)
+                found.append(sums(-k, blob, wanted))
+        yield from finish(now, found)
 
     def summed(which: str) -> DataFrame:
-        return (answers.filter(f"kind = {_TERMS}").filter(which).select("slice", "blob")
-                .mapInArrow(add, "h long, up long, c long, mass double, below double").groupBy("h")
-                .agg(F.first("up").alias("up"), *[F.sum(x).alias(x) for x in ("c", "mass", "below")]))
-
-    longest = summed(f"slice = {-order}").join(asked.select("h").distinct().hint("shuffle_hash"), "h", "left_semi")
-    shorter = stage(summed(f"slice > {-order}"), "katz-shorter")
-    sums = stage(longest, "katz-longest").unionByName(shorter)
+        return (answers.filter(which).select("slice", "bucket", "kind", "blob").repartition(partitions, "slice", "bucket")
+                .sortWithinPartitions("slice", "bucket", "kind")
+                .mapInArrow(add, "h long, up long, c long, mass double, below double"))
+
+    shorter = stage(summed(f"kind = {_TERMS} and slice > {-order}"), "katz-shorter")
+    sums_ = shorter
+    for p in range(PASSES):
+        longest = summed(f"kind in ({_ASKED}, {_TERMS}) and slice = {-order} and bucket % {PASSES} = {p}")
+        sums_ = sums_.unionByName(stage(longest, "katz-longest"))
     names = shorter.select("h", "c")
-    long = _look_up(sums.filter("up is not null").select(F.col("up").alias("h"), F.col("h").alias("name"), F.col("c").alias("n"),
+    long = _look_up(sums_.filter("up is not null").select(F.col("up").alias("h"), F.col("h").alias("name"), F.col("c").alias("n"),
                                                          "mass", "below"), names, limit)
     both = long.select(F.col("name").alias("h"), F.col("n").alias("c"), "mass", (F.col("below") / (F.col("c") + 1)).alias("below")
-                       ).unionByName(sums.filter("up is null").select("h", "c", "mass", "below"))
+                       ).unionByName(sums_.filter("up is null").select("h", "c", "mass", "below"))
     weight = (1 - F.col("mass") / (F.col("c") + 1)) / F.greatest(1 - F.col("below"), F.lit(1e-12))
     return stage(both.select("h", "c", F.log10(F.col("c") + 1).alias("log_c"),
                              F.log10(F.greatest(weight, F.lit(1e-300))).alias("log_weight")), "katz-weights")
 
 
-def _asked(answers: DataFrame) -> DataFrame:
-    """slice, doc, h, weight (whether it is the weight or the count that is asked for) and times."""
+def _asked(answers: DataFrame, shared, often: tuple[np.ndarray, ...]) -> DataFrame:
+    """What held-out tokens ask for: slice, doc and, if the history is among ``often``, the value, which is added up.
+
+    Else the history ``h``, whether its weight or its count is asked for, and times.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s, blob in zip(batch.column("slice").to_pylist(), batch.column("blob").to_pylist()):
-                doc, h, weight, c = _arrays(blob)
+            for blob in batch.column("blob").to_pylist():
+                *tree, slices, number, doc, weight, c = _arrays(blob)
+                h = _histories_of(_runs_of(shared.value, tree)[0])[-1]
+                names, log_c, log_weight = shared_often.value
+                found, at = _place(names, h) if len(names) else (np.zeros(len(h), bool), np.zeros(len(h), np.int64))
+                value = (np.where(weight, log_weight[at], -log_c[at]) * c)[found] if len(names) else np.zeros(0)
+                where, _, text = _distinct(number[found].astype(np.int64) << 32 | doc[found])
+                rest, n = np.flatnonzero(~found), len(where)
+                gap = lambda k, kind: pa.nulls(k, kind)
+                both = lambda a, b: pa.concat_arrays([a, b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(doc), s)), pa.array(doc.astype(np.int32)), pa.array(h.view(np.int64)),
-                     pa.array(weight), pa.array(c.astype(np.int32))], names=["slice", "doc", "h", "weight", "times"])
+                    [both(pa.array(slices[where >> 32]), pa.array(slices[number[rest]])),
+                     both(pa.array((where & 0xFFFFFFFF).astype(np.int32)), pa.array(doc[rest].astype(np.int32))),
+                     both(pa.array(np.bincount(text, value, n).astype(float)), gap(len(rest), pa.float64())),
+                     both(gap(n, pa.int64()), pa.array(h[rest].view(np.int64))),
+                     both(gap(n, pa.bool_()), pa.array(weight[rest])),
+                     both(gap(n, pa.int32()), pa.array(c[rest].astype(np.int32)))],
+                    names=["slice", "doc", "value", "h", "weight", "times"])
 
-    return answers.filter(f"kind = {_ASKED}").select("slice", "blob").mapInArrow(
-        rows, "slice long, doc int, h long, weight boolean, times int")
+    shared_often = answers.sparkSession.sparkContext.broadcast(often)
+    return answers.filter(f"kind = {_ASKED}").select("blob").mapInArrow(
+        rows, "slice long, doc int, value double, h long, weight boolean, times int")
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the query that wrote them ends, not when the driver next collects garbage.
+
+    All that is read later is staged.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts: int = 7, fold: int = 2,
@@ -452,30 +629,46 @@ def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts:
         raise ValueError("order must be at least 2")
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), (~in_fold(F.col(key), parts, fold)).alias("train"))
-    m = symbols(rows.filter("train"), share)
-    shared = spark.sparkContext.broadcast(m)
-    partitions = max(m.buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    answers = stage(_answers(_requests(rows, shared, order), shared, order, partitions), "katz-answers")
-    d = _discounts(answers, order)
-    limit = max(1, m.tokens // m.buckets)
-    asked = _asked(answers)
-    found = _look_up(asked, _histories(answers, asked, m, d, limit, order), limit)
-    value = F.col("times") * F.when(F.col("weight"), F.col("log_weight")).otherwise(-F.col("log_c"))
-    backed = found.groupBy("slice", "doc").agg(F.sum(value).alias("value"))
-    log_d, n_train, types, texts = np.log10(d[2:]).ravel(), m.tokens, m.types, m.texts
+    with _shuffles_dropped(spark):
+        m = symbols(rows.filter("train"), share)
+        shared = spark.sparkContext.broadcast(m)
+        partitions = max(m.buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        answers = stage(_answers(_requests(rows, shared, order), shared, order, partitions), "katz-answers")
+        d = _discounts(answers, order)
+        limit = max(1, int(OFTEN * m.tokens))
+        weights = _histories(answers, shared, d, limit, order, partitions)
+        most = weights.filter(F.col("c") >= limit).toPandas()
+        h = most["h"].to_numpy(np.int64).view(np.uint64)
+        by = np.argsort(h)
+        often = h[by], most["log_c"].to_numpy(float)[by], most["log_weight"].to_numpy(float)[by]
+        asked = stage(_asked(answers, shared, often), "katz-asked")
+        value = F.col("times") * F.when(F.col("weight"), F.col("log_weight")).otherwise(-F.col("log_c"))
+        backed = asked.filter("h is null").select("slice", "doc", "value")
+        for p in range(PASSES):
+            mine = F.pmod(F.xxhash64("h"), F.lit(PASSES)) == p
+            rest = asked.filter("h is not null").filter(mine).drop("value").join(weights.filter(F.col("c") < limit).filter(mine), "h")
+            backed = backed.unionByName(stage(rest.groupBy("slice", "doc").agg(F.sum(value).alias("value")), "katz-backed"))
+        backed = backed.groupBy("slice", "doc").agg(F.sum("value").alias("value"))
+    #: By order and count, as far as it is discounted; 0 elsewhere.
+    log_d, n_train, types, texts, all_ = np.zeros((order + 1, TOP + 2)), m.tokens, m.types, m.texts, m.total
+    log_d[2:, 1:TOP + 1] = np.log10(d[2:])
     other = np.log10(m.other_tokens + m.other_types + 1.0)
 
     def gather(part: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
         head = part[part["kind"] == _HEAD].iloc[0]
-        total, known, base = (np.array(x, float) for x in _arrays(head["blob"]))
+        total, known, base = _arrays(head["blob"])
+        known, base = known.astype(float), base.copy()
         train = np.array(head["train"], bool)
         score = np.where(train, -np.log10(texts + 1.0), 0.0)
-        score[more["doc"].to_numpy(np.int64)] += more["value"].to_numpy(float)
+        np.add.at(score, more["doc"].to_numpy(np.int64), more["value"].to_numpy(float))
         for blob in part.loc[part["kind"].isin([_TRAIN, _HELD]), "blob"]:
-            docs_, value_, base_, known_, low = _arrays(blob)
-            score[docs_] += value_ + log_d @ low
-            base[docs_] += base_
-            known[docs_] += known_
+            docs_, n_, c, rare, one, k, r, own = _arrays(blob)
+            at, c, r, log_one = np.repeat(docs_, n_), c.astype(float), r.astype(np.int64), np.log10(one + 1.0)
+            value_ = np.where(k > 1, np.log10(np.maximum(r, 1)), log_one - np.log10(all_))
+            value_ += log_d[k, np.minimum(r, TOP + 1)] - np.log10(own + 1.0)
+            score += np.bincount(at, value_ * c, len(total))
+            base += np.bincount(at[rare], (log_one * c)[rare], len(total))
+            known += np.bincount(at[rare], (c * (one > 0))[rare], len(total))
         for blob in part.loc[part["kind"] == _FOLDED, "blob"]:
             docs_, value_, n_, k_ = _arrays(blob)
             base[docs_] += value_
