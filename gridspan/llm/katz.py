@@ -22,16 +22,15 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import Words, in_fold, mixed, release, stage, text_slices
+from .common import Words, in_fold, mixed, release, shuffles_dropped, stage, text_slices
 
 #: Share of the training tokens below which words share one symbol; 0 keeps all words.
 SHARE = 0.0
@@ -597,24 +596,6 @@ def _asked(answers: DataFrame, shared, often: tuple[np.ndarray, ...]) -> DataFra
         rows, "slice long, doc int, value double, h long, weight boolean, times int")
 
 
-@contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when the query that wrote them ends, not when the driver next collects garbage.
-
-    All that is read later is staged.
-    """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts: int = 7, fold: int = 2,
                 share: float = SHARE, order: int = 2) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
@@ -629,7 +610,7 @@ def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts:
         raise ValueError("order must be at least 2")
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), (~in_fold(F.col(key), parts, fold)).alias("train"))
-    with _shuffles_dropped(spark):
+    with shuffles_dropped(spark):
         m = symbols(rows.filter("train"), share)
         shared = spark.sparkContext.broadcast(m)
         partitions = max(m.buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -4,7 +4,9 @@
 2. The tokens of a set are dealt by hash into more parts than two linked sets can differ in, so linked
    sets share a part.  Sets that share a part, directly or over others, form a cluster; only sets of one
    cluster can be linked.  The number of parts depends on the size class alone, and parts are whole
-   subsets, so a passage that many documents share does not bring them together.
+   subsets, so a passage that many documents share does not bring them together.  Each task sends a part
+   once, and the sets that share one in a task by links; the parts are then sorted, so the sets of a part
+   are neighbours, and neither copied to the executors nor shuffled again, however many parts are shared.
 3. In a cluster, sets are ordered by size into groups.  The token-group matrix holds each group's token
    union.  The overlap of a query set with a union bounds its overlap with every member; only groups
    whose bound reaches the threshold are opened, and those whose members already hang together with
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mixed, release, stage, text_slices
+from .common import Words, mixed, release, shuffles_dropped, stage, text_slices
 from .components import components
 
 GROUP = 64
@@ -37,6 +39,11 @@ _COMMON_SETS = 10
 _RATIO = 1.45
 _MORE = 1.3
 _SEEN = 1_000_000
+#: Parts that a task holds before it sends them.
+_HELD = 1_000_000
+#: Bits of the map that says which sets are in clusters, at most; a wrong yes costs time only.
+MARKS = 28
+_CHUNK = 4
 
 
 def text_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,8 +135,8 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(made, f"id {kind}, n_shingles long, set long")
 
 
-def _per_set(rows: DataFrame, n: int, schema: str, make) -> DataFrame:
-    """Rows that ``make(start, token, hash)`` gives for sets that the task has not met lately."""
+def _per_set(rows: DataFrame, n: int, schema: str, make, gather=lambda batches: batches) -> DataFrame:
+    """Rows that ``make(start, token, hash)`` gives for sets that the task has not met lately; ``gather`` gets a task's batches."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         seen: set[int] = set()
@@ -150,7 +157,80 @@ def _per_set(rows: DataFrame, n: int, schema: str, make) -> DataFrame:
                 token = token[np.repeat(keep, np.diff(start))]
                 yield make(np.concatenate([[0], np.cumsum(sizes)]), token, h[fresh])
 
-    return rows.select("text").mapInArrow(made, schema)
+    return rows.select("text").mapInArrow(lambda batches: gather(made(batches)), schema)
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sig, set) rows that connect the same sets: each signature once, and for other sets that have it a link.
+
+    A link of two sets is a signature that only they have.  So a signature has a row per task, however many sets share it.
+    """
+    def sent():
+        sig, h = (np.concatenate(x) for x in zip(*held))
+        by = np.argsort(sig)
+        new = np.ones(len(sig), bool)
+        new[1:] = sig[by[1:]] != sig[by[:-1]]
+        lead = np.empty_like(h)
+        lead[by] = h[by[new]][np.cumsum(new) - 1]
+        away = np.flatnonzero(h != lead)
+        link, at = np.unique(mixed(mixed(h[away].view(np.uint64)) + lead[away].view(np.uint64)), return_index=True)
+        link, away, first = link.view(np.int64), away[at], np.sort(by[new])  # as they came, those of a set together
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([sig[first], link, link])),
+                                           pa.array(np.concatenate([h[first], h[away], lead[away]]))], names=["sig", "set"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append([x.to_numpy() for x in batch.columns])
+        size += len(batch)
+        if size > _HELD:
+            yield sent()
+            held, size = [], 0
+    if size:
+        yield sent()
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of the sets of each signature with one of them, from rows sorted by signature."""
+    sig, lead = None, 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        sigs, h = (x.to_numpy() for x in batch.columns)
+        new = np.ones(len(sigs), bool)
+        new[1:] = sigs[1:] != sigs[:-1]
+        new[0] = sigs[0] != sig
+        first = np.concatenate([[lead], h[new]])[np.cumsum(new)]
+        sig, lead = sigs[-1], first[-1]
+        away = h != first
+        yield pa.RecordBatch.from_arrays([pa.array(h[away]), pa.array(first[away])], names=["a", "b"])
+
+
+def marks(sets: DataFrame, n: int) -> np.ndarray:
+    """Packed bits at the leading bits of the hashes ``set``, of which there are ``n``; made in parts, on the executors."""
+    bits = int(np.clip(int(64 * n).bit_length(), 16, MARKS))
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column("set").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            chunk = (at >> np.uint64(bits - _CHUNK)).astype(np.int64)
+            for c in np.unique(chunk).tolist():
+                mine = held.setdefault(c, np.zeros(1 << (bits - _CHUNK), bool))
+                mine[(at[chunk == c] & np.uint64((1 << (bits - _CHUNK)) - 1)).astype(np.int64)] = True
+        for c, mine in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c]), pa.array([np.packbits(mine).tobytes()])], names=["chunk", "marks"])
+
+    out = np.zeros((1 << _CHUNK, 1 << (bits - _CHUNK - 3)), np.uint8)
+    for r in (sets.select("set").repartition(1 << _CHUNK, F.shiftrightunsigned("set", 64 - _CHUNK))
+              .mapInArrow(made, "chunk long, marks binary").collect()):
+        out[r["chunk"]] = np.frombuffer(r["marks"], np.uint8)
+    return out.reshape(-1)
+
+
+def marked(marks_: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    at = h.view(np.uint64) >> np.uint64(64 - (len(marks_) * 8).bit_length() + 1)
+    return marks_[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
 def common_tokens(rows: DataFrame, n: int) -> np.ndarray:
@@ -276,44 +356,47 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     its members' are; repeated rows give repeated rows; an empty table gives an empty result.
     """
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sets = stage(_sets(rows, n), "sets")
-    distinct = stage(sets.filter("n_shingles > 0").groupBy("set").agg(
-        F.min("id").alias("least"), F.max("n_shingles").alias("n")), "distinct-sets")
-    largest = distinct.agg(F.max("n")).first()[0] or 1
-    parts, common = Parts(num, den, largest), docs.sparkSession.sparkContext.broadcast(common_tokens(rows, n))
-
-    def signatures(start, token, h):
-        doc, value = parts.signatures(start, token, common.value)
-        return pa.RecordBatch.from_arrays([pa.array(value), pa.array(h[doc])], names=["sig", "set"])
-
-    signed = _per_set(rows, n, "sig long, set long", signatures)
-    live = stage(signed.groupBy("sig").agg(F.min("set").alias("lead"), F.max("set").alias("last"))
-                 .filter("lead < last").select("sig", "lead"), "live-parts")
-    near = _sized(signed, live, "sig").filter("set <> lead").select(F.col("set").alias("a"), F.col("lead").alias("b"))
-    found = components(near)
-    members = found.select(F.col("node").alias("set"), F.col("root").alias("cluster")).unionByName(
-        found.select(F.col("root").alias("set"), F.col("root").alias("cluster")).distinct())
-    members = stage(members.join(distinct.select("set", "n"), "set"), "members")
-    blocks = members.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("t")).select("cluster", F.when(
-        (F.col("m") <= 2 * BLOCK_SETS) & (F.col("t") <= 2 * BLOCK_TOKENS), 1).otherwise(F.greatest(
-            F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("t") / BLOCK_TOKENS)) + 1).cast("int").alias("blocks"))
-    dealt = stage(members.join(blocks, "cluster").select(
-        "set", "cluster", "blocks", F.pmod(F.xxhash64("set"), "blocks").cast("int").alias("block")), "dealt")
-
-    def tokens(start, token, h):
-        at = np.concatenate([[0], start[1:] * 8]).astype(np.int64)
-        data = pa.Array.from_buffers(pa.large_binary(), len(h), [None, pa.py_buffer(at), pa.py_buffer(token)])
-        return pa.RecordBatch.from_arrays([pa.array(h), data.cast(pa.binary())], names=["set", "tokens"])
-
-    held = _sized(_per_set(rows, n, "set long, tokens binary", tokens), dealt, "set")
-    pairs = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "set", "tokens")
-    links = pairs.groupBy("cluster", "low", "high").applyInPandas(_links(num, den), "a long, b long")
-    root = components(links).select(F.col("node").alias("set"), "root")
-    whole = distinct.join(root, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    ids = whole.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_set = stage(whole.select("set", "root").join(ids, "root").select("set", "component_id"), "components")
+    with shuffles_dropped(docs.sparkSession):
+        sets = stage(_sets(rows, n), "sets")
+        distinct = stage(sets.filter("n_shingles > 0").groupBy("set").agg(
+            F.min("id").alias("least"), F.max("n_shingles").alias("n")), "distinct-sets")
+        largest = distinct.agg(F.max("n")).first()[0] or 1
+        parts, common = Parts(num, den, largest), docs.sparkSession.sparkContext.broadcast(common_tokens(rows, n))
+
+        def signatures(start, token, h):
+            doc, value = parts.signatures(start, token, common.value)
+            return pa.RecordBatch.from_arrays([pa.array(value), pa.array(h[doc])], names=["sig", "set"])
+
+        signed = _per_set(rows, n, "sig long, set long", signatures, _once)
+        found = components(signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(_neighbours, "a long, b long"))
+        members = found.select(F.col("node").alias("set"), F.col("root").alias("cluster")).unionByName(
+            found.select(F.col("root").alias("set"), F.col("root").alias("cluster")).distinct())
+        members = stage(members.join(distinct.select("set", "n"), "set"), "members")
+        blocks = members.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("t")).select("cluster", F.when(
+            (F.col("m") <= 2 * BLOCK_SETS) & (F.col("t") <= 2 * BLOCK_TOKENS), 1).otherwise(F.greatest(
+                F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("t") / BLOCK_TOKENS)) + 1).cast("int").alias("blocks"))
+        dealt = stage(members.join(blocks, "cluster").select(
+            "set", "cluster", "blocks", F.pmod(F.xxhash64("set"), "blocks").cast("int").alias("block")), "dealt")
+
+        clustered = docs.sparkSession.sparkContext.broadcast(marks(dealt, dealt.count()))
+
+        def tokens(start, token, h):
+            mine, sizes = marked(clustered.value, h), np.diff(start)
+            token, h = token[np.repeat(mine, sizes)], h[mine]
+            start = np.concatenate([[0], np.cumsum(sizes[mine])])
+            at = np.concatenate([[0], start[1:] * 8]).astype(np.int64)
+            data = pa.Array.from_buffers(pa.large_binary(), len(h), [None, pa.py_buffer(at), pa.py_buffer(token)])
+            return pa.RecordBatch.from_arrays([pa.array(h), data.cast(pa.binary())], names=["set", "tokens"])
+
+        held = _sized(_per_set(rows, n, "set long, tokens binary", tokens), dealt, "set")
+        pairs = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "block", "set", "tokens")
+        links = pairs.groupBy("cluster", "low", "high").applyInPandas(_links(num, den), "a long, b long")
+        root = components(links).select(F.col("node").alias("set"), "root")
+        whole = distinct.join(root, "set", "left").withColumn("root", F.coalesce("root", "set"))
+        ids = whole.groupBy("root").agg(F.min("least").alias("component_id"))
+        of_set = stage(whole.select("set", "root").join(ids, "root").select("set", "component_id"), "components")
     return sets.join(of_set, "set", "left").select(
         F.col("id").alias("doc_id"), "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
@@ -337,7 +420,8 @@ def drop_near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int =
                     F.monotonically_increasing_id().alias("number"))
     rows = stage(docs.select(F.struct("*").alias("row"), name.alias("name")), "numbered")
     found = near_duplicates(rows.select("name", F.col("row").getField(text).alias("text")), n, num, den, "text", "name")
-    gone = stage(found.filter("component_id <> doc_id").select(F.col("doc_id.number").alias("number")), "near-copies")
+    with shuffles_dropped(docs.sparkSession):
+        gone = stage(found.filter("component_id <> doc_id").select(F.col("doc_id.number").alias("number")), "near-copies")
     small = gone.count() <= BROADCAST_ROWS
     left = rows.select("row", F.col("name.number").alias("number"))
     return left.join(F.broadcast(gone) if small else gone, "number", "left_anti").select("row.*")
