@@ -36,9 +36,15 @@ from .common import Words, in_fold, mixed, release, shuffles_dropped, stage, tex
 SHARE = 0.0
 #: Counts above this are not discounted.
 TOP = 5
-SLICE_BYTES = 2_000_000
-BUCKET_TOKENS = 500_000
-HISTORY_TOKENS = 2_000_000
+#: Blobs are as many as slices times owners, so both are as large as memory allows.
+SLICE_BYTES = 8_000_000
+BUCKET_TOKENS = 750_000
+HISTORY_TOKENS = 4_000_000
+#: Texts whose words are hashed at once, and bytes of blobs that are passed on at once.
+_WORD_BYTES = 1_000_000
+_SENT_BYTES = 4_000_000
+#: Blobs that are read at once.
+_JOINT_BYTES = 1_000_000
 #: Words with at least this share of the training tokens are broadcast, for short codes.
 COMMON = 1 / (1 << 22)
 #: Histories with at least this share of the training tokens are broadcast.
@@ -50,16 +56,19 @@ _NOTHING, _BEGIN, _END, _OTHER = (np.uint64(i) for i in range(4))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+_ZSTD = pa.Codec("zstd")
+
+
 def _bytes(*arrays: np.ndarray) -> bytes:
     """Arrays of one dimension, packed byte place by byte place, since high bytes differ little."""
     head = pickle.dumps([(x.dtype.str, len(x)) for x in arrays], protocol=5)
     planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes() for x in arrays]
     raw = b"".join([len(head).to_bytes(4, "little"), head, *planes])
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
 
 
 def _arrays(blob: bytes) -> list[np.ndarray]:
-    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    raw = _ZSTD.decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
     at, out = 4 + int.from_bytes(raw[:4], "little"), []
     for kind, n in pickle.loads(raw[4:at]):
         kind = np.dtype(kind)
@@ -114,17 +123,29 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _tree(run: list[np.ndarray], codes: list[np.ndarray]) -> list[np.ndarray]:
-    """Runs whose equal beginnings stand together: at each place the symbols that change there, and how often each stands."""
-    out, new = [], np.zeros(len(run[0]), bool)
+def _trees(run: list[np.ndarray], codes: list[np.ndarray], cut: np.ndarray) -> list[list[np.ndarray]]:
+    """For the rows between each two of ``cut``, runs whose equal beginnings stand together: at each place the symbols
+    that change there, and how often each stands."""
+    out, new = [[] for _ in cut[1:]], np.zeros(len(run[0]), bool)
+    new[cut[:-1]] = True
     for x, code in zip(run, codes):
         new |= _changes(x)
         at = np.flatnonzero(new)
-        code = code[at]
-        out += [_small(code), x[at[code == 0]], _small(np.diff(np.append(at, len(x))))]
+        code, ends = code[at], np.searchsorted(at, cut)
+        rare = np.flatnonzero(code == 0)
+        ends_rare = np.searchsorted(rare, ends)
+        code, rare, times = _small(code), x[at[rare]], _small(np.diff(np.append(at, len(x))))
+        for i, tree in enumerate(out):
+            mine, his = slice(ends[i], ends[i + 1]), slice(ends_rare[i], ends_rare[i + 1])
+            tree += [code[mine], rare[his], times[mine]]
     return out
 
 
+def _joint(lists) -> list[np.ndarray]:
+    """The arrays of several blobs, one after the other."""
+    return [np.concatenate(x) for x in zip(*lists)]
+
+
 def _runs_of(m: Symbols, tree: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Runs and their codes."""
     run, codes = [], []
@@ -223,13 +244,19 @@ def symbols(train: DataFrame, share: float = SHARE) -> Symbols:
     return Symbols(heavy, kept, kept_types, kept_tokens, tokens, texts, types, buckets, common, common_n)
 
 
-#: Kinds of blobs: of a slice, the runs of training texts, folded words, runs of held-out texts, what these ask of the
-#: histories, terms of histories, how many runs have small counts.
-_HEAD, _TRAIN, _FOLDED, _HELD, _ASKED, _TERMS, _MET = range(7)
+#: Kinds of blobs: of a slice, its runs, folded words, what runs of held-out texts ask of the histories, terms of
+#: histories, how many runs have small counts.
+_HEAD, _RUNS, _FOLDED, _ASKED, _TERMS, _MET = range(6)
+
+
+def _words(texts: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and how many each text has."""
+    some = [Words(x.column("text")) for x in text_slices(texts, "text", _WORD_BYTES)]
+    return np.concatenate([x.hash for x in some]), np.concatenate([x.per_doc for x in some])
 
 
 def _requests(rows: DataFrame, model, order: int) -> DataFrame:
-    """Blobs of each slice for the owners: bucket, slice, kind, blob."""
+    """Blobs of each slice for the owners: bucket, slice, kind, blob.  In a slice training texts come first."""
     kind = rows.schema["id"].dataType
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,10 +270,12 @@ def _requests(rows: DataFrame, model, order: int) -> DataFrame:
                 name = (task << 24) | serial
                 serial += 1
                 train = np.asarray(part.column("train"), bool)
-                words = Words(part.column("text"))
-                symbol, docs = m.of(words.hash), len(part)
+                by = np.argsort(~train, kind="stable")
+                train, part = train[by], part.take(pa.array(by))
+                hash_, per_doc = _words(part)
+                symbol, docs = m.of(hash_), len(part)
                 # The symbols of each text and its end, in order, and those before each.
-                total = words.per_doc + 1
+                total = per_doc + 1
                 last = np.cumsum(total) - 1
                 here = np.empty(last[-1] + 1, np.uint64)
                 inner = np.ones(len(here), bool)
@@ -255,10 +284,10 @@ def _requests(rows: DataFrame, model, order: int) -> DataFrame:
                 doc = np.repeat(np.arange(docs), total)
                 place = np.arange(len(here)) - np.repeat(last + 1 - total, total)
                 names, _, number = _distinct(here)
-                names, number = np.concatenate([[_NOTHING, _BEGIN], names]), number + 2
+                names, number = np.concatenate([[_NOTHING, _BEGIN], names]), (number + 2).astype(np.int32)
                 run = [number]
                 for back in range(1, order):
-                    x = np.zeros(len(here), np.int64)
+                    x = np.zeros(len(here), np.int32)
                     x[back:] = number[:-back]
                     x[place == back - 1] = 1
                     x[place < back - 1] = 0
@@ -271,17 +300,16 @@ def _requests(rows: DataFrame, model, order: int) -> DataFrame:
                 known = np.bincount(doc[local], met[local] > 0, docs)
                 salts_ = np.where(heavy, salts[at], 1).astype(np.uint64)[number]
                 salt = (mixed(names) >> np.uint64(33))[run[1]] % salts_
-                owner = (mixed(here * _STEP + salt) % np.uint64(buckets)).astype(np.int64)
+                owner = _small((mixed(here * _STEP + salt) % np.uint64(buckets)).astype(np.int64))
                 out = [(name % buckets, _HEAD, _bytes(total, known, sure))]
                 if m.kept is not None:
                     rare = symbol == _OTHER
-                    h = words.hash[rare]
+                    h = hash_[rare]
                     other, _, number = _distinct(h)
-                    out += owner_blobs((h % np.uint64(buckets)).astype(np.int64), [number], other, m.code(other), words.doc[rare], train, _FOLDED)
-                del words, symbol, here, inner, place, number, x, met, local, salts_, salt, heavy, at
-                for what, mine in ((_HELD, ~train[doc]), (_TRAIN, train[doc])):
-                    out += owner_blobs(owner[mine], [x[mine] for x in run], names, code, doc[mine], train, what)
-                del run, owner, doc, mine
+                    out += owner_blobs((h % np.uint64(buckets)).astype(np.int64), [number], other, m.code(other), doc[inner][rare], train, _FOLDED)
+                del hash_, symbol, here, inner, place, number, x, met, local, salts_, salt, heavy, at
+                out += owner_blobs(owner, run, names, code, doc, train, _RUNS)
+                del run, owner, doc
                 ids = part.column("id")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[0] for o in out], pa.int32()), pa.array([name] * len(out), pa.int64()),
@@ -306,7 +334,8 @@ def _in_order(run: list[np.ndarray], doc: np.ndarray, size: int, docs: int) -> t
 
 
 def owner_blobs(owner, run, names, code, doc, train, kind):
-    """One blob per owner: distinct runs, training counts, then per (run, document) document and count.
+    """One blob per owner: distinct runs, training counts, then per (run, document) document and count, and of runs
+    how many texts are training texts.
 
     Runs are numbers among ``names``, and documents rise.
     """
@@ -325,13 +354,11 @@ def owner_blobs(owner, run, names, code, doc, train, kind):
     owner, order = owner[at[first]], order[at[first]]
     run = [x[order] for x in run]
     run, codes = [names[x] for x in run], [code[x] for x in run]
-    cut = np.append(np.flatnonzero(_changes(owner)), len(owner))
-    out, ends = [], np.append(first, len(d))
-    for lo, hi in zip(cut[:-1], cut[1:]):
-        out.append((int(owner[lo]), kind, _bytes(
-            *_tree([x[lo:hi] for x in run], [x[lo:hi] for x in codes]),
-            *[_small(x) for x in (met[lo:hi], per[lo:hi], d[ends[lo]:ends[hi]], n[ends[lo]:ends[hi]])])))
-    return out
+    cut, edge = np.append(np.flatnonzero(_changes(owner)), len(owner)), np.append(first, len(d))
+    met, per, d, n = (_small(x) for x in (met, per, d, n))
+    learnt = [np.array([train.sum()])] if kind == _RUNS else []
+    return [(int(owner[lo]), kind, _bytes(*tree, met[lo:hi], per[lo:hi], d[edge[lo]:edge[hi]], n[edge[lo]:edge[hi]], *learnt))
+            for lo, hi, tree in zip(cut[:-1], cut[1:], _trees(run, codes, cut))]
 
 
 class Runs:
@@ -354,15 +381,15 @@ class Runs:
             if k > 1:
                 self.first.append(index[n[index] > 0])
 
-    def by_owner(self, k: int, at: np.ndarray, owners: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Places in ``at`` by owner of the history of k - 1 symbols, those of equal last symbols of histories together."""
+    def by_owner(self, k: int, at: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``at`` by owner of the history of k - 1 symbols, those of equal last symbols of histories together;
+        where an owner's begin, and the owners."""
         by = at if not len(at) else np.argsort(self.run[1][at])
         owner = (mixed(self.history[k][at[by]] + np.uint64(k)) % np.uint64(owners)).astype(np.int64)
         order = np.argsort(_small(owner), kind="stable")
         by, owner = by[order], owner[order]
-        cut = np.append(np.flatnonzero(_changes(owner)), len(owner))
-        for lo, hi in zip(cut[:-1], cut[1:]):
-            yield int(owner[lo]), by[lo:hi]
+        first = np.flatnonzero(_changes(owner))
+        return by, np.append(first, len(owner)), owner[first]
 
 
 def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFrame:
@@ -371,16 +398,16 @@ def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFra
     Terms and questions go by the owner of the history; ``slice`` is there minus the order.
     """
     def runs(m: Symbols, bucket: int, mine: list[tuple]):
-        trees = [_runs_of(m, b[:3 * order]) for _, _, b in mine]
-        run, codes = ([np.concatenate([t[i][j] for t in trees]) for j in range(order)] for i in (0, 1))
-        all_, start = Runs(m, run, np.concatenate([b[3 * order] for _, _, b in mine])), 0
+        run, codes = _runs_of(m, _joint(b[:3 * order] for _, _, b in mine))
+        all_ = Runs(m, run, np.concatenate([b[3 * order] for _, _, b in mine]))
         for k in range(2, order + 1):
             first = all_.first[k]
             yield bucket, -k, _MET, _bytes(np.bincount(np.minimum(all_.n[k][first], TOP + 2), minlength=TOP + 3)[1:TOP + 2]), None, None
-            for owner, by in all_.by_owner(k, first, m.owners):
-                at = first[by]
-                yield owner, -k, _TERMS, _bytes(
-                    *_tree([x[at] for x in run[1:k]], [x[at] for x in codes[1:k]]), _small(all_.n[k][at]), _small(all_.n[k - 1][at])), None, None
+            by, cut, owners = all_.by_owner(k, first, m.owners)
+            at = first[by]
+            n, under = _small(all_.n[k][at]), _small(all_.n[k - 1][at])
+            for owner, lo, hi, tree in zip(owners.tolist(), cut[:-1], cut[1:], _trees([x[at] for x in run[1:k]], [x[at] for x in codes[1:k]], cut)):
+                yield owner, -k, _TERMS, _bytes(*tree, n[lo:hi], under[lo:hi]), None, None
         # The longest order that was met; 1 where none was.
         k, r = np.ones(len(run[0]), np.int64), np.zeros(len(run[0]), np.int64)
         for o in range(2, order + 1):
@@ -389,32 +416,35 @@ def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFra
         # As the history of what comes next, which was met.
         own = np.choose(np.minimum(order - 1, all_.length) - 1, all_.n[1:order])
         own[all_.last == _END] = 0
-        asked = []
-        for (s, kind, b), tree in zip(mine, trees):
-            per, d, c = b[3 * order + 1:]
-            at = np.repeat(np.arange(start, start + len(per)), per)
-            start += len(per)
-            if kind == _HELD:
-                asked.append((at, np.full(len(d), s), d, c))
-            by = np.argsort(d, kind="stable")
-            at, d, c = at[by], d[by], c[by]
-            new = np.flatnonzero(_changes(d))
-            # Slices know the counts of frequent words.
-            rare = codes[0][at] == 0
-            yield bucket, s, kind, _bytes(
-                d[new], _small(np.diff(np.append(new, len(d)))), c, rare, _small(np.where(rare | (k[at] == 1), all_.n[1][at], 0)),
-                k[at].astype(np.uint8), _small(r[at]), _small(own[at] if kind == _TRAIN else np.zeros(len(at), np.int64))), None, None
-        if not asked:
+        per, d, c = _joint(b[3 * order + 1:3 * order + 4] for _, _, b in mine)
+        sizes = [len(b[3 * order + 2]) for _, _, b in mine]
+        at, of = np.repeat(np.arange(len(per)), per), np.repeat(np.arange(len(mine)), sizes)
+        learnt = d < np.repeat([b[3 * order + 4][0] for _, _, b in mine], sizes)
+        by = np.argsort(of << 32 | d, kind="stable")
+        at, of, d, c, learnt = at[by], of[by], d[by], c[by], learnt[by]
+        # Slices know the counts of frequent words.
+        rare = codes[0][at] == 0
+        new = np.flatnonzero(_changes(of, d))
+        texts, times = d[new], _small(np.diff(np.append(new, len(d))))
+        columns = [c, rare, _small(np.where(rare | (k[at] == 1), all_.n[1][at], 0)), k[at].astype(np.uint8), _small(r[at]),
+                   _small(np.where(learnt, own[at], 0))]
+        ends, edge = np.searchsorted(of, np.arange(len(mine) + 1)), np.searchsorted(of[new], np.arange(len(mine) + 1))
+        for i, (s, kind, _) in enumerate(mine):
+            yield bucket, s, kind, _bytes(texts[edge[i]:edge[i + 1]], times[edge[i]:edge[i + 1]],
+                                          *[x[ends[i]:ends[i + 1]] for x in columns]), None, None
+        del columns, texts, times, rare, new, by
+        held = np.flatnonzero(~learnt)
+        if not len(held):
             return
-        at, s, d, c = (np.concatenate(x) for x in zip(*asked))
+        at, d, c, s = at[held], d[held], c[held], np.array([s for s, _, _ in mine])[of[held]]
         for o in range(2, order + 1):
             some = np.flatnonzero((k[at] <= o) & (all_.length[at] >= o))
-            for owner, by in all_.by_owner(o, at[some], m.owners):
-                here = some[by]
-                slices, _, number = _distinct(s[here])
-                yield owner, -o, _ASKED, _bytes(
-                    *_tree([x[at[here]] for x in run[1:o]], [x[at[here]] for x in codes[1:o]]), slices, _small(number), _small(d[here]),
-                    k[at[here]] < o, _small(c[here])), None, None
+            by, cut, owners = all_.by_owner(o, at[some], m.owners)
+            here = some[by]
+            rows, weight, docs, times = at[here], k[at[here]] < o, _small(d[here]), _small(c[here])
+            for owner, lo, hi, tree in zip(owners.tolist(), cut[:-1], cut[1:], _trees([x[rows] for x in run[1:o]], [x[rows] for x in codes[1:o]], cut)):
+                slices, _, number = _distinct(s[here[lo:hi]])
+                yield owner, -o, _ASKED, _bytes(*tree, slices, _small(number), docs[lo:hi], weight[lo:hi], times[lo:hi]), None, None
 
     def folded(m: Symbols, bucket: int, mine: list[tuple]):
         mine = [(s, _runs_of(m, b[:3])[0][0], *b[3:]) for s, _, b in mine]
@@ -429,7 +459,7 @@ def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFra
                                              np.bincount(local, c, n), np.bincount(local, c * (r > 0), n)), None, None
 
     def finish(m: Symbols, bucket: int, rows: list[tuple]):
-        for what, kinds in ((runs, (_TRAIN, _HELD)), (folded, (_FOLDED,))):
+        for what, kinds in ((runs, (_RUNS,)), (folded, (_FOLDED,))):
             mine = [(s, k, _arrays(blob)) for s, k, blob in rows if k in kinds]
             if mine:
                 yield from what(m, bucket, mine)
@@ -438,12 +468,21 @@ def _answers(requests: DataFrame, model, order: int, partitions: int) -> DataFra
         m, now, rows = model.value, None, []
         ids_type = None
 
+        def sent(some):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, kind) for x, kind in zip(zip(*some), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), ids_type, pa.list_(pa.bool_())))],
+                names=["bucket", "slice", "kind", "blob", "ids", "train"])
+
         def out(found):
+            some, size = [], 0
             for f in found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0]], pa.int32()), pa.array([f[1]], pa.int64()), pa.array([f[2]], pa.int32()),
-                     pa.array([f[3]], pa.binary()), pa.array([f[4]], ids_type), pa.array([f[5]], pa.list_(pa.bool_()))],
-                    names=["bucket", "slice", "kind", "blob", "ids", "train"])
+                some.append(f)
+                size += len(f[3])
+                if size > _SENT_BYTES:
+                    yield sent(some)
+                    some, size = [], 0
+            if some:
+                yield sent(some)
 
         for batch in batches:
             ids_type = batch.schema.field("ids").type
@@ -504,10 +543,10 @@ def _histories(answers: DataFrame, shared, d: np.ndarray, limit: int, order: int
     def discounted(k, n):
         return np.where(n <= TOP, n * d[k][np.minimum(n, TOP) - 1], n).astype(float)
 
-    def sums(k: int, blob: bytes, wanted: np.ndarray | None) -> list[np.ndarray]:
-        """h, up, c, mass, below of a blob of terms, of the histories in ``wanted`` only where it is given."""
+    def sums(k: int, blobs: list[list[np.ndarray]], wanted: np.ndarray | None) -> list[np.ndarray]:
+        """h, up, c, mass, below of blobs of terms, of the histories in ``wanted`` only where it is given."""
         m = shared.value
-        *tree, n, under = _arrays(blob)
+        *tree, n, under = _joint(blobs)
         names = _histories_of(_runs_of(m, tree)[0])
         h, up = names[-1], names[-2] if k > 2 else names[-1]
         if wanted is not None:
@@ -529,20 +568,32 @@ def _histories(answers: DataFrame, shared, d: np.ndarray, limit: int, order: int
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        now, wanted, found = None, [], []
+        now, what, wanted, found, held, size = None, None, None, [], [], 0
+
+        def gathered():
+            """The blobs that are held become one."""
+            nonlocal held, size, wanted
+            if what == _ASKED:
+                names = _histories_of(_runs_of(shared.value, _joint(x[:3 * (order - 1)] for x in held))[0])[-1]
+                wanted = _distinct(np.concatenate([wanted, names]))[0]
+            elif held:
+                found.append(sums(-now[0], held, wanted))
+            held, size = [], 0
+
         for batch in batches:
             for i in range(len(batch)):
                 k, bucket, kind, blob = (x[i].as_py() for x in batch.columns)
+                if (k, bucket, kind) != (*(now or (0, 0)), what):
+                    gathered()
+                    what = kind
                 if (k, bucket) != now:
                     yield from finish(now, found)
-                    now, wanted, found = (k, bucket), [] if k == -order else None, []
-                if kind == _ASKED:
-                    names = _histories_of(_runs_of(shared.value, _arrays(blob)[:3 * (order - 1)])[0])
-                    wanted.append(_distinct(names[-1])[0])
-                    continue
-                if isinstance(wanted, list):
-                    wanted = _distinct(np.concatenate(wanted))[0] if wanted else np.zeros(0, np.uint64)
-                found.append(sums(-k, blob, wanted))
+                    now, wanted, found = (k, bucket), np.zeros(0, np.uint64) if k == -order else None, []
+                held.append(_arrays(blob))
+                size += len(blob)
+                if size > _JOINT_BYTES:
+                    gathered()
+        gathered()
         yield from finish(now, found)
 
     def summed(which: str) -> DataFrame:
@@ -572,8 +623,8 @@ def _asked(answers: DataFrame, shared, often: tuple[np.ndarray, ...]) -> DataFra
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob in batch.column("blob").to_pylist():
-                *tree, slices, number, doc, weight, c = _arrays(blob)
+            for blobs in joint(batch.column("blob").to_pylist()):
+                *tree, slices, number, doc, weight, c = blobs
                 h = _histories_of(_runs_of(shared.value, tree)[0])[-1]
                 names, log_c, log_weight = shared_often.value
                 found, at = _place(names, h) if len(names) else (np.zeros(len(h), bool), np.zeros(len(h), np.int64))
@@ -591,6 +642,20 @@ def _asked(answers: DataFrame, shared, often: tuple[np.ndarray, ...]) -> DataFra
                      both(gap(n, pa.int32()), pa.array(c[rest].astype(np.int32)))],
                     names=["slice", "doc", "value", "h", "weight", "times"])
 
+    def joint(blobs: list[bytes]) -> Iterator[list[np.ndarray]]:
+        """Blobs of one length of histories, as one."""
+        held, size, k = [], 0, None
+        for blob in blobs:
+            x = _arrays(blob)
+            if held and (size > _JOINT_BYTES or len(x) != k):
+                yield _joint(held)
+                held, size = [], 0
+            x[-4] = x[-4].astype(np.int64) + sum(len(y[-5]) for y in held)
+            held.append(x)
+            size, k = size + len(blob), len(x)
+        if held:
+            yield _joint(held)
+
     shared_often = answers.sparkSession.sparkContext.broadcast(often)
     return answers.filter(f"kind = {_ASKED}").select("blob").mapInArrow(
         rows, "slice long, doc int, value double, h long, weight boolean, times int")
@@ -642,14 +707,13 @@ def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts:
         train = np.array(head["train"], bool)
         score = np.where(train, -np.log10(texts + 1.0), 0.0)
         np.add.at(score, more["doc"].to_numpy(np.int64), more["value"].to_numpy(float))
-        for blob in part.loc[part["kind"].isin([_TRAIN, _HELD]), "blob"]:
-            docs_, n_, c, rare, one, k, r, own = _arrays(blob)
-            at, c, r, log_one = np.repeat(docs_, n_), c.astype(float), r.astype(np.int64), np.log10(one + 1.0)
-            value_ = np.where(k > 1, np.log10(np.maximum(r, 1)), log_one - np.log10(all_))
-            value_ += log_d[k, np.minimum(r, TOP + 1)] - np.log10(own + 1.0)
-            score += np.bincount(at, value_ * c, len(total))
-            base += np.bincount(at[rare], (log_one * c)[rare], len(total))
-            known += np.bincount(at[rare], (c * (one > 0))[rare], len(total))
+        docs_, n_, c, rare, one, k, r, own = _joint(map(_arrays, part.loc[part["kind"] == _RUNS, "blob"]))
+        at, c, r, log_one = np.repeat(docs_, n_), c.astype(float), r.astype(np.int64), np.log10(one + 1.0)
+        value_ = np.where(k > 1, np.log10(np.maximum(r, 1)), log_one - np.log10(all_))
+        value_ += log_d[k, np.minimum(r, TOP + 1)] - np.log10(own + 1.0)
+        score += np.bincount(at, value_ * c, len(total))
+        base += np.bincount(at[rare], (log_one * c)[rare], len(total))
+        known += np.bincount(at[rare], (c * (one > 0))[rare], len(total))
         for blob in part.loc[part["kind"] == _FOLDED, "blob"]:
             docs_, value_, n_, k_ = _arrays(blob)
             base[docs_] += value_
@@ -661,6 +725,6 @@ def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts:
                              "score": score})
 
     kind = docs.schema[key].dataType.simpleString()
-    return answers.filter(F.col("kind").isin(_HEAD, _TRAIN, _FOLDED, _HELD)).drop("bucket").groupBy("slice").cogroup(
+    return answers.filter(F.col("kind").isin(_HEAD, _RUNS, _FOLDED)).drop("bucket").groupBy("slice").cogroup(
         backed.groupBy("slice")).applyInPandas(
         gather, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
