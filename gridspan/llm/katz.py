@@ -46,7 +46,7 @@ _SENT_BYTES = 4_000_000
 #: Blobs that are read at once.
 _JOINT_BYTES = 1_000_000
 #: Words with at least this share of the training tokens are broadcast, for short codes.
-COMMON = 1 / (1 << 22)
+COMMON = 1 / (1 << 23)
 #: Histories with at least this share of the training tokens are broadcast.
 OFTEN = 1 / (1 << 19)
 #: The longest histories are summed, and all asked for, in so many passes, whose shuffles follow each other.
@@ -700,20 +700,33 @@ def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", parts:
     log_d[2:, 1:TOP + 1] = np.log10(d[2:])
     other = np.log10(m.other_tokens + m.other_types + 1.0)
 
+    def few(blobs) -> Iterator[list[np.ndarray]]:
+        """The arrays of blobs, of several at once."""
+        held, size = [], 0
+        for blob in blobs:
+            held.append(_arrays(blob))
+            size += len(blob)
+            if size > _JOINT_BYTES:
+                yield _joint(held)
+                held, size = [], 0
+        if held:
+            yield _joint(held)
+
     def gather(part: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
+        release()
         head = part[part["kind"] == _HEAD].iloc[0]
         total, known, base = _arrays(head["blob"])
         known, base = known.astype(float), base.copy()
         train = np.array(head["train"], bool)
         score = np.where(train, -np.log10(texts + 1.0), 0.0)
         np.add.at(score, more["doc"].to_numpy(np.int64), more["value"].to_numpy(float))
-        docs_, n_, c, rare, one, k, r, own = _joint(map(_arrays, part.loc[part["kind"] == _RUNS, "blob"]))
-        at, c, r, log_one = np.repeat(docs_, n_), c.astype(float), r.astype(np.int64), np.log10(one + 1.0)
-        value_ = np.where(k > 1, np.log10(np.maximum(r, 1)), log_one - np.log10(all_))
-        value_ += log_d[k, np.minimum(r, TOP + 1)] - np.log10(own + 1.0)
-        score += np.bincount(at, value_ * c, len(total))
-        base += np.bincount(at[rare], (log_one * c)[rare], len(total))
-        known += np.bincount(at[rare], (c * (one > 0))[rare], len(total))
+        for docs_, n_, c, rare, one, k, r, own in few(part.loc[part["kind"] == _RUNS, "blob"]):
+            at, c, r, log_one = np.repeat(docs_, n_), c.astype(float), r.astype(np.int64), np.log10(one + 1.0)
+            value_ = np.where(k > 1, np.log10(np.maximum(r, 1)), log_one - np.log10(all_))
+            value_ += log_d[k, np.minimum(r, TOP + 1)] - np.log10(own + 1.0)
+            score += np.bincount(at, value_ * c, len(total))
+            base += np.bincount(at[rare], (log_one * c)[rare], len(total))
+            known += np.bincount(at[rare], (c * (one > 0))[rare], len(total))
         for blob in part.loc[part["kind"] == _FOLDED, "blob"]:
             docs_, value_, n_, k_ = _arrays(blob)
             base[docs_] += value_
