@@ -204,7 +204,7 @@ def _count_words(rows: DataFrame) -> DataFrame:
             return names, np.bincount(inverse, np.concatenate(n), len(names)).astype(np.int64)
 
         for batch in batches:
-            for part in text_slices(batch, "text", SLICE_BYTES):
+            for part in text_slices(batch, "text", _WORD_BYTES):
                 names, met = np.unique(Words(part.column("text")).hash, return_counts=True)
                 words.append(names)
                 n.append(met)
