@@ -39,12 +39,12 @@ TOP = 5
 #: Blobs are as many as slices times owners, so both are as large as memory allows.
 SLICE_BYTES = 8_000_000
 BUCKET_TOKENS = 750_000
-HISTORY_TOKENS = 4_000_000
+HISTORY_TOKENS = 3_000_000
 #: Texts whose words are hashed at once, and bytes of blobs that are passed on at once.
 _WORD_BYTES = 1_000_000
-_SENT_BYTES = 4_000_000
+_SENT_BYTES = 1_000_000
 #: Blobs that are read at once.
-_JOINT_BYTES = 1_000_000
+_JOINT_BYTES = 250_000
 #: Words with at least this share of the training tokens are broadcast, for short codes.
 COMMON = 1 / (1 << 23)
 #: Histories with at least this share of the training tokens are broadcast.
